@@ -113,3 +113,23 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .plans.invoices import conform
 
     return conform(invoice_sources(spark, sf_dir))
+
+
+def json_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("custid"), F.col("c_name").alias("cname"),
+        F.col("c_acctbal").cast("decimal(10,2)").alias("spendlimit"),
+    )
+
+
+def json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as (custid, purchase JSON)."""
+    purchase = F.struct(
+        F.col("l_partkey").alias("prodid"), F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_extendedprice").alias("purchase_amount"), F.to_date("o_orderdate").alias("purchase_date"),
+    )
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return orders.join(items, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("custid"), F.to_json(purchase).alias("purchase")
+    )

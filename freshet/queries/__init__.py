@@ -13,7 +13,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 FAMILIES = [
-    "invoices",
+    "invoices", "relational", "windows", "semistructured",
 ]
 
 
