@@ -133,3 +133,37 @@ def json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(items, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("custid"), F.to_json(purchase).alias("purchase")
     )
+
+
+# --- two versions of a table -----------------------------------------------------
+
+def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "o_orderpriority",
+    )
+
+
+def orders_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as known at the end of 2000."""
+    return _order_rows(spark, sf_dir).where("day < DATE '2001-01-01'")
+
+
+def orders_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders later on: the first half of 1995 is gone, 2001 has arrived, and
+    pending orders of 2000 have become final with a surcharge."""
+    settled = (F.col("o_orderstatus") == "P") & (F.year("day") == 2000)
+    return _order_rows(spark, sf_dir).where("day >= DATE '1995-07-01'").withColumns({
+        "price": F.when(settled, F.col("price") + 100).otherwise(F.col("price")).cast("decimal(18,2)"),
+        "o_orderstatus": F.when(settled, "F").otherwise(F.col("o_orderstatus")),
+    })
+
+
+def customers_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'").select(
+        F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
+
+
+def customers_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").where("c_acctbal > 0").select(
+        F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
