@@ -167,3 +167,234 @@ def customers_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").where("c_acctbal > 0").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
+
+
+# --- refresh operations --------------------------------------------------------------
+#
+# One event is one refresh of the table named after its user.
+
+ROOTS, DIAMONDS = 16, 32  # tables below ROOTS read a base table only
+HIGH_VALUE = 200.0  # events above this mark constructs, edges to tracked tables and the like
+
+
+def _unit(column) -> Column:
+    return F.concat(F.lit("T"), F.lpad(column.cast("string"), 6, "0"))
+
+
+def _parent(n: Column, by: int) -> Column:
+    return F.floor(n / by).cast("bigint")
+
+
+def refresh_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    kind, n = F.col("event_type"), F.col("user_id")
+    second = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
+    statistics = F.to_json(F.struct(
+        (F.col("k") * 10).alias("compilationTimeMs"), F.floor(F.col("value") * 100).alias("executionTimeMs"),
+        (F.col("k") * 100).alias("numInsertedRows"), F.col("k").alias("numDeletedRows"),
+        (F.col("k") + n).alias("numCopiedRows"), F.lit(1).alias("numAddedPartitions"), F.lit(0).alias("numRemovedPartitions"),
+    ))
+    parent = F.struct(_unit(_parent(n, 2)).alias("name"), F.col("k").alias("rows"))
+    far = F.struct(_unit(_parent(n, 4)).alias("name"), (F.col("k") * 2).alias("rows"))
+    inputs = F.when(n >= DIAMONDS, F.array(parent, far)).when(n >= ROOTS, F.array(parent))
+    return events.select(
+        _unit(n).alias("name"),
+        F.when(kind == "error", "FAILED").when(kind == "signup", "SKIPPED").otherwise("SUCCEEDED").alias("state"),
+        F.when(kind == "error", F.concat(F.lit("E"), F.col("k").cast("string"))).alias("state_code"),
+        F.when(kind == "error", F.when(F.col("k") < 20, "change tracking is off").otherwise("query failed")).alias("state_message"),
+        second.alias("refresh_start_time"),
+        (second + F.make_dt_interval(secs=F.floor("value"))).cast("timestamp_ntz").alias("refresh_end_time"),
+        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("data_timestamp"),
+        F.when(kind == "click", "FULL").when(kind == "purchase", F.when(F.col("k") < 10, "REINITIALIZE").otherwise("INCREMENTAL"))
+        .when(kind == "signup", "NO_DATA").otherwise("INCREMENTAL").alias("refresh_action"),
+        F.when((kind == "view") & (F.col("k") < 3), "CREATION").when(F.col("k") >= 90, "MANUAL").otherwise("SCHEDULED").alias("refresh_trigger"),
+        F.concat(F.lit("Q"), F.lpad(F.col("event_id").cast("string"), 9, "0")).alias("query_id"),
+        statistics.alias("statistics"),
+        F.lit(36000).cast("bigint").alias("target_lag_sec"),
+        F.date_trunc("week", F.col("ts")).cast("timestamp_ntz").alias("graph_history_valid_from"),
+        inputs.alias("inputs_with_changed_data"),
+        F.when((kind == "purchase") & (F.col("k") < 10), "input replaced").alias("reinit_reason"),
+    )
+
+
+def table_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per maintained table, with what its owner asked for."""
+    per_user = table(spark, sf_dir, "events").groupBy("user_id").agg(
+        F.max("value").alias("top"), F.count_if(F.col("event_type") == "click").alias("clicks"),
+        F.count_if(F.col("event_type") == "view").alias("views"))
+    return per_user.select(
+        _unit(F.col("user_id")).alias("name"),
+        F.when(F.col("top") > 300, "SUSPENDED").otherwise("ACTIVE").alias("scheduling_state"),
+        F.when(F.col("clicks") > F.col("views"), "FULL").otherwise("INCREMENTAL").alias("refresh_mode"),
+        F.when(F.col("top") > 150, "INCREMENTAL").otherwise("FULL").alias("expected_mode"),
+        F.lit(36000).cast("bigint").alias("target_lag"),
+    )
+
+
+def graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current dependency rows (name, inputs array of {name, kind})."""
+    n = F.col("user_id")
+
+    def entry(name: Column, kind: str) -> Column:
+        return F.struct(name.alias("name"), F.lit(kind).alias("kind"))
+
+    base = entry(F.concat(F.lit("BASE_"), n.cast("string")), "TABLE")
+    near, far = entry(_unit(_parent(n, 2)), "MAINTAINED"), entry(_unit(_parent(n, 4)), "MAINTAINED")
+    inputs = F.when(n >= DIAMONDS, F.array(near, far)).when(n >= ROOTS, F.array(near)).otherwise(F.array(base))
+    return table(spark, sf_dir, "events").select("user_id").distinct().select(_unit(n).alias("name"), inputs.alias("inputs"))
+
+
+def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All maintained tables, including those only named as an input."""
+    rows = graph(spark, sf_dir)
+    named = rows.select(F.explode("inputs").alias("i")).where(F.col("i.kind") == "MAINTAINED").select(F.col("i.name").alias("node"))
+    return rows.select(F.col("name").alias("node")).unionByName(named).distinct()
+
+
+def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One span per table and day; links point at the inputs' spans of that day."""
+    n, day = F.col("user_id"), F.col("day")
+
+    def span_of(node: Column) -> Column:
+        return F.concat(F.lit("S"), node.cast("string"), F.lit("@"), day.cast("string"))
+
+    def link(node: Column) -> Column:
+        return F.struct(span_of(node).alias("span_id"), F.concat(F.lit("C@"), day.cast("string")).alias("trace_id"))
+
+    per_day = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("all"), F.count_if(F.col("event_type") == "error").alias("bad"),
+        F.count_if(F.col("event_type") == "signup").alias("idle"), F.min("ts").alias("first"),
+        F.sum(F.floor("value")).alias("work"))
+    near, far = link(_parent(n, 2)), link(_parent(n, 4))
+    state = F.when(F.col("bad") > F.col("idle"), "FAILED").when(F.col("idle") > 0, "SKIPPED").otherwise("SUCCEEDED")
+    start = F.date_trunc("second", F.col("first")).cast("timestamp_ntz")
+    reason = (F.when(state == "FAILED", "QUERY_FAILURE")
+              .when((state == "SKIPPED") & (F.col("idle") > 1), "NOT_EFFECTIVE_TICK_TO_REFRESH")
+              .when((state == "SKIPPED") & (F.col("bad") > 0), "UPSTREAM_FAILURE")
+              .when(state == "SKIPPED", "UPSTREAM_SKIP"))
+    return per_day.select(
+        F.concat(F.lit("C@"), day.cast("string")).alias("trace_id"), span_of(n).alias("span_id"), _unit(n).alias("name"),
+        day.cast("timestamp_ntz").alias("data_timestamp"), state.alias("state"), reason.alias("state_reason"),
+        start.alias("start_timestamp"),
+        (start + F.make_dt_interval(secs=F.when(state == "SKIPPED", 0).otherwise(F.col("work")))).cast("timestamp_ntz").alias("end_timestamp"),
+        F.when(n >= DIAMONDS, F.array(near, far)).when(n >= ROOTS, F.array(near)).otherwise(F.array()).alias("links"),
+    )
+
+
+# --- definitions, tasks, grants ---------------------------------------------------------
+
+def _per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per user with measures that stand in for settings."""
+    kind = F.col("event_type")
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(
+        F.max("value").alias("top"), F.count(F.lit(1)).alias("n"),
+        *[F.count_if(kind == k).alias(k) for k in ("view", "click", "purchase", "signup", "error")])
+
+
+def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, kind) of everything in the catalog; quiet tables are hidden."""
+    top = F.col("top")
+    kind = F.when(top > 300, "MAINTAINED").when(top > 190, "VIEW").when(top > 180, "EXTERNAL TABLE").otherwise("TABLE")
+    return _per_unit(spark, sf_dir).where(F.col("error") <= F.col("n") / 3).select(_unit(F.col("user_id")).alias("name"), kind.alias("kind"))
+
+
+def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators.graph import edges
+
+    return edges(graph(spark, sf_dir), kinds=["MAINTAINED"]).select("child", "parent")
+
+
+def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v, c, p, s, e = (F.col(k) for k in ("view", "click", "purchase", "signup", "error"))
+    return _per_unit(spark, sf_dir).select(
+        _unit(F.col("user_id")).alias("name"),
+        F.when(v > c, "CUSTOM").otherwise("STANDARD").alias("kind"),
+        F.when(c > v, "FULL").otherwise("INCREMENTAL").alias("refresh_mode"),
+        F.floor(F.col("top")).alias("target_lag_sec"),
+        (p > s).alias("start_at"), (e > s).alias("backfill"),
+        F.when(v > e, "day < '2024-01-15'").alias("frozen_predicate"),
+        F.when(s > v, 2).otherwise(1).alias("statements"), F.when(e > v, 2).otherwise(1).alias("targets"),
+        (c >= p).alias("columns_declared"), (c < s).alias("reads_own_changes"), (p > v).alias("procedural"),
+    )
+
+
+def models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _per_unit(spark, sf_dir).select(
+        _unit(F.col("user_id")).alias("name"),
+        F.when(F.col("click") > F.col("view"), "FULL").otherwise("INCREMENTAL").alias("mode"),
+        (F.col("purchase") > F.col("signup")).alias("has_key"), (F.col("top") > 300).alias("tracked"))
+
+
+CONSTRUCT_OF = {"view": "GROUP BY", "click": "INNER JOIN", "purchase": "ROW_NUMBER", "signup": "PIVOT", "error": "ROLLUP"}
+
+
+def constructs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, construct, key_columns): high-value events mark a construct."""
+    kind = F.col("event_type")
+    word = F.coalesce(*[F.when(kind == k, w) for k, w in CONSTRUCT_OF.items()])
+    keys = F.when(kind == "purchase", F.array(F.lit("id"))).when(kind == "view", F.array(F.lit("day"), F.lit("region")))
+    return table(spark, sf_dir, "events").where(F.col("value") > HIGH_VALUE).select(
+        _unit(F.col("user_id")).alias("name"), word.alias("construct"), keys.alias("key_columns")).distinct()
+
+
+def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v, c, p, s, e = (F.col(k) for k in ("view", "click", "purchase", "signup", "error"))
+    rows = _per_unit(spark, sf_dir).select(
+        _unit(F.col("user_id")).alias("name"), F.floor("top").alias("schedule_sec"),
+        F.concat(F.floor("top").cast("string"), F.lit(" seconds")).alias("schedule"),
+        F.when(v > c, "EXTERNAL TABLE").otherwise("TABLE").alias("source_kind"),
+        (p > s).alias("view_between"), F.when(e > c, 2).otherwise(1).alias("statements"),
+        (s > c).alias("append_only"), (e > s).alias("static_join"))
+    inputs = graph(spark, sf_dir).select(
+        "name", F.expr("transform(filter(inputs, i -> i.kind = 'MAINTAINED'), i -> i.name)").alias("predecessors"))
+    return rows.join(inputs, "name")
+
+
+def role_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as users, nations as roles."""
+    return table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_name").alias("user"), F.col("n_name").alias("role"))
+
+
+def role_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A nation inherits from its region."""
+    return table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("child"), F.col("r_name").alias("parent"))
+
+
+def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag", "l_quantity")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    return items.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
+        supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+
+
+def grants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles may read the brands their suppliers had returned in bulk; the
+    largest returns withdrew the grant again."""
+    rows = _shipments(spark, sf_dir).where("l_returnflag = 'R' AND l_quantity >= 45")
+    named = rows.join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    role = F.when(F.col("l_quantity") == 49, F.col("r_name")).otherwise(F.col("n_name"))
+    return named.select(role.alias("role"), F.col("p_brand").alias("object"), F.lit("SELECT").alias("privilege"),
+                        F.when(F.col("l_quantity") == 50, F.lit("2024-01-01").cast("date")).alias("deleted_on"))
+
+
+def required_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _shipments(spark, sf_dir).where("l_returnflag = 'A'")
+    return rows.select(F.col("s_name").alias("user"), F.col("p_brand").alias("object"), F.lit("SELECT").alias("privilege")).distinct()
+
+
+def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = F.when(F.col("s_acctbal") > 6000, "db.sec.").when(F.col("s_acctbal") > 3000, "sec.").otherwise("")
+    body = F.concat(F.lit("CASE WHEN EXISTS (SELECT 1 FROM "), schema, F.lit("acl_"), F.col("s_nationkey").cast("string"), F.lit(") THEN val END"))
+    return table(spark, sf_dir, "supplier").select(F.col("s_name").alias("policy"), body.alias("body"))
+
+
+def policy_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shipments(spark, sf_dir).select(
+        F.col("s_name").alias("policy"), F.col("p_brand").alias("table"), F.lit("price").alias("column")).distinct()

@@ -80,7 +80,12 @@ def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], or
 
 
 def first_within(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
-    """First row per key within a watermark, with state bounded by ``delay``."""
+    """First row per key within a watermark, with state bounded by ``delay``.
+
+    Watermarks need an instant, so a timestamp without zone is read as UTC
+    (the session time zone).
+    """
+    stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
