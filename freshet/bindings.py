@@ -398,3 +398,97 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def policy_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shipments(spark, sf_dir).select(
         F.col("s_name").alias("policy"), F.col("p_brand").alias("table"), F.lit("price").alias("column")).distinct()
+
+
+# --- food trucks ---------------------------------------------------------------------------
+
+def trucks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Lines, orders, parts, nations, regions and customers as the star tables;
+    only customers in credit are loyalty members."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    customer = table(spark, sf_dir, "customer")
+    orders = table(spark, sf_dir, "orders").join(
+        customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    none = F.lit(None).cast("string")
+    items = table(spark, sf_dir, "lineitem")
+    return {
+        "detail": items.select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_detail_id"), F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("menu_item_id"), F.col("l_linenumber").cast("long").alias("line_number"),
+            F.col("l_quantity").cast("decimal(5,0)").alias("quantity"), F.col("l_tax").cast("decimal(38,4)").alias("unit_price"),
+            F.col("l_extendedprice").cast("decimal(18,4)").alias("price")),
+        "header": orders.select(
+            F.col("o_orderkey").alias("order_id"), F.col("c_nationkey").cast("long").alias("truck_id"),
+            (F.col("c_nationkey") + 1000).cast("double").alias("location_id"), F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("order_ts"), F.col("o_totalprice").cast("decimal(18,4)").alias("order_amount"),
+            none.alias("order_tax_amount"), none.alias("order_discount_amount"),
+            F.col("o_totalprice").cast("decimal(18,4)").alias("order_total")),
+        "truck": places.select(
+            F.col("n_nationkey").cast("long").alias("truck_id"), F.col("n_name").alias("primary_city"), F.col("r_name").alias("region"),
+            F.col("r_name").alias("country"), F.lit(1).cast("long").alias("franchise_flag"), F.col("n_regionkey").cast("long").alias("franchise_id")),
+        "menu": table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("menu_item_id"), F.col("p_brand").alias("truck_brand_name"), F.col("p_type").alias("menu_type"),
+            F.col("p_name").alias("menu_item_name")),
+        "franchise": region.select(
+            F.col("r_regionkey").cast("long").alias("franchise_id"), F.col("r_name").alias("first_name"), F.upper("r_name").alias("last_name")),
+        "location": nation.select((F.col("n_nationkey") + 1000).cast("long").alias("location_id"), F.col("n_name").alias("location")),
+        "loyalty": customer.where("c_acctbal > 0").select(
+            F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("first_name"), F.col("c_mktsegment").alias("last_name"),
+            F.concat(F.lit("city"), F.col("c_nationkey").cast("string")).alias("city"), F.lit("X").alias("country"),
+            F.concat("c_name", F.lit("@x.org")).alias("e_mail"), F.col("c_custkey").cast("string").alias("phone_number"),
+            F.lit("0").alias("children_count"), none.alias("gender"), none.alias("marital_status")),
+    }
+
+
+def star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .plans.trucks import orders_star
+
+    return orders_star(**trucks(spark, sf_dir))
+
+
+def weather_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A supplier is a postal code, and what it ships in a day is the weather."""
+    supplier = table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    day = F.to_date("l_shipdate")
+    shipped = table(spark, sf_dir, "lineitem").groupBy(day.alias("date_valid_std"), "l_suppkey").agg(
+        F.max("l_quantity").alias("q"), F.max("l_discount").alias("d"), F.max("l_tax").alias("t"))
+    return shipped.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        "date_valid_std", F.col("s_suppkey").cast("string").alias("postal_code"),
+        F.concat(F.lit("C"), F.col("n_regionkey").cast("string")).alias("country"), F.col("n_name").alias("city_name"),
+        (F.col("q") + 30).cast("decimal(10,4)").alias("avg_temperature_air_2m_f"),
+        F.col("d").cast("decimal(10,4)").alias("tot_precipitation_in"), (F.col("t") * 1000).cast("decimal(10,4)").alias("max_wind_speed_100m_mph"))
+
+
+def postal_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").cast("string").alias("postal_code"), F.concat(F.lit("C"), F.col("n_regionkey").cast("string")).alias("country"),
+        F.col("n_name").alias("city_name"))
+
+
+def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.concat(F.lit("C"), F.col("n_regionkey").cast("string")).alias("iso_country"), F.col("n_name").alias("city"), F.col("r_name").alias("country"))
+
+
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .plans.trucks import daily_weather
+
+    return daily_weather(weather_history(spark, sf_dir), postal_codes(spark, sf_dir), countries(spark, sf_dir))
+
+
+# --- marketing and support --------------------------------------------------------------------
+
+def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks of a day: events by user and kind of event."""
+    return table(spark, sf_dir, "events").groupBy(
+        F.to_date("ts").alias("date"), F.col("event_type").alias("campaign_name"),
+        F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string")).alias("category")).agg(
+        F.count(F.lit(1)).alias("impressions"), F.sum(F.floor("value")).alias("clicks"))
+
+
+def support_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("title"), F.col("source").alias("product"),
+        F.col("text").alias("transcript"))

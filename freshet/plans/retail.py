@@ -41,15 +41,18 @@ def customer_orders(customers: DataFrame, orders: DataFrame, with_product: bool
 
 def campaign_feedback(campaigns: DataFrame, cases: DataFrame, sentiment: str = "sentiment") -> DataFrame:
     """Clicks of a campaign next to the sentiment of every case of the same
-    category.
+    category, as distinct rows with ``copies``.
 
-    The result has one row per (campaign row, case), as asked for.  Use
-    ``clicks_and_satisfaction`` where one row per category is enough; it sums
-    up both sides before they meet.
+    Joining row by row would pair every campaign row of a category with every
+    case of it.  Equal rows are counted on both sides first; the product of the
+    counts says how often the plain join would show the row.
     """
-    return campaigns.join(cases, campaigns.category == cases["product"]).select(
-        "campaign_name", "clicks", F.col("product").alias("product_name"), F.col(sentiment).alias("avg_sentiment")
-    )
+    shown = campaigns.groupBy("category", "campaign_name", "clicks").agg(F.count(F.lit(1)).alias("_a"))
+    moods = cases.groupBy(F.col("product").alias("category"), F.col(sentiment).alias("avg_sentiment")).agg(
+        F.count(F.lit(1)).alias("_b"))
+    return shown.join(moods, "category").select(
+        "campaign_name", "clicks", F.col("category").alias("product_name"), "avg_sentiment",
+        (F.col("_a") * F.col("_b")).alias("copies"))
 
 
 def clicks_and_satisfaction(campaigns: DataFrame, cases: DataFrame, sentiment: str = "sentiment") -> DataFrame:

@@ -13,7 +13,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 FAMILIES = [
-    "invoices", "relational", "windows", "semistructured", "changes", "streaming", "health", "lineage", "rules",
+    "invoices", "relational", "windows", "semistructured", "changes", "streaming", "health", "lineage", "rules", "semantic", "text", "trucks", "sources",
 ]
 
 
