@@ -35,18 +35,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _text(column: str) -> Column:
-    return F.col(column).cast("string")
-
-
-def _pick(words: dict[str, str], column: str) -> Column:
-    choice = None
-    for key, word in words.items():
-        test = F.col(column) == key
-        choice = F.when(test, word) if choice is None else choice.when(test, word)
-    return choice
-
-
 def _invoice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
@@ -55,31 +43,32 @@ def _invoice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
 
 
-def _native(rows: DataFrame, tag: str, names: list[str], extra: dict[str, Column]) -> DataFrame:
+def _native(rows: DataFrame, tag: str, names: list[str], extra: dict[str, str]) -> DataFrame:
     """One landing table: the common facts of an order under native names."""
-    days = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), 30).otherwise(60)
-    usd = "EUR" if tag == "BAAN" else "USD"
-    prefix = PREFIX[tag]
+    prefix, usd = PREFIX[tag], "EUR" if tag == "BAAN" else "USD"
+    days = "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 30 ELSE 60 END"
+    words = " ".join(f"WHEN '{status}' THEN '{word}'" for status, word in STATUS_WORDS[tag].items())
+    segments = ", ".join(f"'{s}'" for s in SEGMENTS[tag])
     facts = [
-        F.concat(F.lit(f"{prefix}-"), _text("o_orderkey")),
-        F.concat(F.lit(f"{prefix}-INV-"), _text("o_orderkey")),
-        F.concat(F.lit("V-"), _text("c_custkey")),
-        F.col("c_name"),
-        F.col("o_orderdate").cast("date"),
-        F.date_add(F.col("o_orderdate").cast("date"), days),
-        F.col("o_totalprice").cast("decimal(18,2)"),
-        F.when(F.col("c_nationkey") < 9, usd).when(F.col("c_nationkey") < 17, "EUR").otherwise("GBP"),
-        F.concat(F.lit(TERMS[tag]), days.cast("string")),
-        F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("PO-"), _text("o_orderkey"))),
-        F.concat_ws(" ", "c_mktsegment", "o_orderpriority"),
-        F.concat(F.lit(f"{prefix}-GL-"), F.lpad(_text("c_nationkey"), 3, "0")),
-        F.concat(F.lit(f"{prefix}-CC-"), F.col("o_orderstatus")),
-        _pick(STATUS_WORDS[tag], "o_orderstatus"),
-        F.col("o_orderdate").cast("timestamp_ntz"),
+        f"'{prefix}-' || o_orderkey",
+        f"'{prefix}-INV-' || o_orderkey",
+        "'V-' || c_custkey",
+        "c_name",
+        "CAST(o_orderdate AS DATE)",
+        f"date_add(CAST(o_orderdate AS DATE), {days})",
+        "CAST(o_totalprice AS DECIMAL(18,2))",
+        f"CASE WHEN c_nationkey < 9 THEN '{usd}' WHEN c_nationkey < 17 THEN 'EUR' ELSE 'GBP' END",
+        f"'{TERMS[tag]}' || {days}",
+        "CASE WHEN o_orderpriority <> '5-LOW' THEN 'PO-' || o_orderkey END",
+        "c_mktsegment || ' ' || o_orderpriority",
+        f"'{prefix}-GL-' || lpad(CAST(c_nationkey AS STRING), 3, '0')",
+        f"'{prefix}-CC-' || o_orderstatus",
+        f"CASE o_orderstatus {words} END",
+        "CAST(o_orderdate AS TIMESTAMP_NTZ)",
     ]
-    own = rows.where(F.col("c_mktsegment").isin(SEGMENTS[tag]))
-    return own.select(*[f.alias(n) for f, n in zip(facts, names, strict=True)],
-                      *[value.alias(name) for name, value in extra.items()])
+    columns = [f"{fact} AS {name}" for fact, name in zip(facts, names, strict=True)]
+    columns += [f"{fact} AS {name}" for name, fact in extra.items()]
+    return rows.where(f"c_mktsegment IN ({segments})").selectExpr(*columns)
 
 
 def invoice_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -92,10 +81,10 @@ def invoice_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     rows = _invoice_rows(spark, sf_dir)
     extra = {
-        "SAP": {"sap_company_code": _text("c_nationkey"), "sap_document_type": F.col("o_orderstatus")},
-        "ORACLE": {"oracle_org_id": _text("c_nationkey"), "oracle_source": F.col("o_orderpriority")},
-        "BAAN": {"ban_company": _text("c_nationkey")},
-        "WORKDAY": {"wd_tenant_id": F.when(F.col("c_nationkey") < 9, "WD-T1").otherwise("WD-T2")},
+        "SAP": {"sap_company_code": "CAST(c_nationkey AS STRING)", "sap_document_type": "o_orderstatus"},
+        "ORACLE": {"oracle_org_id": "CAST(c_nationkey AS STRING)", "oracle_source": "o_orderpriority"},
+        "BAAN": {"ban_company": "CAST(c_nationkey AS STRING)"},
+        "WORKDAY": {"wd_tenant_id": "CASE WHEN c_nationkey < 9 THEN 'WD-T1' ELSE 'WD-T2' END"},
     }
     sources = {tag: _native(rows, tag, list(MAPPINGS[tag].values()), extra[tag]) for tag in MAPPINGS}
     urgent = rows.where(F.col("o_orderpriority") == "1-URGENT")

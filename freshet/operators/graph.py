@@ -103,38 +103,32 @@ def components(edge_rows: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def longest_paths(edge_rows: DataFrame, weights: DataFrame) -> DataFrame:
+def longest_paths(edge_rows: DataFrame, weights: DataFrame, max_depth: int = 1000) -> DataFrame:
     """Per node the heaviest path from a root down to it: (node, total, via).
 
-    ``weights`` has (node, weight).  Totals are relaxed level by level, keeping
-    one best total per node, so diamonds do not multiply paths.  ``via`` is the
-    parent on the best path.  A cycle is reported instead of looping.
+    ``weights`` has (node, weight), not negative.  Round k holds, per node, the
+    heaviest path of exactly k edges ending there, so diamonds do not multiply
+    paths and the rounds follow the depth of the graph.  ``via`` is the parent
+    on the best path.  More rounds than ``max_depth`` mean a cycle, which is
+    reported instead of looping.
     """
-    step = cut_lineage(edge_rows.select("parent", "child").distinct())
-    best = cut_lineage(weights.select("node", F.col("weight").alias("total"), F.lit(None).cast(
-        dict(edge_rows.dtypes)["parent"]).alias("via")))
-    weight = weights.select(F.col("node"), F.col("weight"))
-    limit = None
-    frontier, rounds = best, 0
-    while True:
-        offered = (
-            frontier.join(step, frontier.node == step.parent)
+    node_type = dict(edge_rows.dtypes)["parent"]
+    step = cut_lineage(
+        edge_rows.select("parent", "child").distinct().join(weights.select(F.col("node").alias("child"), "weight"), "child"))
+    level = weights.select("node", F.col("weight").alias("total"), F.lit(None).cast(node_type).alias("via"))
+    levels = level
+    for _ in range(max_depth):
+        level = cut_lineage(
+            level.select(F.col("node").alias("parent"), "total").join(step, "parent")
             .groupBy(F.col("child").alias("node"))
-            .agg(F.max("total").alias("_t"), F.min_by("parent", F.struct(-F.col("total"), F.col("parent"))).alias("_via"))
-            .join(weight, "node")
-            .select("node", (F.col("_t") + F.col("weight")).alias("_t"), "_via")
-        )
-        better = offered.join(best, "node").where(F.col("_t") > F.col("total"))
-        frontier = cut_lineage(better.select("node", F.col("_t").alias("total"), F.col("_via").alias("via")))
-        changed = frontier.count()
-        if changed == 0:
-            return best
-        rounds += 1
-        if limit is None:
-            limit = best.count()
-        if rounds > limit:
-            raise CycleError("the edges form a cycle")
-        best = cut_lineage(anti(best, frontier, ["node"]).unionByName(frontier))
+            .agg(F.max(F.col("total") + F.col("weight")).alias("total"),
+                 F.min_by("parent", F.struct(-F.col("total"), F.col("parent"))).alias("via")))
+        if level.isEmpty():
+            # the heaviest wins; among equals the parent that sorts first
+            best = F.min_by(F.struct("total", "via"), F.struct(-F.col("total"), F.col("via")))
+            return levels.groupBy("node").agg(best.alias("b")).select("node", "b.total", "b.via")
+        levels = levels.unionByName(level)
+    raise CycleError(f"no end after {max_depth} levels: the edges form a cycle")
 
 
 def depths(edge_rows: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .search import tokens
+from .search import occurrences, tokens
 
 POSITIVE = ["good", "great", "happy", "love", "excellent", "perfect", "thanks", "helpful", "fast", "comfortable"]
 NEGATIVE = ["bad", "broken", "late", "unhappy", "terrible", "wrong", "refund", "slow", "defective", "disappointed"]
@@ -24,8 +24,10 @@ ISSUES = {
 
 
 def _count(words: Column, listed: Sequence[str]) -> Column:
-    wanted = list(listed)
-    return F.size(F.filter(words, lambda w: w.isin(wanted)))
+    total = F.lit(0)
+    for word in listed:
+        total = total + occurrences(words, word)
+    return total
 
 
 def sentiment(words: Column, positive: Sequence[str] = POSITIVE, negative: Sequence[str] = NEGATIVE) -> Column:
@@ -41,9 +43,9 @@ def classify(words: Column, labels: Mapping[str, Mapping[str, int]] = ISSUES) ->
     for keywords in labels.values():
         weight = F.lit(0)
         for word, points in keywords.items():
-            weight = weight + _count(words, [word]) * points
+            weight = weight + occurrences(words, word) * points
         weights.append(weight)
-    best = F.greatest(*weights) if len(weights) > 1 else weights[0]
+    best = F.greatest(F.lit(0), *weights)
     choice = None
     for label, weight in zip(labels, weights):
         hit = (weight == best) & (best > 0)
@@ -51,13 +53,20 @@ def classify(words: Column, labels: Mapping[str, Mapping[str, int]] = ISSUES) ->
     return choice
 
 
-def enrich_cases(cases: DataFrame, text: str = "transcript", **lists) -> DataFrame:
+def enrich_cases(
+    cases: DataFrame, text: str = "transcript", positive: Sequence[str] = POSITIVE,
+    negative: Sequence[str] = NEGATIVE, labels: Mapping[str, Mapping[str, int]] = ISSUES,
+) -> DataFrame:
     """Support cases with their sentiment and issue category.
 
-    The text is split into words once, in a projection of its own.
+    Each text is split once and cut down to the listed words in projections of
+    their own; everything after that counts in very short arrays.
     """
+    listed = [*positive, *negative, *[w for keywords in labels.values() for w in keywords]]
     words = F.col("_words")
-    return cases.withColumn("_words", tokens(text)).withColumns({
-        "sentiment": sentiment(words, lists.get("positive", POSITIVE), lists.get("negative", NEGATIVE)),
-        "issue_category": classify(words, lists.get("labels", ISSUES)),
-    }).drop("_words")
+    return (
+        cases.withColumn("_words", tokens(text))
+        .withColumn("_words", F.filter("_words", lambda w: w.isin(listed)))
+        .withColumns({"sentiment": sentiment(words, positive, negative), "issue_category": classify(words, labels)})
+        .drop("_words")
+    )

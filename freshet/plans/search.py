@@ -1,7 +1,7 @@
 """Ranked text search (BM25) and vector search.
 
-``bm25`` answers one question by scanning the texts; the frequencies of its few
-terms are counted inside each row, so nothing but statistics is shuffled.
+``bm25`` answers one question by scanning the texts once; the frequencies of its
+few terms are counted inside each row, so no word is shuffled.
 ``build_index`` stores postings once for many questions, and ``search_index``
 answers a table of them.  ``vector_topk`` keeps the best matches per task before
 anything is shuffled.
@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # The usual BM25 parameters, and the most results a search gives.
 K1, B = 1.2, 0.75
 MAX_RESULTS = 10
@@ -36,11 +38,13 @@ def searchable_invoices(invoices: DataFrame) -> DataFrame:
 def tokens(text: Column | str) -> Column:
     """Lower-case words: runs of letters and digits."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def occurrences(words: Column | str, term: str) -> Column:
-    return F.size(F.filter(words, lambda w: w == term))
+    """How often a word occurs; ARRAY_REMOVE stays in generated code, where a
+    filter with a lambda would not."""
+    return F.size(words) - F.size(F.array_remove(words, term))
 
 
 def question_terms(question: str) -> list[str]:
@@ -65,33 +69,31 @@ def _saturation(tf: Column, length: Column, average: Column) -> Column:
 
 def bm25(docs: DataFrame, id_column: str, text: str, question: str, k: int = MAX_RESULTS,
          filters: Mapping[str, object] | None = None, digits: int = 6) -> DataFrame:
-    """The ``k`` texts that match the question best, with all their columns.
+    """The ``k`` texts that match the question best: id, filter columns, score.
 
-    Word statistics come from all texts, filters narrow the answer only.
-    Scores are rounded before ranking so that equal texts tie and the id
-    decides.
+    Word statistics come from all texts, filters narrow the answer only.  The
+    texts are read and split once; what is kept of each is its length and the
+    counts of the question's terms, and both the statistics and the ranking
+    work on that.  Scores are rounded before ranking so that equal texts tie
+    and the id decides.
     """
     terms = question_terms(question)
-    words = docs.withColumn("_words", tokens(text))
-    counted = words.withColumns({
-        "_len": F.size("_words"),
-        **{f"_tf{i}": occurrences("_words", t) for i, t in enumerate(terms)},
-    }).drop("_words")
+    kept = [id_column, *[c for c in (filters or {}) if c != id_column]]
+    if not terms:
+        return docs.select(*kept, F.lit(0.0).alias("score")).limit(0)
+    words = docs.select(*kept, tokens(text).alias("_words"))
+    counted = cut_lineage(words.select(
+        *kept, F.size("_words").alias("_len"), *[occurrences("_words", t).alias(f"_tf{i}") for i, t in enumerate(terms)]))
+    tfs = [F.col(f"_tf{i}") for i in range(len(terms))]
     stats = counted.agg(F.struct(
         F.count(F.lit(1)).alias("n"), F.avg("_len").alias("len"),
-        *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
+        *[F.count_if(tf > 0).alias(f"df{i}") for i, tf in enumerate(tfs)],
     ).alias("s")).scalar()
     score = F.lit(0.0)
-    for i in range(len(terms)):
-        score = score + _idf(stats["n"], stats[f"df{i}"]) * _saturation(F.col(f"_tf{i}"), F.col("_len"), stats["len"])
-    found = None
-    for i in range(len(terms)):
-        hit = F.col(f"_tf{i}") > 0
-        found = hit if found is None else found | hit
-    if found is None:
-        found = F.lit(False)
-    scored = _filtered(counted, filters).where(found).withColumn("score", F.round(score, digits))
-    return scored.select(*docs.columns, "score").orderBy(F.col("score").desc(), id_column).limit(k)
+    for i, tf in enumerate(tfs):
+        score = score + _idf(stats["n"], stats[f"df{i}"]) * _saturation(tf, F.col("_len"), stats["len"])
+    matched = _filtered(counted, filters).where(F.greatest(F.lit(0), *tfs) > 0)
+    return matched.select(*kept, F.round(score, digits).alias("score")).orderBy(F.col("score").desc(), id_column).limit(k)
 
 
 def build_index(docs: DataFrame, id_column: str, text: str, attributes: Sequence[str] = ()) -> DataFrame:

@@ -35,7 +35,7 @@ def _(spark, sf):
 WITH {DOCS}, hit AS (SELECT * FROM tf WHERE term IN ('rewh', 'thatin', 'orantion')), freq AS (SELECT term, count(*) AS df FROM hit GROUP BY 1)
 SELECT doc_id, round(sum({PART}), 6) AS score FROM hit JOIN freq USING (term), stat GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
 def _(spark, sf):
-    return se.bm25(documents(spark, sf).select("doc_id", "text"), "doc_id", "text", "Rewh thatin, orantion?").drop("text")
+    return se.bm25(documents(spark, sf).select("doc_id", "text"), "doc_id", "text", "Rewh thatin, orantion?")
 
 
 @query("text_search_filtered", f"""
@@ -43,7 +43,7 @@ WITH {DOCS}, hit AS (SELECT * FROM tf WHERE term IN ('de', 'und', 'ing')), freq
 SELECT doc_id, lang, round(sum({PART}), 6) AS score FROM hit JOIN freq USING (term), stat WHERE lang IN ('fr', 'de') GROUP BY 1, 2 ORDER BY 3 DESC, 1 LIMIT 10""")
 def _(spark, sf):
     docs = documents(spark, sf).select("doc_id", "lang", "text")
-    return se.bm25(docs, "doc_id", "text", "de und ing", filters={"lang": ["fr", "de"]}).drop("text")
+    return se.bm25(docs, "doc_id", "text", "de und ing", filters={"lang": ["fr", "de"]})
 
 
 @query("text_index", f"WITH {DOCS} SELECT term, doc_id, dl AS length, tf FROM tf")

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # call sites are looked up per column expression otherwise
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
