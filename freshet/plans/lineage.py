@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph as g
 from ..operators.windows import ordered_windows
+from ..session import cut_lineage
 
 # Kinds a maintained table cannot read, directly or through views.
 UNSUPPORTED_KINDS = ["MAINTAINED", "EXTERNAL TABLE", "MATERIALIZED VIEW", "DIRECTORY TABLE"]
@@ -64,20 +65,27 @@ def trace_types(objects: DataFrame, reads: DataFrame) -> DataFrame:
     table: BLOCKER, UNKNOWN (an object nobody can see) or OK.
 
     ``objects``: (name, kind); ``reads``: (child, parent).  The walk goes on
-    through views only.
+    through views only.  It starts at the blocking and at the unseen objects
+    and marks the views above them, so it keeps one mark per view however many
+    objects a view rests on.  ``levels`` is the longest chain below the view.
     """
-    views = objects.where("kind = 'VIEW'").select(F.col("name").alias("child"))
-    through = reads.join(views, "child", "left_semi")
-    start = views.select(F.col("child").alias("view"), F.col("child").alias("node"))
-    reached = g.closure(through, start).where("depth > 0")
-    kinds = reached.join(objects.withColumnRenamed("name", "node"), "node", "left")
-    ends = kinds.where(F.coalesce(F.col("kind") != "VIEW", F.lit(True)))
-    levels = F.max(F.col("depth")).cast("bigint").alias("levels")
-    verdict = (
-        F.when(F.max(F.col("kind").isin(UNSUPPORTED_KINDS)), "BLOCKER")
-        .when(F.max(F.col("kind").isNull()), "UNKNOWN").otherwise("OK")
+    views = objects.where("kind = 'VIEW'").select("name")
+    through = cut_lineage(reads.join(views.withColumnRenamed("name", "child"), "child", "left_semi"))
+
+    def above(start: DataFrame, mark: str) -> DataFrame:
+        reached = g.closure(through, start.select(F.col("name").alias("node")), "downstream")
+        return reached.where("depth > 0").select(F.col("node").alias("name"), F.lit(True).alias(mark))
+
+    blocking = objects.where(F.col("kind").isin(UNSUPPORTED_KINDS))
+    unseen = through.select(F.col("parent").alias("name")).distinct().join(objects, "name", "left_anti")
+    nodes = through.select(F.col("child").alias("node")).unionByName(through.select(F.col("parent").alias("node"))).distinct()
+    levels = g.depths(through, nodes).select(F.col("node").alias("name"), F.col("depth").alias("levels"))
+    marked = (
+        views.join(through.select(F.col("child").alias("name")).distinct(), "name", "left_semi")
+        .join(above(blocking, "_blocked"), "name", "left").join(above(unseen, "_unseen"), "name", "left").join(levels, "name")
     )
-    return ends.groupBy("view").agg(levels, F.count(F.lit(1)).alias("base_objects"), verdict.alias("verdict"))
+    verdict = F.when(F.col("_blocked"), "BLOCKER").when(F.col("_unseen"), "UNKNOWN").otherwise("OK")
+    return marked.select(F.col("name").alias("view"), "levels", verdict.alias("verdict"))
 
 
 def effective_roles(members: DataFrame, hierarchy: DataFrame) -> DataFrame:

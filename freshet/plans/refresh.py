@@ -18,11 +18,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.changes import changes
+from ..operators.changes import changes, data_columns, from_weights, net_changes, weight
 
 HISTORY = """name string, version long, state string, state_message string, refresh_action string,
     refresh_trigger string, refresh_start_time timestamp_ntz, refresh_end_time timestamp_ntz,
-    changed_rows long, row_count long, schema string, input_versions map<string,long>, floor_version long"""
+    changed_rows long, row_count long, schema string, input_versions map<string,long>, floor_version long, has_changes boolean"""
 
 Frames = Mapping[str, DataFrame]
 
@@ -71,9 +71,15 @@ class MaintainedTables:
         self.definitions[definition.name] = definition
         self.keys[definition.name] = keys
 
-    def publish(self, name: str, df: DataFrame) -> int:
-        """Store the next version of a base table."""
-        return self._store(name, df, "PUBLISH", "MANUAL", {}, None, _now())
+    def publish(self, name: str, df: DataFrame, change_set: DataFrame | None = None) -> int:
+        """Store the next version of a base table.
+
+        A producer that knows what it changed hands over the change set too;
+        refreshes then read that instead of comparing two whole versions.
+        """
+        if change_set is not None:
+            change_set.write.mode("overwrite").parquet(self._delta_path(name, self.version(name) + 1))
+        return self._store(name, df, "PUBLISH", "MANUAL", {}, None, _now(), change_set is not None)
 
     def seed(self, name: str, df: DataFrame, input_versions: Mapping[str, int]) -> int:
         """Start a maintained table from existing contents, and go on from the
@@ -113,20 +119,42 @@ class MaintainedTables:
     def _path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v{version:08d}"
 
-    def _record(self, name, version, state, action, trigger, start, message=None, changed=None, rows=None,
-                schema=None, inputs=None, floor=None) -> None:
-        row = (name, version, state, message, action, trigger, start, _now(), changed, rows, schema, inputs or {}, floor)
-        self.spark.createDataFrame([row], HISTORY).coalesce(1).write.mode("append").parquet(f"{self.root}/_history")
+    def _delta_path(self, name: str, version: int) -> str:
+        return f"{self.root}/{name}/changes{version:08d}"
 
-    def _store(self, name, df, action, trigger, inputs, changed, start) -> int:
+    def _record(self, name, version, state, action, trigger, start, message=None, changed=None, rows=None,
+                schema=None, inputs=None, floor=None, has_changes=False) -> None:
+        row = (name, version, state, message, action, trigger, start, _now(), changed, rows, schema, inputs or {},
+               floor, has_changes)
+        # partitioned by table, so that looking one up lists its own rows only
+        self.spark.createDataFrame([row], HISTORY).coalesce(1).write.mode("append").partitionBy("name").parquet(
+            f"{self.root}/_history")
+
+    def _store(self, name, df, action, trigger, inputs, changed, start, has_changes=False) -> int:
         version = self.version(name) + 1
         path = self._path(name, version)
         df.write.mode("overwrite").parquet(path)
         rows = self.spark.read.parquet(path).count()
         self._record(name, version, "SUCCEEDED", action, trigger, start, changed=changed, rows=rows,
-                     schema=_layout(df), inputs=inputs)
+                     schema=_layout(df), inputs=inputs, has_changes=has_changes)
         return version
 
+    def changes_between(self, name: str, old: int, new: int) -> DataFrame:
+        """The change set from one version to another: the stored change sets
+        where every step has one, else a comparison of the two versions."""
+        if old < self._floor(name):
+            raise RetentionError(f"changes of {name} since version {old} are no longer kept")
+        done = (F.col("name") == name) & F.col("has_changes") & F.col("version").between(old + 1, new)
+        steps = sorted(r["version"] for r in self.history().where(done).select("version").distinct().collect())
+        if steps != list(range(old + 1, new + 1)):
+            return changes(self.read(name, old), self.read(name, new), self.keys[name])
+        log = self.spark.read.parquet(*[self._delta_path(name, v) for v in steps])
+        if len(steps) == 1:
+            return log
+        if self.keys[name]:
+            return net_changes(log, self.keys[name])
+        return from_weights(log.select(*data_columns(log), weight().alias("_w")))
+
     # --- refresh ---------------------------------------------------------------
 
     def order(self, target: str) -> list[str]:
@@ -177,8 +205,8 @@ class MaintainedTables:
         if table.apply is None or table.mode == "FULL":
             self._store(table.name, table.compute(current), "FULL", trigger, now, None, start)
             return
-        deltas = {name: changes(self.read(name, seen[name]), current[name], self.keys[name]) for name in table.inputs}
-        path = f"{self.root}/{table.name}/changes{last['version'] + 1:08d}"
+        deltas = {name: self.changes_between(name, seen[name], now[name]) for name in table.inputs}
+        path = f"{self.root}/{table.name}/input_changes{last['version'] + 1:08d}"
         kept, changed, total = {}, 0, 0
         for name, delta in deltas.items():
             # written once: counted here and read again by the refresh itself

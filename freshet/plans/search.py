@@ -154,9 +154,12 @@ def vector_topk(vectors: DataFrame, id_column: str, vector: str, questions: Data
             cosine = np.divide(rows @ matrix.T, size[:, None], out=np.zeros((len(rows), len(names))), where=size[:, None] > 0)
             cosine = np.round(cosine, digits)
             for q in kept:
-                order = np.lexsort((ids, -cosine[:, q]))[:k]
-                merged = kept[q] + [(-cosine[i, q], ids[i].item()) for i in order]
-                kept[q] = sorted(merged)[:k]
+                scores = cosine[:, q]
+                # everything from the k-th best score on, ties included
+                floor = np.partition(scores, -k)[-k] if len(scores) > k else -np.inf
+                better = np.flatnonzero(scores >= floor)
+                best = better[np.lexsort((ids[better], -scores[better]))[:k]]
+                kept[q] = sorted(kept[q] + [(-scores[i], ids[i].item()) for i in best])[:k]
         rows = [(names[q], key, -score) for q, best in kept.items() for score, key in best]
         if rows:
             yield pa.RecordBatch.from_pydict({

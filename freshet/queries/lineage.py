@@ -49,12 +49,13 @@ def _(spark, sf):
     return g.closure(table_edges(spark, sf), start, "downstream")
 
 
-@query("upstream_closure_of_all", f"""
-WITH RECURSIVE {EDGE}, walk(s, n, d) AS (SELECT n, n, 0 FROM node UNION SELECT s, edge.p, d + 1 FROM walk JOIN edge ON edge.n = walk.n)
-SELECT {unit('s')} AS origin, {unit('n')} AS node, min(d) AS depth FROM walk GROUP BY s, n""")
+@query("upstream_of_leaves", f"""
+WITH RECURSIVE {EDGE}, walk(n, d) AS (SELECT n, 0 FROM node WHERE n NOT IN (SELECT p FROM edge) UNION SELECT edge.p, d + 1 FROM walk JOIN edge ON edge.n = walk.n)
+SELECT {unit('n')} AS node, min(d) AS depth FROM walk GROUP BY n""")
 def _(spark, sf):
-    start = b.nodes(spark, sf).select(F.col("node").alias("origin"), "node")
-    return g.closure(table_edges(spark, sf), start, "upstream")
+    edges = table_edges(spark, sf)
+    leaves = b.nodes(spark, sf).join(edges.select(F.col("parent").alias("node")), "node", "left_anti")
+    return g.closure(edges, leaves, "upstream")
 
 
 @query("connected_components", f"""
@@ -86,11 +87,10 @@ OBJECTS = """obj AS (SELECT user_id AS n, CASE WHEN max(value) > 300 THEN 'MAINT
 @query("types_behind_views", f"""
 WITH RECURSIVE {EDGE}, {OBJECTS}, walk(v, n, d) AS (
   SELECT obj.n, p, 1 FROM obj JOIN edge ON edge.n = obj.n WHERE kind = 'VIEW'
-  UNION SELECT v, edge.p, d + 1 FROM walk JOIN obj ON obj.n = walk.n AND kind = 'VIEW' JOIN edge ON edge.n = walk.n),
-first AS (SELECT v, n, min(d) AS d FROM walk GROUP BY 1, 2)
-SELECT {unit('v')} AS view, CAST(max(d) AS BIGINT) AS levels, count(*) AS base_objects,
+  UNION SELECT v, edge.p, d + 1 FROM walk JOIN obj ON obj.n = walk.n AND kind = 'VIEW' JOIN edge ON edge.n = walk.n)
+SELECT {unit('v')} AS view, CAST(max(d) AS BIGINT) AS levels,
   CASE WHEN bool_or(coalesce(kind IN ('MAINTAINED', 'EXTERNAL TABLE'), false)) THEN 'BLOCKER' WHEN bool_or(kind IS NULL) THEN 'UNKNOWN' ELSE 'OK' END AS verdict
-FROM first LEFT JOIN obj USING (n) WHERE kind IS DISTINCT FROM 'VIEW' GROUP BY v""")
+FROM walk LEFT JOIN obj USING (n) GROUP BY v""")
 def _(spark, sf):
     return li.trace_types(b.objects(spark, sf), b.reads(spark, sf))
 

@@ -36,6 +36,23 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, **extra) -
     return spark
 
 
+def sizing(input_bytes: int, cores: int, partition_bytes: int = 192 << 20) -> dict[str, str]:
+    """Settings for a job over ``input_bytes`` on ``cores`` cores.
+
+    Shuffles start with partitions of about ``partition_bytes``, a size that
+    sorts and aggregates in memory next to its neighbours on an executor, and
+    at least two per core; AQE joins the ones that turn out small and splits
+    the ones that turn out skewed.
+    """
+    partitions = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, as the cluster names it.
 

@@ -93,3 +93,15 @@ def test_order_and_unknown_inputs(tables):
     assert tables.order("totals") == ["copy", "totals"]
     with pytest.raises(ValueError):
         tables.add(Maintained("x", ["nowhere"], compute=lambda f: None))
+
+
+def test_handed_over_change_sets_are_used_and_netted(spark, tables, rows):
+    tables.refresh("copy")
+    first, second, third = (orders(spark, n) for n in (100, 102, 101))
+    tables.publish("orders", second, ch.changes(first, second, ["id"]))
+    tables.publish("orders", third, ch.changes(second, third, ["id"]))
+    between = tables.changes_between("orders", 1, 3)
+    assert rows(between, "id", "_action") == [(100, "INSERT")]  # 101 came and went
+    tables.refresh("copy")
+    assert actions(tables, "copy")[-1] == ("SUCCEEDED", "INCREMENTAL")
+    assert rows(tables.read("copy")) == rows(third)
