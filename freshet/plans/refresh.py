@@ -58,6 +58,7 @@ class MaintainedTables:
     max_delta_ratio: float = 0.05
     keys: dict[str, Sequence[str] | None] = field(default_factory=dict)
     definitions: dict[str, Maintained] = field(default_factory=dict)
+    _summary: dict | None = field(default=None, repr=False)
 
     # --- definitions and data ---------------------------------------------
 
@@ -104,17 +105,30 @@ class MaintainedTables:
         except AnalysisException:
             return self.spark.createDataFrame([], HISTORY)
 
+    def _known(self) -> dict:
+        """Newest version, floor and last successful row of every table.
+
+        One row per table, read once: a folder has one writer, and that writer
+        keeps the summary current as it adds rows.
+        """
+        if self._summary is None:
+            done = F.col("state") == "SUCCEEDED"
+            built = F.when(done & (F.col("refresh_action") != "EXPIRE"), F.struct("*"))
+            rows = self.history().groupBy("name").agg(
+                F.max(F.when(done, F.col("version"))).alias("version"), F.max("floor_version").alias("floor"),
+                F.max_by(built, F.when(built.isNotNull(), F.col("refresh_end_time"))).alias("last"))
+            self._summary = {r["name"]: r.asDict(recursive=True) for r in rows.collect()}
+        return self._summary
+
     def version(self, name: str) -> int:
         """Newest complete version, 0 when there is none."""
-        done = (F.col("name") == name) & (F.col("state") == "SUCCEEDED")
-        return self.history().where(done).agg(F.max("version")).first()[0] or 0
+        return self._known().get(name, {}).get("version") or 0
 
-    def _last(self, name: str):
-        done = (F.col("name") == name) & (F.col("state") == "SUCCEEDED") & (F.col("refresh_action") != "EXPIRE")
-        return self.history().where(done).orderBy(F.col("refresh_end_time").desc()).first()
+    def _last(self, name: str) -> dict | None:
+        return self._known().get(name, {}).get("last")
 
     def _floor(self, name: str) -> int:
-        return self.history().where(F.col("name") == name).agg(F.max("floor_version")).first()[0] or 0
+        return self._known().get(name, {}).get("floor") or 0
 
     def _path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v{version:08d}"
@@ -126,9 +140,14 @@ class MaintainedTables:
                 schema=None, inputs=None, floor=None, has_changes=False) -> None:
         row = (name, version, state, message, action, trigger, start, _now(), changed, rows, schema, inputs or {},
                floor, has_changes)
-        # partitioned by table, so that looking one up lists its own rows only
-        self.spark.createDataFrame([row], HISTORY).coalesce(1).write.mode("append").partitionBy("name").parquet(
-            f"{self.root}/_history")
+        known = self._known()
+        self.spark.createDataFrame([row], HISTORY).coalesce(1).write.mode("append").parquet(f"{self.root}/_history")
+        entry = known.setdefault(name, {"version": None, "floor": None, "last": None})
+        entry["floor"] = max(entry["floor"] or 0, floor or 0)
+        if state == "SUCCEEDED":
+            entry["version"] = version
+            if action != "EXPIRE":
+                entry["last"] = {"version": version, "row_count": rows, "schema": schema, "input_versions": inputs or {}}
 
     def _store(self, name, df, action, trigger, inputs, changed, start, has_changes=False) -> int:
         version = self.version(name) + 1
