@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .windows import null_safe_join
 
 META = ("_action", "_is_update", "_copies")
@@ -48,9 +49,10 @@ def from_weights(weighted: DataFrame, name: str = "_w") -> DataFrame:
 
 def _mark_updates(net: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A key with both a DELETE and an INSERT left is an update."""
+    added = F.when(F.col("_action") == "INSERT", 1).otherwise(0)
     both = (
         net.groupBy(*keys)
-        .agg(F.min("_action").alias("_low"), F.max("_action").alias("_high"))
+        .agg(F.min(added).alias("_low"), F.max(added).alias("_high"))
         .where(F.col("_low") != F.col("_high"))
         .select(*keys, F.lit(True).alias("_hit"))
     )
@@ -64,8 +66,9 @@ def changes(old: DataFrame, new: DataFrame, keys: Sequence[str] | None = None, a
     """The change set leading from ``old`` to ``new``.
 
     Old rows count -1 and new rows +1; whatever does not cancel has changed.
-    Most rows cancel in the first aggregation, so marking updates afterwards
-    handles changed rows only.  With ``append_only`` the rows of ``new`` whose
+    The two versions are compared once and the rows that differ are written to
+    the shared folder: marking updates and everything a refresh does with the
+    change set reads those rows, not the versions again.  With ``append_only`` the rows of ``new`` whose
     key is not in ``old`` are returned without metadata.
     """
     if append_only:
@@ -73,9 +76,9 @@ def changes(old: DataFrame, new: DataFrame, keys: Sequence[str] | None = None, a
             raise ValueError("append_only needs keys")
         return null_safe_join(new, old.select(*keys), keys, "left_anti")
     columns = new.columns
-    net = from_weights(
+    net = cut_lineage(from_weights(
         new.withColumn("_w", F.lit(1)).unionByName(old.select(*columns).withColumn("_w", F.lit(-1)))
-    )
+    ))
     return _mark_updates(net, keys) if keys else net
 
 
@@ -83,7 +86,7 @@ def net_changes(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Net a log of changes: a delete and a reinsert of the same row within
     the window cancel out, as they do for a table with a declared key."""
     columns = data_columns(log)
-    return _mark_updates(from_weights(log.select(*columns, weight().alias("_w"))), keys)
+    return _mark_updates(cut_lineage(from_weights(log.select(*columns, weight().alias("_w")))), keys)
 
 
 def true_deletes(change_set: DataFrame) -> DataFrame:
