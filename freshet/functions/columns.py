@@ -3,6 +3,7 @@ whole-stage code generation."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
@@ -25,6 +26,12 @@ def as_of_date(as_of=None) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of).cast("date")
 
 
+def instant(value: dt.datetime) -> Column:
+    """A timestamp without zone as it reads, whatever zone Python or the
+    session are in."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def overdue(due: Column | str, as_of=None) -> Column:
     """True when the due date lies strictly before the reporting day."""
     due = F.col(due) if isinstance(due, str) else due
@@ -47,7 +54,12 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
     """Whole seconds between two timestamps, both cut to the second first."""
     start = F.col(start) if isinstance(start, str) else start
     end = F.col(end) if isinstance(end, str) else end
-    return F.timestamp_diff("SECOND", F.date_trunc("second", start), F.date_trunc("second", end))
+    return F.timestamp_diff("SECOND", _whole_second(start), _whole_second(end))
+
+
+def _whole_second(ts: Column) -> Column:
+    # DATE_TRUNC gives a timestamp with zone; back to plain wall-clock time
+    return F.date_trunc("second", ts).cast("timestamp_ntz")
 
 
 def fahrenheit_to_celsius(degrees: Column | str) -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import seconds_between
+from ..functions.columns import instant, seconds_between
 from ..functions.semistructured import json_struct
 from ..operators.aggregates import percentiles
 from ..operators.windows import ordered_windows
@@ -59,7 +59,7 @@ def steady_duration() -> Column:
 
 
 def since(column: str, as_of: dt.datetime, **span) -> Column:
-    start = F.lit(as_of - dt.timedelta(**span)).cast("timestamp_ntz")
+    start = instant(as_of - dt.timedelta(**span))
     return F.col(column) > start
 
 
@@ -147,7 +147,7 @@ def drift(history: DataFrame, as_of: dt.datetime, days: int = 30) -> DataFrame:
 
 def before_after(history: DataFrame, cutoff: dt.datetime) -> DataFrame:
     """Average duration on both sides of a change."""
-    earlier = F.col("refresh_start_time") < F.lit(cutoff).cast("timestamp_ntz")
+    earlier = F.col("refresh_start_time") < instant(cutoff)
     return history.groupBy("name").agg(
         F.avg(F.when(earlier, duration())).alias("before_sec"),
         F.avg(F.when(~earlier, duration())).alias("after_sec"),
@@ -207,7 +207,7 @@ def lag_metrics(history: DataFrame, start: dt.datetime | None = None) -> DataFra
     """
     done = history.where(normal_state("state") == "SUCCEEDED")
     if start is not None:
-        done = done.where(F.col("data_timestamp") >= F.lit(start).cast("timestamp_ntz"))
+        done = done.where(F.col("data_timestamp") >= instant(start))
     rows = done.select("name", "query_id", "target_lag_sec", "data_timestamp", F.col("refresh_end_time").alias("_end"))
     rows = ordered_windows(rows, ["name"], ["_end", "query_id"], following={"_next": "_end"})
     low = seconds_between("data_timestamp", "_end")

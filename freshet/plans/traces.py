@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import seconds_between, value_map
+from ..functions.columns import instant, seconds_between, value_map
 from ..operators import graph as g
 
 # Reasons for skipping a refresh, lowest priority first.
@@ -28,13 +28,13 @@ STYLES = {"SUCCEEDED": "done", "SKIPPED": "active", "FAILED": "crit"}
 def cycle(spans: DataFrame, data_timestamp: dt.datetime | None = None) -> DataFrame:
     """Spans with their duration, for one refresh cycle or for all."""
     rows = spans if data_timestamp is None else spans.where(
-        F.col("data_timestamp") == F.lit(data_timestamp).cast("timestamp_ntz"))
+        F.col("data_timestamp") == instant(data_timestamp))
     return rows.withColumn("duration_sec", seconds_between("start_timestamp", "end_timestamp"))
 
 
 def nearest(spans: DataFrame, name: str, start: dt.datetime, end: dt.datetime, k: int = 5) -> DataFrame:
     """The latest spans of one table within a time window."""
-    inside = F.col("start_timestamp").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
+    inside = F.col("start_timestamp").between(instant(start), instant(end))
     return spans.where((F.col("name") == name) & inside).orderBy(F.col("start_timestamp").desc(), "span_id").limit(k)
 
 

@@ -59,8 +59,8 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day FROM orders
 WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'""")
 def _(spark, sf):
     start, end = dt.datetime(1997, 1, 1), dt.datetime(1998, 1, 1)
-    inside = (F.col("o_orderdate") >= F.lit(start).cast("timestamp_ntz")) & (
-        F.col("o_orderdate") < F.lit(end).cast("timestamp_ntz"))
+    inside = (F.col("o_orderdate") >= c.instant(start)) & (
+        F.col("o_orderdate") < c.instant(end))
     return orders(spark, sf).where(inside).select("o_orderkey", F.to_date("o_orderdate").alias("order_day"))
 
 
@@ -134,7 +134,7 @@ def _(spark, sf):
 @query("time_window_filter", """
 SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 36 HOUR""")
 def _(spark, sf):
-    since = F.lit(b.EVENTS_AS_OF).cast("timestamp_ntz") - F.expr("INTERVAL 36 HOURS")
+    since = c.instant(b.EVENTS_AS_OF) - F.expr("INTERVAL 36 HOURS")
     return b.table(spark, sf, "events").where(F.col("ts") >= since).select("event_id", "event_type")
 
 
@@ -459,6 +459,11 @@ def _(spark, sf):
     return b.table(spark, sf, "events").agg(newest).select("r.event_id", "r.event_type")
 
 
+@query("preview_limit", "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 10")
+def _(spark, sf):
+    return b.table(spark, sf, "customer").select("c_custkey", "c_name").orderBy("c_custkey").limit(10)
+
+
 # --- scalar functions ------------------------------------------------------------------
 
 @query("date_functions", """
@@ -474,7 +479,7 @@ def _(spark, sf):
         "event_id", F.date_from_unix_date(F.unix_date(day)).alias("day"), F.trunc(day, "MM").alias("month_start"),
         F.date_format(ts, "yyyy-MM").alias("yyyy_mm"), F.year(ts).cast("bigint").alias("y"),
         F.month(ts).cast("bigint").alias("m"), F.date_add(day, 30).alias("due"),
-        c.seconds_between(ts, F.lit(b.EVENTS_AS_OF).cast("timestamp_ntz")).alias("age_seconds"),
+        c.seconds_between(ts, c.instant(b.EVENTS_AS_OF)).alias("age_seconds"),
         F.unix_date(day).cast("bigint").alias("epoch_day"))
 
 

@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import instant
 from ..operators.aggregates import first_names
 from .files import run_available
 
@@ -37,8 +38,8 @@ def alert_message(events: DataFrame, text: str) -> DataFrame:
 
 def recent_failures(events: DataFrame, as_of: dt.datetime, minutes: int = 5, level: str = "ERROR") -> DataFrame:
     """Scheduled form: look back a fixed time from ``as_of`` (UTC)."""
-    since = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(mins=F.lit(minutes))
-    upto = F.col("timestamp") <= F.lit(as_of).cast("timestamp_ntz")
+    since = instant(as_of) - F.make_dt_interval(mins=F.lit(minutes))
+    upto = F.col("timestamp") <= instant(as_of)
     return events.where(at_level(level) & (F.col("timestamp") > since) & upto)
 
 
