@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .search import occurrences, tokens
+from .search import tokens
 
 POSITIVE = ["good", "great", "happy", "love", "excellent", "perfect", "thanks", "helpful", "fast", "comfortable"]
 NEGATIVE = ["bad", "broken", "late", "unhappy", "terrible", "wrong", "refund", "slow", "defective", "disappointed"]
@@ -24,30 +24,31 @@ ISSUES = {
 
 
 def _count(words: Column, listed: Sequence[str]) -> Column:
+    """Listed words among ``words``; one pass whatever the length of the list."""
+    wanted = list(listed)
+    return F.size(F.filter(words, lambda w: w.isin(wanted)))
+
+
+def _weight(words: Column, keywords: Mapping[str, int]) -> Column:
+    """Summed keyword points, one pass per different number of points."""
     total = F.lit(0)
-    for word in listed:
-        total = total + occurrences(words, word)
+    for points in sorted(set(keywords.values())):
+        total = total + _count(words, [w for w, p in keywords.items() if p == points]) * points
     return total
 
 
-def sentiment(words: Column, positive: Sequence[str] = POSITIVE, negative: Sequence[str] = NEGATIVE) -> Column:
-    """(positive - negative) / (positive + negative) listed words; 0 without any."""
-    up, down = _count(words, positive), _count(words, negative)
+def balance(up: Column | str, down: Column | str) -> Column:
+    """(up - down) / (up + down); 0 when there is neither."""
+    up, down = (F.col(c) if isinstance(c, str) else c for c in (up, down))
     return F.when(up + down > 0, (up - down) / (up + down)).otherwise(F.lit(0.0))
 
 
-def classify(words: Column, labels: Mapping[str, Mapping[str, int]] = ISSUES) -> Column:
-    """The label with the highest keyword weight; the first one listed wins a
-    tie, and no keyword at all gives NULL."""
-    weights = []
-    for keywords in labels.values():
-        weight = F.lit(0)
-        for word, points in keywords.items():
-            weight = weight + occurrences(words, word) * points
-        weights.append(weight)
-    best = F.greatest(F.lit(0), *weights)
+def heaviest(weights: Mapping[str, Column]) -> Column:
+    """The label with the highest weight; the first one listed wins a tie, and
+    no weight at all gives NULL."""
+    best = F.greatest(F.lit(0), *weights.values())
     choice = None
-    for label, weight in zip(labels, weights):
+    for label, weight in weights.items():
         hit = (weight == best) & (best > 0)
         choice = F.when(hit, label) if choice is None else choice.when(hit, label)
     return choice
@@ -59,14 +60,16 @@ def enrich_cases(
 ) -> DataFrame:
     """Support cases with their sentiment and issue category.
 
-    Each text is split once and cut down to the listed words in projections of
-    their own; everything after that counts in very short arrays.
+    Splitting, counting and judging are projections of their own: every text is
+    split once and every list is counted once, and the generated code stays
+    small enough for the JVM to compile.
     """
-    listed = [*positive, *negative, *[w for keywords in labels.values() for w in keywords]]
     words = F.col("_words")
-    return (
-        cases.withColumn("_words", tokens(text))
-        .withColumn("_words", F.filter("_words", lambda w: w.isin(listed)))
-        .withColumns({"sentiment": sentiment(words, positive, negative), "issue_category": classify(words, labels)})
-        .drop("_words")
-    )
+    counts = {"_up": _count(words, positive), "_down": _count(words, negative)}
+    counts |= {f"_w{i}": _weight(words, keywords) for i, keywords in enumerate(labels.values())}
+    judged = {
+        "sentiment": balance("_up", "_down"),
+        "issue_category": heaviest({label: F.col(f"_w{i}") for i, label in enumerate(labels)}),
+    }
+    split = cases.withColumn("_words", tokens(text))
+    return split.withColumns(counts).withColumns(judged).drop("_words", *counts)
