@@ -268,7 +268,7 @@ def table_report(history: DataFrame, config: DataFrame, as_of: dt.datetime, days
     return report.withColumn("status", table_status())
 
 
-def pipeline_report(report: DataFrame, members: DataFrame, depth: DataFrame) -> DataFrame:
+def group_report(report: DataFrame, members: DataFrame, depth: DataFrame) -> DataFrame:
     """One row per connected group of tables: worst status, counts, depth.
 
     ``members``: (node, component); ``depth``: (node, depth).  The group takes

@@ -201,7 +201,7 @@ node AS (SELECT DISTINCT user_id AS n FROM events UNION SELECT p FROM edge),
 pairs AS (SELECT n AS a, p AS z FROM edge UNION SELECT p, n FROM edge)"""
 
 
-@query("pipeline_health_report", history_sql("""
+@query("connected_tables_health", history_sql("""
 , reach(n, r) AS (SELECT n, n FROM node UNION SELECT pairs.z, r FROM reach JOIN pairs ON a = reach.n),
 comp AS (SELECT n, min(r) AS c FROM reach GROUP BY 1),
 walk(n, d) AS (SELECT n, 0 FROM node WHERE n NOT IN (SELECT n FROM edge) UNION SELECT edge.n, d + 1 FROM walk JOIN edge ON p = walk.n),
@@ -215,7 +215,7 @@ SELECT arg_min(name, printf('%05d', 10000 - depth) || name) AS leaf, count(*) AS
 def _(spark, sf):
     report = h.table_report(hist(spark, sf), b.table_config(spark, sf), b.EVENTS_AS_OF)
     edges, nodes = g.edges(b.graph(spark, sf), kinds=["MAINTAINED"]), b.nodes(spark, sf)
-    return h.pipeline_report(report, g.components(edges, nodes), g.depths(edges, nodes))
+    return h.group_report(report, g.components(edges, nodes), g.depths(edges, nodes))
 
 
 @query("suspended_after_failures", history_sql("""

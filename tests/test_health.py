@@ -71,7 +71,7 @@ def test_status_takes_the_worst(spark):
     report = df.withColumn("status", h.table_status())
     members = spark.createDataFrame([(n, "a" if n in "abc" else "d") for n in "abcdef"], "node string, component string")
     depth = spark.createDataFrame([(n, i) for i, n in enumerate("abcdef")], "node string, depth long")
-    pipes = {r.leaf: r for r in h.pipeline_report(report, members, depth).collect()}
+    pipes = {r.leaf: r for r in h.group_report(report, members, depth).collect()}
     assert pipes["c"].status == "CRITICAL" and pipes["f"].status == "WARNING"
     assert all(r.healthy + r.warning + r.critical == r.tables for r in pipes.values())
 
