@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import sentencepiece_io
 from .common import documents
 from .url_filter import judge_urls
 
@@ -23,6 +24,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op5_sentencepiece")
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_io.digests(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
 #: The rules of the query, fixed values.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
