@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import sentencepiece_io
+from . import line_dedup, rule_ledger, sentencepiece_io
 from .common import documents
 from .url_filter import judge_urls
 
@@ -24,11 +25,72 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op4_quality_rules", r"""
+WITH words AS (
+  SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM words WHERE len(w) >= 8)),
+twice AS (SELECT doc_id, win FROM windows GROUP BY doc_id, win HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM windows JOIN twice USING (doc_id, win)) GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines,
+         len(list_filter(w, lambda x: regexp_matches(x, '\p{L}')))::BIGINT AS n_letter_words,
+         length(regexp_replace(coalesce(text, ''), '\P{L}', '', 'g'))::BIGINT AS n_letters,
+         length(regexp_replace(coalesce(text, ''), '\P{Lu}', '', 'g'))::BIGINT AS n_upper,
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1]))::BIGINT AS n_run_words
+  FROM words LEFT JOIN covered USING (doc_id)),
+judged AS (
+  SELECT *, (n_words < 20)::BIGINT AS b0, (100 * n_repeat_words > 30 * n_words)::BIGINT AS b1, (word_chars < 2 * n_words)::BIGINT AS b2,
+         (word_chars > 15 * n_words)::BIGINT AS b3, (100 * n_symbols > 10 * n_words)::BIGINT AS b4, (100 * n_dup_lines > 40 * n_lines)::BIGINT AS b5,
+         (100 * n_letter_words < 80 * n_words)::BIGINT AS b6, (100 * n_upper > 50 * n_letters)::BIGINT AS b7,
+         (100 * n_run_words > 30 * n_words)::BIGINT AS b8 FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, b0 + b1 > 0 AS base_failed, b0 + b1 + b2 + b3 + b4 + b5 + b6 + b7 + b8 = 0 AS kept,
+       b0 + 2 * b1 + 4 * b2 + 8 * b3 + 16 * b4 + 32 * b5 + 64 * b6 + 128 * b7 + 256 * b8 AS fail_bits
+FROM judged
+""")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rule_ledger.ledger(documents(spark, sf_dir))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~rule_ledger.passes("2026-1")).alias("base_failed"), rule_ledger.passes().alias("kept"), "fail_bits")
+
+
 @query("op5_sentencepiece")
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_io.digests(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
 
 
+@query("op7_line_dedup", r"""
+WITH lines AS (
+  SELECT doc_id, i, l, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)
+  WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+windows AS (
+  SELECT doc_id, i AS a, lead(i, 2) OVER w AS b, struct_pack(x := l, y := lead(l) OVER w, z := lead(l, 2) OVER w) AS win
+  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY win ORDER BY doc_id NULLS LAST, a) AS n FROM windows WHERE b IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM ordered WHERE n > 1),
+every AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+rest AS (
+  SELECT doc_id, string_agg(l, chr(10) ORDER BY i) FILTER (WHERE g IS NULL) AS text, count(g) AS lines_removed
+  FROM (SELECT e.*, g.i AS g FROM every e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i) GROUP BY doc_id)
+SELECT d.doc_id, length(coalesce(r.text, ''))::INTEGER AS n_chars_left, coalesce(r.lines_removed, 0) AS lines_removed, sha256(coalesce(r.text, '')) AS text_sha256
+FROM documents d LEFT JOIN rest r USING (doc_id)
+""")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", F.length(text).alias("n_chars_left"), "lines_removed", F.sha2(text, 256).alias("text_sha256"))
+
+
 #: The rules of the query, fixed values.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
