@@ -34,16 +34,18 @@ def windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     numbered = F.filter(
         F.transform(F.split(text, "\n", -1), lambda line, i: F.struct(i.alias("i"), line.alias("line"))),
         lambda x: x["line"].rlike(WORD))
+    count = F.size("_lines") - (width - 1)
     spans = F.transform(
-        F.sequence(F.lit(0), F.size("_lines") - width),
+        F.slice(F.sequence(F.lit(0), F.greatest(count, F.lit(1))), F.lit(1), F.greatest(count, F.lit(0))),
         lambda k: F.struct(
             F.get("_lines", k)["i"].alias("first"), F.get("_lines", k + (width - 1))["i"].alias("last"),
             *[h.alias(f"h{n}") for n, h in enumerate(_hashes([F.get("_lines", k + j)["line"] for j in range(width)]), 1)]))
     return (
         docs.where(F.col(text).contains("\n"))
         .select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("content"), numbered.alias("_lines"))
-        .where(F.size("_lines") >= width)
-        .select("doc", "content", F.explode(spans).alias("w"))
+        # a plain explode filters on its array, and pushing that filter down would split the text once per line
+        .select("doc", "content", F.explode_outer(spans).alias("w"))
+        .where("w IS NOT NULL")
         .select("doc", "content", "w.*")
     )
 
