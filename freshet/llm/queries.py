@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, rule_ledger, sentencepiece_io
+from . import line_dedup, pii, rule_ledger, sentencepiece_io
 from .common import documents
 from .url_filter import judge_urls
 
@@ -67,6 +67,16 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_io.digests(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
 
 
+@query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    rows = pii.find_spans(docs, pii.fit(docs))
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return rows.select(
+        "doc_id", *[count(kind) for kind in pii.KINDS], F.sha2(pii.as_text(F.col("base_spans")), 256).alias("base_sha256"),
+        pii.as_text(F.col("spans")).alias("spans"))
+
+
 @query("op7_line_dedup", r"""
 WITH lines AS (
   SELECT doc_id, i, l, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
