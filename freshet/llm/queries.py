@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, pii, rule_ledger, sentencepiece_io
-from .common import documents
+from . import compression_quality, language_id, line_dedup, pii, rule_ledger, sentencepiece_io
+from .common import documents, fold
 from .url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,23 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    filters = language_id.fit(docs.where(fold("doc_id", 4) != 2))
+    return language_id.identify(docs.select("doc_id", "text"), filters).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").select("doc_id", "quality")
+    model = compression_quality.fit(docs, labels.where(fold("doc_id", 3) != 1))
+    return compression_quality.score(docs, model).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op4_quality_rules", r"""
 WITH words AS (
   SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
