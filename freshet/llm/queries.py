@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, language_id, line_dedup, pii, rule_ledger, sentencepiece_io
+from . import compression_quality, decontamination, language_id, line_dedup, pii, rule_ledger, sentencepiece_io
 from .common import documents, fold
 from .url_filter import judge_urls
 
@@ -25,6 +25,25 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_decontamination", r"""
+WITH texts AS (
+  SELECT 'd' AS k, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents
+  UNION ALL
+  SELECT 'i', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') FROM benchmark),
+shingles AS (
+  SELECT DISTINCT k, id, list_slice(w, i, i + 4) AS s
+  FROM (SELECT k, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts WHERE len(w) > 0)),
+sizes AS (SELECT id, count(*) AS n FROM shingles WHERE k = 'i' GROUP BY id),
+held AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
+  FROM shingles d JOIN shingles i ON d.s = i.s WHERE d.k = 'd' AND i.k = 'i' GROUP BY ALL)
+SELECT doc_id, item_id, shared, n AS item_shingles FROM held JOIN sizes ON item_id = id WHERE 100 * shared >= 75 * n
+""")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet").select("item_id", "text")
+    return decontamination.contained_items(documents(spark, sf_dir), items)
+
+
 @query("op2_language_id")
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
