@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, decontamination, language_id, line_dedup, pii, rule_ledger, sentencepiece_io
+from . import compression_quality, decontamination, jaccard_join, language_id, line_dedup, pii, rule_ledger, sentencepiece_io
 from .common import documents, fold
 from .url_filter import judge_urls
 
@@ -27,9 +27,11 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_decontamination", r"""
 WITH texts AS (
-  SELECT 'd' AS k, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents
+  SELECT 'd' AS k, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents
   UNION ALL
-  SELECT 'i', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') FROM benchmark),
+  SELECT 'i', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') FROM benchmark),
 shingles AS (
   SELECT DISTINCT k, id, list_slice(w, i, i + 4) AS s
   FROM (SELECT k, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts WHERE len(w) > 0)),
@@ -159,3 +161,10 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet").select("page_id", "url")
     return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, _ = jaccard_join.join(documents(spark, sf_dir))
+    return jaccard_join.component_ids(placed).select(
+        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
