@@ -201,20 +201,21 @@ def contained_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
         for index in item_blocks(items, item_id, item_text, items_per_block)])
 
 
+def _cleaner(shared):
+    def clean(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in column:
+            kept, texts = np.ones(len(batch), dtype=bool), batch.tolist()
+            for start, end in batches(texts):
+                kept[[start + t for t, _, _ in shared.value.search(texts[start:end])]] = False
+            yield pd.Series(kept)
+
+    return clean
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                   item_text: str = "text", items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
     """``docs`` without the rows whose text holds an item, judged as in
     ``contained_items`` row by row, so repeated or missing ids do no harm."""
     for index in item_blocks(items, item_id, item_text, items_per_block):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        def clean(column: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            for batch in column:
-                kept = np.ones(len(batch), dtype=bool)
-                texts = batch.tolist()
-                for start, end in batches(texts):
-                    kept[[start + t for t, _, _ in shared.value.search(texts[start:end])]] = False
-                yield pd.Series(kept)
-
-        docs = docs.where(F.pandas_udf(clean, T.BooleanType(), F.PandasUDFType.SCALAR_ITER)(F.col(f"`{text}`")))
+        docs = docs.where(F.pandas_udf(_cleaner(docs.sparkSession.sparkContext.broadcast(index)), T.BooleanType())(F.col(f"`{text}`")))
     return docs

@@ -151,7 +151,7 @@ class LanguageFilters:
         true = np.clip((hits - total[:, None] * chance) / np.maximum(1e-9, 1 - chance), 0, None)
         best = true.argmax(axis=1)
         whole = true.sum(axis=1)
-        score = np.where(whole > 0, true.max(axis=1) / np.maximum(whole, 1e-12), 1 / len(self.languages))
+        score = np.where(whole > 0, true.max(axis=1) / np.maximum(whole, 1e-12), 0.0)
         spoken = np.array([any(map(str.isalpha, t)) if t else False for t in texts], dtype=bool)
         return [self.languages[b] if s else UNKNOWN for b, s in zip(best, spoken)], np.where(spoken, score, 0.0)
 
@@ -204,8 +204,8 @@ def identify(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> D
     """``docs`` with ``lang_pred`` and ``score``.
 
     NULL texts and texts without a letter are ``und`` with score 0; a text none
-    of whose n-grams is known goes to the language that sorts first with an even
-    score.  Equal texts get equal answers.  Columns of these names are replaced.
+    of whose n-grams is known goes to the language that sorts first, with score
+    0.  Equal texts get equal answers.  Columns of these names are replaced.
     Narrow plan; the filters travel as one broadcast of
     ``filters.masks.nbytes``, bounded by ``grams_per_language``.
     """
