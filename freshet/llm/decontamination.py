@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .shingles import WORDS_PER_SHINGLE, batches, exact, text_shingles, words
+from .shingles import WORDS_PER_SHINGLE, batches, exact, text_blocks, text_shingles, words
 
 PERMUTATIONS = 64
 PERCENT = 75
@@ -175,9 +175,8 @@ def _matches(docs: DataFrame, index: ItemIndex, doc_id: str, text: str, item_typ
     def search(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for batch in rows_in:
-            ids, every = batch.column(0), batch.column(1).to_pylist()
-            for start, end in batches(every):
-                texts = every[start:end]
+            ids = batch.column(0)
+            for start, _, texts in text_blocks(batch, 1):
                 rows = [(ids[start + t].as_py(), items.ids[i], n, len(items.exact[i])) for t, i, n in items.search(texts)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)

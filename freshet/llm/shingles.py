@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 WORDS_PER_SHINGLE = 5
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -97,6 +99,19 @@ def batches(texts: Sequence[str | None], chars: int = 1 << 20) -> Iterator[tuple
         yield start, len(texts)
 
 
+def text_blocks(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator[tuple[int, int, list[str | None]]]:
+    """(start, end, texts) for runs of rows with about ``size`` bytes of text, so
+    that only one run at a time exists as Python strings."""
+    texts = batch.column(column)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = int(ends[start - 1]) if start else 0
+        end = min(len(texts), int(np.searchsorted(ends, before + size, side="left")) + 1)
+        yield start, end, texts.slice(start, end - start).to_pylist()
+        start = end
+
+
 def text_shingles(texts: Sequence[str | None], n: int = WORDS_PER_SHINGLE) -> Iterator[np.ndarray]:
     """The shingles of each text in text order."""
     for first, last in batches(texts):
