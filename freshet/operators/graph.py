@@ -16,6 +16,10 @@ from ..session import cut_lineage
 from .relational import anti
 
 
+#: Levels after which a search for longest paths makes sure that it will end.
+CYCLE_CHECK_AFTER = 8
+
+
 class CycleError(ValueError):
     """The edges form a cycle where a tree or DAG is needed."""
 
@@ -103,21 +107,34 @@ def components(edge_rows: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def longest_paths(edge_rows: DataFrame, weights: DataFrame, max_depth: int = 1000) -> DataFrame:
+def has_cycle(edge_rows: DataFrame) -> bool:
+    """Whether the edges form a cycle: edges out of nodes without parents are
+    taken away until none is left, or until a round takes none."""
+    left = cut_lineage(edge_rows.select("parent", "child").distinct())
+    count = left.count()
+    while count:
+        left = cut_lineage(left.join(left.select(F.col("child").alias("parent")).distinct(), "parent", "left_semi"))
+        before, count = count, left.count()
+        if count == before:
+            return True
+    return False
+
+
+def longest_paths(edge_rows: DataFrame, weights: DataFrame) -> DataFrame:
     """Per node the heaviest path from a root down to it: (node, total, via).
 
     ``weights`` has (node, weight), not negative.  Round k holds, per node, the
     heaviest path of exactly k edges ending there, so diamonds do not multiply
-    paths and the rounds follow the depth of the graph.  ``via`` is the parent
-    on the best path.  More rounds than ``max_depth`` mean a cycle, which is
-    reported instead of looping.
+    paths and the rounds follow the depth of the graph, however deep it is.
+    ``via`` is the parent on the best path.  Graphs deeper than a few levels are
+    looked through for a cycle once, which is reported.
     """
     node_type = dict(edge_rows.dtypes)["parent"]
     step = cut_lineage(
         edge_rows.select("parent", "child").distinct().join(weights.select(F.col("node").alias("child"), "weight"), "child"))
     level = weights.select("node", F.col("weight").alias("total"), F.lit(None).cast(node_type).alias("via"))
-    levels = level
-    for _ in range(max_depth):
+    levels, rounds = level, 0
+    while True:
         level = cut_lineage(
             level.select(F.col("node").alias("parent"), "total").join(step, "parent")
             .groupBy(F.col("child").alias("node"))
@@ -127,8 +144,11 @@ def longest_paths(edge_rows: DataFrame, weights: DataFrame, max_depth: int = 100
             # the heaviest wins; among equals the parent that sorts first
             best = F.min_by(F.struct("total", "via"), F.struct(-F.col("total"), F.col("via")))
             return levels.groupBy("node").agg(best.alias("b")).select("node", "b.total", "b.via")
-        levels = levels.unionByName(level)
-    raise CycleError(f"no end after {max_depth} levels: the edges form a cycle")
+        levels, rounds = levels.unionByName(level), rounds + 1
+        if rounds == CYCLE_CHECK_AFTER and has_cycle(step):
+            raise CycleError("the edges form a cycle")
+        if rounds % 50 == 0:  # the union of many levels is a long plan
+            levels = cut_lineage(levels)
 
 
 def depths(edge_rows: DataFrame, nodes: DataFrame) -> DataFrame:

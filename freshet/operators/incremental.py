@@ -47,8 +47,8 @@ def _weighted(df: DataFrame, name: str) -> DataFrame:
 def delta_join(a_old: DataFrame, b_old: DataFrame, a_changes: DataFrame, b_changes: DataFrame, on: Sequence[str]) -> DataFrame:
     """Change set of an inner join: dA x B_new plus A_old x dB.
 
-    Each product has a change set on one side, so with small changes the big
-    tables are probed, not shuffled.  Weights multiply, which turns a deletion
+    Each product has a change set on one side; one that was stored by
+    ``cut_lineage`` and is small is broadcast, and the big tables stay in place.  Weights multiply, which turns a deletion
     meeting a deletion into the right sign.
     """
     on = list(on)
@@ -98,7 +98,16 @@ def delta_window(
 
 def agg_state(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """State of GROUP BY with COUNT, SUM and AVG: rows, and per value the sum
-    and the number of non-NULL inputs."""
+    and the number of non-NULL inputs.
+
+    Floating-point sums are refused: what was added to them cannot be taken off
+    again exactly, and never if it was NaN or infinite.  Cast to DECIMAL, or
+    use ``recompute_touched``.
+    """
+    kinds = dict(df.dtypes)
+    floating = [v for v in values if kinds[v] in ("float", "double")]
+    if floating:
+        raise TypeError(f"sums of {floating} cannot be maintained in floating point")
     return _partial(df.withColumn("_w", F.lit(1).cast("bigint")), keys, values)
 
 
@@ -133,7 +142,8 @@ def agg_result(state: DataFrame, keys: Sequence[str], values: Sequence[str]) ->
 
 
 def minmax_state(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    """State of GROUP BY with MIN and MAX: rows, lowest and highest value."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), F.min(value).alias("low"), F.max(value).alias("high"))
 
 
 def delta_minmax(state: DataFrame, change_set: DataFrame, new_source: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -141,17 +151,23 @@ def delta_minmax(state: DataFrame, change_set: DataFrame, new_source: DataFrame,
 
     Insertions can only widen a range and are folded in.  Only a deletion that
     reaches the stored minimum or maximum makes its group look at the source.
+    Rows are counted, so a group goes with its last row, also if all its values
+    were NULL.
     """
-    def signed(action: str) -> DataFrame:
-        return minmax_state(change_set.where(F.col("_action") == action), keys, value)
+    def part(action: str) -> DataFrame:
+        return change_set.where(F.col("_action") == action).groupBy(*keys).agg(
+            F.sum("_copies").alias("row_count"), F.min(value).alias("low"), F.max(value).alias("high"))
 
-    gone = signed("DELETE").withColumnsRenamed({"low": "_low", "high": "_high"})
+    gone = part("DELETE").withColumnsRenamed({"low": "_low", "high": "_high", "row_count": "_rows"})
     at_edge = (
         null_safe_join(state, gone, keys, "inner")
         .where((F.col("_low") <= F.col("low")) | (F.col("_high") >= F.col("high")))
         .select(*keys)
     )
-    widened = state.unionByName(signed("INSERT")).groupBy(*keys).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    kind = state.schema["low"].dataType
+    fewer = gone.select(*keys, (-F.col("_rows")).alias("row_count"), F.lit(None).cast(kind).alias("low"), F.lit(None).cast(kind).alias("high"))
+    widened = state.unionByName(part("INSERT")).unionByName(fewer).groupBy(*keys).agg(
+        F.sum("row_count").alias("row_count"), F.min("low").alias("low"), F.max("high").alias("high")).where("row_count > 0")
     again = minmax_state(semi_null_safe(new_source, at_edge, keys), keys, value)
     return anti_null_safe(widened, at_edge, keys).unionByName(again)
 

@@ -58,7 +58,8 @@ def ordered_windows(
     Rows are range partitioned by (keys, order) and written once, because the
     sampled range bounds may not differ between the passes below.  Only a key
     standing at a range border can continue in the next range, so at most two
-    rows per range are carried over and broadcast.
+    rows per range are carried over.  Rows are partitioned by (range, key) for the
+    windows, which is what the join with the borders needs as well.
     """
     totals, previous, following = dict(totals or {}), dict(previous or {}), dict(following or {})
     line = _columns(keys) + _columns(order)
@@ -93,13 +94,13 @@ def ordered_windows(
     carried += [F.lag(f"_end_{n}").over(across)[c].alias(f"_carry_{n}") for n, c in previous.items()]
     carried += [F.lead(f"_start_{n}").over(across)[c].alias(f"_carry_{n}") for n, c in following.items()]
     borders = (
-        placed.join(F.broadcast(at_border), ["_range", "_key"])
+        placed.join(at_border, ["_range", "_key"], "left_semi")
         .groupBy("_range", "_key")
         .agg(*measures)
         .select("_range", "_key", *carried)
     )
 
-    joined = placed.withColumns(local).join(F.broadcast(borders), ["_range", "_key"], "left")
+    joined = placed.withColumns(local).join(borders, ["_range", "_key"], "left")
     result = [F.col(c) for c in df.columns]
     for n in totals:
         both = F.coalesce(F.col(f"_carry_{n}") + F.col(f"_sum_{n}"), F.col(f"_sum_{n}"), F.col(f"_carry_{n}"))

@@ -218,7 +218,24 @@ SELECT o_custkey, CAST(min(price) AS DOUBLE) AS low, CAST(max(price) AS DOUBLE)
 def _(spark, sf):
     old, new = before_after(spark, sf)
     state = inc.minmax_state(old, ["o_custkey"], "price")
-    return amounts(inc.delta_minmax(state, delta(spark, sf), new, ["o_custkey"], "price"), "low", "high")
+    return amounts(inc.delta_minmax(state, delta(spark, sf), new, ["o_custkey"], "price").drop("row_count"), "low", "high")
+
+
+NULLED = "CASE WHEN price < 100000 THEN price END"
+
+
+@query("maintain_min_max_with_nulls", versions(f"""
+SELECT o_custkey, CAST(min({NULLED}) AS DOUBLE) AS low, CAST(max({NULLED}) AS DOUBLE) AS high
+FROM after WHERE o_custkey % 5 <> 0 GROUP BY 1"""))
+def _(spark, sf):
+    def cheap(df):
+        return df.withColumn("price", F.expr(NULLED))
+
+    old, new = (cheap(df) for df in before_after(spark, sf))
+    new = new.where("o_custkey % 5 <> 0")  # whole groups go
+    gone = ch.changes(old, new, ["o_orderkey"])
+    state = inc.delta_minmax(inc.minmax_state(old, ["o_custkey"], "price"), gone, new, ["o_custkey"], "price")
+    return amounts(state.drop("row_count"), "low", "high")
 
 
 @query("maintain_distinct", versions("SELECT DISTINCT o_custkey, o_orderstatus FROM after"))

@@ -3,6 +3,9 @@ data that has to outlive an executor."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import tempfile
 import uuid
 
@@ -53,6 +56,10 @@ def sizing(input_bytes: int, cores: int, partition_bytes: int = 192 << 20) -> di
     }
 
 
+_OWN: dict[str, str] = {}  # application -> folder of a local session that names none
+_SCRATCH: dict[str, list[str]] = {}  # application -> what was written for it below the shared folder
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, as the cluster names it.
 
@@ -61,26 +68,55 @@ def shared_dir(spark: SparkSession) -> str:
     invisible to the executors.
     """
     context = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or _OWN.get(context.applicationId)
     if not path:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        path = tempfile.mkdtemp(prefix="freshet-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(path)
+        path = _OWN[context.applicationId] = tempfile.mkdtemp(prefix="freshet-")
     return path
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder.  The session owns it: it goes with
+    ``release_scratch``, and at the latest when the program ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    owned = _SCRATCH.setdefault(spark.sparkContext.applicationId, [])
+    if not owned:
+        atexit.register(_release_quietly, spark)
+    owned.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the intermediates of this session, or those written after the
+    first ``since`` of them (``scratch_mark``); results that still read them
+    have to be stored first."""
+    owned = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    while len(owned) > since:
+        path = hadoop(owned.pop())
+        path.getFileSystem(configuration).delete(path, True)
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """How many intermediates the session owns by now."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def _release_quietly(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the session may have been stopped
+        release_scratch(spark)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and continue from the files.
 
     Loops and plans that read one unrepeatable intermediate several times need
-    this: a lost executor then costs a re-read instead of a replay.
+    this: a lost executor then costs a re-read instead of a replay.  The files
+    are Parquet, so the planner knows their size (a small change set is
+    broadcast) and reads only the columns it needs.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -163,3 +163,30 @@ def test_table_diff_counts_copies(spark, rows):
     left = spark.createDataFrame([(1,), (1,), (None,)], "k int")
     right = spark.createDataFrame([(1,), (None,), (4,)], "k int")
     assert rows(table_diff(left, right), "k", "side", "copies") == [(1, "only_left", 1), (4, "only_right", 1)]
+
+
+def test_range_of_nulls_goes_with_its_last_row(spark, rows):
+    old = spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "b", 4)], SCHEMA)
+    new = old.where("g = 'b'")
+    state = inc.delta_minmax(inc.minmax_state(old, ["g"], "v"), ch.changes(old, new, ["id"]), new, ["g"], "v")
+    assert rows(state) == [("b", 1, 4, 4)]
+
+
+def test_floating_sums_are_refused(spark):
+    with pytest.raises(TypeError):
+        inc.agg_state(spark.createDataFrame([("a", 1e17)], "g string, v double"), ["g"], ["v"])
+
+
+def test_small_change_sets_leave_the_state_in_place(spark):
+    old = spark.range(200_000).select("id", (F.col("id") % 7).alias("v"), F.lit("x" * 50).alias("t"))
+    path = f"{ch.cut_lineage.__globals__['shared_dir'](spark)}/state-in-place"
+    old.write.mode("overwrite").parquet(path)
+    state = spark.read.parquet(path)
+    delta = ch.changes(state, state.withColumn("v", F.when(F.col("id") == 5, 99).otherwise(F.col("v"))), ["id"])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200k")
+        plan = ch.apply_changes(state, delta, ["id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

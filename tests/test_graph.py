@@ -56,7 +56,15 @@ def test_cycles_are_reported(spark):
     edges = edge_frame(spark, [("a", "b"), ("b", "a")])
     weights = spark.createDataFrame([("a", 1), ("b", 1)], "node string, weight long")
     with pytest.raises(g.CycleError):
-        g.longest_paths(edges, weights, max_depth=4)
+        g.longest_paths(edges, weights)
+    assert not g.has_cycle(edge_frame(spark, [("a", "b"), ("a", "c"), ("b", "c")]))
+    assert g.has_cycle(edge_frame(spark, [("a", "b"), ("b", "c"), ("c", "b")]))
+
+
+def test_deep_chains_are_no_cycles(spark):
+    chain = [(f"n{i:02}", f"n{i + 1:02}") for i in range(14)]  # (child, parent)
+    nodes = spark.createDataFrame([(n,) for n in sorted({x for e in chain for x in e})], "node string")
+    assert {r.node: r.depth for r in g.depths(edge_frame(spark, chain), nodes).collect()}["n00"] == 14
 
 
 # --- spans -----------------------------------------------------------------------
