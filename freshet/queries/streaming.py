@@ -21,6 +21,28 @@ def stream(spark, sf, name="events"):
     return st.read_new_files(spark, sf, schema, pathGlobFilter=f"{name}.parquet")
 
 
+#: Where the weekly files of arriving events end.
+WEEKS = ["2024-01-08", "2024-01-15", "2024-01-22"]
+
+
+def arrivals(spark, sf, again=0):
+    """Events as four files in the order of time, taken one per batch.  Each
+    file delivers every ``again``-th event of the one before once more."""
+    events, folder = b.table(spark, sf, "events"), scratch_path(spark, "weeks")
+    days = [F.lit(d).cast("timestamp_ntz") for d in WEEKS]
+    before = None
+    for low, high in zip([None, *days], [*days, None]):
+        part = events if low is None else events.where(F.col("ts") >= low)
+        part = part if high is None else part.where(F.col("ts") < high)
+        late = [] if before is None or not again else [before.where(F.col("event_id") % again == 0)]
+        batch = part
+        for more in late:
+            batch = batch.unionByName(more)
+        batch.coalesce(1).write.mode("append").parquet(folder)
+        before = part
+    return st.read_new_files(spark, folder, events.schema, per_batch=1)
+
+
 def refresh_events(df):
     state = F.when(F.col("event_type") == "error", "FAILED").when(
         F.col("event_type") == "signup", "UPSTREAM_FAILED").otherwise("SUCCEEDED")
@@ -42,10 +64,22 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 def _(spark, sf):
     out = scratch_path(spark, "upsert")
     order = [F.col("ts").desc(), F.col("event_id").desc()]
-    st.upsert_newest(stream(spark, sf), f"{out}/table", f"{out}/offsets", ["user_id"], order)
+    st.upsert_newest(arrivals(spark, sf, again=10), f"{out}/table", f"{out}/offsets", ["user_id"], order)
     return st.read_newest(spark, f"{out}/table", ["user_id"], order).select("user_id", "event_id", "event_type")
 
 
+@query("stream_upsert_compacted", """
+SELECT user_id, event_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def _(spark, sf):
+    out = scratch_path(spark, "upsert")
+    order = [F.col("ts").desc(), F.col("event_id").desc()]
+    for offsets in ("first", "second"):  # a new checkpoint over the same table adds to it
+        st.upsert_newest(arrivals(spark, sf), f"{out}/table", f"{out}/{offsets}", ["user_id"], order)
+    st.compact(spark, f"{out}/table", f"{out}/compact", ["user_id"], order)
+    return spark.read.parquet(f"{out}/compact").select("user_id", "event_id", "event_type")
+
+
 @query("stream_static_join", """
 SELECT event_id, c_name FROM events LEFT JOIN customer ON c_custkey = user_id""")
 def _(spark, sf):
@@ -59,18 +93,22 @@ def _(spark, sf):
 @query("stream_first_within_watermark", "SELECT event_id, event_type FROM events")
 def _(spark, sf):
     out = scratch_path(spark, "first")
-    firsts = st.first_within(stream(spark, sf).select("event_id", "event_type", "ts"), ["event_id"], "ts", "1 hour")
+    firsts = st.first_within(arrivals(spark, sf, again=7).select("event_id", "event_type", "ts"), ["event_id"], "ts", "1 hour")
     st.append_new(firsts.drop("ts"), f"{out}/table", f"{out}/offsets")
     return spark.read.parquet(f"{out}/table").select("event_id", "event_type")
 
 
 @query("stream_failure_alert", """
-SELECT (SELECT count(*) FROM events WHERE event_type = 'error') AS event_count,
-  'The following tables failed to refresh: ' || string_agg(name, ', ' ORDER BY name) AS message
-FROM (SELECT DISTINCT 'T' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS name FROM events WHERE event_type = 'error' ORDER BY 1 LIMIT 10)""")
+WITH weeks AS (
+  SELECT 'T' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS name, CASE WHEN ts < TIMESTAMP '2024-01-08' THEN 1 WHEN ts < TIMESTAMP '2024-01-15' THEN 2
+    WHEN ts < TIMESTAMP '2024-01-22' THEN 3 ELSE 4 END AS week FROM events WHERE event_type = 'error'),
+names AS (SELECT DISTINCT week, name FROM weeks),
+firsts AS (SELECT week, name FROM names QUALIFY row_number() OVER (PARTITION BY week ORDER BY name) <= 10)
+SELECT event_count, 'The following tables failed to refresh: ' || string_agg(name, ', ' ORDER BY name) AS message
+FROM firsts JOIN (SELECT week, count(*) AS event_count FROM weeks GROUP BY 1) USING (week) GROUP BY week, event_count""")
 def _(spark, sf):
     out = scratch_path(spark, "alert")
-    al.alert_on_new(refresh_events(stream(spark, sf)), f"{out}/table", f"{out}/offsets", "ERROR")
+    al.alert_on_new(refresh_events(arrivals(spark, sf)), f"{out}/table", f"{out}/offsets", "ERROR")
     return spark.read.parquet(f"{out}/table").select("event_count", "message")
 
 

@@ -51,8 +51,8 @@ def alert_on_new(stream: DataFrame, path: str, checkpoint: str, level: str = "ER
                  text: str = "The following tables failed to refresh: ") -> None:
     """Streaming form: each batch of new events gives at most one alert row."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, name: str, batch_id: int) -> None:
         message = alert_message(batch.where(at_level(level)), text)
-        message.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        message.write.mode("overwrite").parquet(f"{path}/batch={name}")
 
     run_available(stream, handle, checkpoint)

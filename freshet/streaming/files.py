@@ -1,8 +1,10 @@
 """Streams over arriving files and idempotent per-batch sinks.
 
 A batch may be handed to its sink again after a crash.  Every sink here writes
-into a folder named after the batch and overwrites it, so a replay replaces the
-first attempt instead of adding to it.
+into a folder named after the stream and the batch and overwrites it, so a
+replay replaces the first attempt instead of adding to it.  The stream's name is
+the id that its checkpoint keeps: a new checkpoint numbers its batches from 0
+again, and must not overwrite what another one has stored.
 """
 
 from __future__ import annotations
@@ -34,23 +36,34 @@ def lag_trigger(lag_seconds: int, upstream_lag_seconds: int = 0) -> dict[str, st
     return {"processingTime": f"{lag_seconds} seconds"}
 
 
-def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+Sink = Callable[[DataFrame, str, int], None]
+
+
+def run_available(stream: DataFrame, handle: Sink, checkpoint: str) -> None:
     """Process everything that has arrived since the last call, then stop.
 
-    The checkpoint keeps the offset, so no file is taken twice.
+    The checkpoint keeps the offset, so no file is taken twice.  ``handle`` gets
+    the batch, a name that no other stream uses, and the batch number.
     """
+    ids: list[str] = []
+
+    def named(batch: DataFrame, batch_id: int) -> None:
+        if not ids:
+            ids.append(batch.sparkSession.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"])
+        handle(batch, f"{ids[0]}-{batch_id}", batch_id)
+
     query = (
-        stream.writeStream.foreachBatch(handle)
+        stream.writeStream.foreachBatch(named)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
 
 
-def batch_writer(path: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
+def batch_writer(path: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> Sink:
     """A sink that stores ``transform`` of each batch in its own folder."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    def handle(batch: DataFrame, name: str, batch_id: int) -> None:
+        transform(batch).write.mode("overwrite").parquet(f"{path}/batch={name}")
 
     return handle
 
@@ -76,7 +89,7 @@ def read_newest(spark: SparkSession, path: str, keys: Sequence[str], order: Sequ
 
 def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], order: Sequence[Column]) -> None:
     """Write the newest rows of all batches to a new folder."""
-    read_newest(spark, path, keys, order).write.mode("errorifexists").parquet(f"{target}/batch=0")
+    read_newest(spark, path, keys, order).write.mode("errorifexists").parquet(f"{target}/batch=compacted")
 
 
 def first_within(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
@@ -95,10 +108,10 @@ def enrich(stream: DataFrame, dimension: DataFrame, on: Sequence[str]) -> DataFr
     return stream.join(dimension, list(on), "left")
 
 
-def changed_rows_export(path: str) -> Callable[[DataFrame, int], None]:
+def changed_rows_export(path: str) -> Sink:
     """Post-refresh action: hand the changed rows of a batch to files."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("exported_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").json(f"{path}/batch={batch_id}")
+    def handle(batch: DataFrame, name: str, batch_id: int) -> None:
+        batch.withColumn("exported_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").json(f"{path}/batch={name}")
 
     return handle

@@ -29,11 +29,20 @@ def test_replayed_batch_replaces_itself(spark, tmp_path, rows):
     out = str(tmp_path / "out")
     write = st.batch_writer(out)
     batch = spark.createDataFrame([(1, 1, "a", "x")], SCHEMA)
-    write(batch, 0)
-    write(batch, 0)
+    write(batch, "a-0", 0)
+    write(batch, "a-0", 0)
     assert rows(spark.read.parquet(out), "id") == [(1,)]
 
 
+def test_new_checkpoint_adds_to_the_table(spark, tmp_path, rows):
+    src, more, out = (str(tmp_path / n) for n in ("in", "more", "out"))
+    drop(spark, src, [(i, 1, "a", "x") for i in range(5)])
+    st.append_new(stream(spark, src), out, str(tmp_path / "o1"))
+    drop(spark, more, [(i, 1, "b", "x") for i in range(5, 8)])
+    st.append_new(stream(spark, more), out, str(tmp_path / "o2"))
+    assert rows(spark.read.parquet(out), "id") == [(i,) for i in range(8)]
+
+
 def test_newest_row_wins_across_batches(spark, tmp_path, rows):
     src, out, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
     order = [F.col("ts").desc(), F.col("name")]
