@@ -196,20 +196,23 @@ def with_definition(history: DataFrame, versions: DataFrame) -> DataFrame:
     return history.join(known, ["name", "graph_history_valid_from"], "left")
 
 
-def lag_metrics(history: DataFrame, start: dt.datetime | None = None) -> DataFrame:
+def lag_metrics(history: DataFrame, start: dt.datetime | None = None, as_of: dt.datetime | None = None) -> DataFrame:
     """Observed lag per table.
 
     Right after a successful refresh the lag is ``end - data timestamp``; it
     then grows by a second per second until the next success ends.  Over each
     such stretch the mean, the maximum and the time above target follow in
-    closed form.  Stretches run between successive successes, so the last one
-    of a table, which has no end yet, is left out.
+    closed form.  Stretches run between successive successes; the last one of a
+    table ends at ``as_of``, and is left out without it, so that a table that
+    has stopped refreshing only shows with ``as_of``.
     """
     done = history.where(normal_state("state") == "SUCCEEDED")
     if start is not None:
         done = done.where(F.col("data_timestamp") >= instant(start))
     rows = done.select("name", "query_id", "target_lag_sec", "data_timestamp", F.col("refresh_end_time").alias("_end"))
     rows = ordered_windows(rows, ["name"], ["_end", "query_id"], following={"_next": "_end"})
+    if as_of is not None:
+        rows = rows.withColumn("_next", F.coalesce("_next", F.when(instant(as_of) > F.col("_end"), instant(as_of))))
     low = seconds_between("data_timestamp", "_end")
     span = seconds_between("_end", "_next")
     stretches = rows.where(F.col("_next").isNotNull()).select(
@@ -239,7 +242,8 @@ def table_status(scheduling: str = "scheduling_state", last: str = "last_complet
     state = normal_state(last)
     critical = (F.col(scheduling) == "SUSPENDED") | state.isin("FAILED", "UPSTREAM_FAILED")
     warning = (
-        (state == "CANCELED")
+        state.isNull()  # never refreshed
+        | (state == "CANCELED")
         | (F.col(ratio) < HEALTHY_RATIO)
         | ((F.col(mode) == "FULL") & (F.col(expected) == "INCREMENTAL"))
     )
@@ -262,7 +266,7 @@ def table_report(history: DataFrame, config: DataFrame, as_of: dt.datetime, days
     """One report row per configured table; tables without history stay in."""
     report = (
         config.join(last_state(history), "name", "left")
-        .join(lag_metrics(history), "name", "left")
+        .join(lag_metrics(history, as_of=as_of), "name", "left")
         .join(refresh_statistics(history, as_of, days), "name", "left")
     )
     return report.withColumn("status", table_status())
@@ -351,7 +355,7 @@ def io_summary(queries: DataFrame) -> DataFrame:
     )
 
 
-def listing(states: DataFrame, limit: int = 100, wanted: Column | None = None) -> DataFrame:
+def listing(states: DataFrame, limit: int, wanted: Column | None = None) -> DataFrame:
     """Tables by last state, worst first.  The limit comes before the caller's
     filter, so a small limit can hide rows the filter would have kept."""
     place = F.array_position(F.array(*map(F.lit, STATE_ORDER)), normal_state("last_completed_refresh_state"))

@@ -38,7 +38,10 @@ class Maintained:
     ``compute`` builds the result from the input tables.  ``apply`` (optional)
     builds the new result from the old one, the change sets of the inputs and
     the new input tables.  ``gate`` may hold a refresh back by the number of
-    changed input rows.
+    changed input rows.  The result of a ``stateful`` table depends on what was
+    stored before (enrichment as of then, a board that forgets, a frozen
+    region): it is never rebuilt because much has changed, and after a change of
+    layout only by ``rebuild``.
     """
 
     name: str
@@ -47,6 +50,7 @@ class Maintained:
     apply: Callable[[DataFrame, Frames, Frames], DataFrame] | None = None
     mode: str = "AUTO"
     gate: Callable[[int], bool] | None = None
+    stateful: bool = False
 
 
 @dataclass
@@ -59,6 +63,7 @@ class MaintainedTables:
     keys: dict[str, Sequence[str] | None] = field(default_factory=dict)
     definitions: dict[str, Maintained] = field(default_factory=dict)
     _summary: dict | None = field(default=None, repr=False)
+    _checked: dict = field(default_factory=dict, repr=False)
 
     # --- definitions and data ---------------------------------------------
 
@@ -203,7 +208,7 @@ class MaintainedTables:
                 self._refresh_one(self.definitions[name], trigger, start)
             except Exception as error:  # noqa: BLE001 - becomes a history row
                 broken.add(name)
-                self._record(name, self.version(name), "FAILED", None, trigger, start, message=str(error)[:500])
+                self._record(name, self.version(name), "FAILED", None, trigger, start, message=str(error))
         return self.history()
 
     def _refresh_one(self, table: Maintained, trigger: str, start: dt.datetime) -> None:
@@ -218,7 +223,9 @@ class MaintainedTables:
             self._record(table.name, last["version"], "SUCCEEDED", "NO_DATA", trigger, start, changed=0,
                          rows=last["row_count"], schema=last["schema"], inputs=now)
             return
-        if _layout(table.compute(current)) != last["schema"]:
+        if self._other_layout(table, current, seen, last["schema"]):
+            if table.stateful:
+                raise ValueError(f"{table.name} depends on its history and its layout has changed; rebuild it explicitly")
             self._store(table.name, table.compute(current), "REINITIALIZE", trigger, now, None, start)
             return
         if table.apply is None or table.mode == "FULL":
@@ -231,19 +238,36 @@ class MaintainedTables:
             # written once: counted here and read again by the refresh itself
             delta.write.mode("overwrite").parquet(f"{path}/{name}")
             kept[name] = self.spark.read.parquet(f"{path}/{name}")
-            changed += kept[name].count()
+            changed += kept[name].agg(F.coalesce(F.sum("_copies"), F.lit(0))).first()[0]
             total += current[name].count()
         if table.gate is not None and not table.gate(changed):
             self._record(table.name, last["version"], "SKIPPED", None, trigger, start, changed=changed,
                          message="held back by the gate", inputs=seen)
             return
-        if table.mode == "AUTO" and changed > self.max_delta_ratio * max(total, 1):
+        if table.mode == "AUTO" and not table.stateful and changed > self.max_delta_ratio * max(total, 1):
             self._store(table.name, table.compute(current), "FULL", trigger, now, changed, start)
             return
         result = table.apply(self.read(table.name), kept, current)
         self._store(table.name, result, "INCREMENTAL", trigger, now, changed, start)
 
 
+    def _other_layout(self, table: Maintained, current: Frames, seen: Mapping[str, int], stored: str) -> bool:
+        """Whether the result would have other columns than the stored one.
+        ``compute`` may run jobs while it is planned, so it is only built where
+        the definition or the layout of an input is new."""
+        known = self._checked.get(table.name) is table
+        if known and all(_layout(current[n]) == _layout(self.read(n, max(seen[n], self._floor(n)))) for n in table.inputs):
+            return False
+        self._checked[table.name] = table
+        return _layout(table.compute(current)) != stored
+
+    def rebuild(self, name: str, trigger: str = "MANUAL") -> int:
+        """Compute a table anew from its inputs, whatever it held."""
+        table = self.definitions[name]
+        now = {n: self.version(n) for n in table.inputs}
+        return self._store(name, table.compute({n: self.read(n) for n in table.inputs}), "REINITIALIZE", trigger, now, None, _now())
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 

@@ -13,6 +13,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +22,8 @@ from ..session import cut_lineage
 # The usual BM25 parameters, and the most results a search gives.
 K1, B = 1.2, 0.75
 MAX_RESULTS = 10
-# Vector questions answered in one pass; their vectors travel to every task.
-MAX_QUESTIONS = 256
+# Vector questions answered in one pass, about so many; their vectors travel to every task.
+QUESTIONS_PER_PASS = 256
 
 # Columns a text search over invoices returns (fixed values).
 INVOICE_SEARCH_COLUMNS = [
@@ -129,16 +130,29 @@ def vector_topk(vectors: DataFrame, id_column: str, vector: str, questions: Data
                 filters: Mapping[str, object] | None = None, digits: int = 9) -> DataFrame:
     """The ``k`` most similar vectors per question, by cosine.
 
-    ``questions``: (question_id, vector), at most ``MAX_QUESTIONS`` rows; more
-    are asked in several calls.  Each task multiplies its batches with the
-    questions and hands on its own best ``k`` per question, so the final
-    ranking sees k rows per task and question.
+    ``questions``: (question_id, vector), any number; they are asked in blocks
+    of about ``QUESTIONS_PER_PASS``, one pass over the vectors per block.  Each
+    task multiplies its batches with the questions and hands on its own best
+    ``k`` per question, so the final ranking sees k rows per task and question.
+    A NULL vector, or one with a NULL in it, scores NULL and comes last; a
+    vector of another length than the questions' is an error.
     """
-    asked = questions.select("question_id", "vector").limit(MAX_QUESTIONS + 1).collect()
-    if len(asked) > MAX_QUESTIONS:
-        raise ValueError(f"more than {MAX_QUESTIONS} questions in one call")
+    blocks = max(1, -(-questions.count() // QUESTIONS_PER_PASS))
+    block = F.pmod(F.xxhash64("question_id"), F.lit(blocks))
+    local = None
+    for i in range(blocks):
+        asked = questions.where(block == i).select("question_id", "vector").collect()
+        part = _best_of_tasks(vectors, id_column, vector, asked, questions, k, filters, digits)
+        local = part if local is None else local.unionByName(part)
+    best = Window.partitionBy("question_id").orderBy(F.col("score").desc_nulls_last(), id_column)
+    return local.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+
+
+def _best_of_tasks(vectors: DataFrame, id_column: str, vector: str, asked: list, questions: DataFrame, k: int,
+                   filters: Mapping[str, object] | None, digits: int) -> DataFrame:
+    """The best ``k`` vectors of each task for one block of questions."""
     names = [row["question_id"] for row in asked]
-    matrix = np.array([row["vector"] for row in asked], dtype=np.float64)
+    matrix = np.array([row["vector"] for row in asked], dtype=np.float64).reshape((len(asked), -1) if asked else (0, 0))
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     matrix = np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
     width = matrix.shape[1] if len(asked) else 0
@@ -149,10 +163,16 @@ def vector_topk(vectors: DataFrame, id_column: str, vector: str, questions: Data
         kept: dict[int, list[tuple[float, object]]] = {q: [] for q in range(len(names))}
         for batch in batches:
             ids = np.array(batch.column(0).to_pylist())
-            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+            lengths = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+            given = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+            if (lengths[given] != width).any():
+                raise ValueError(f"{vector}: a vector does not have the {width} elements of the questions")
+            rows = np.full((len(ids), width), np.nan)
+            rows[given] = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+            whole = ~np.isnan(rows).any(axis=1)
             size = np.linalg.norm(rows, axis=1)
             cosine = np.divide(rows @ matrix.T, size[:, None], out=np.zeros((len(rows), len(names))), where=size[:, None] > 0)
-            cosine = np.round(cosine, digits)
+            cosine = np.where(whole[:, None], np.round(cosine, digits), -np.inf)
             for q in kept:
                 scores = cosine[:, q]
                 # everything from the k-th best score on, ties included
@@ -163,12 +183,12 @@ def vector_topk(vectors: DataFrame, id_column: str, vector: str, questions: Data
         rows = [(names[q], key, -score) for q, best in kept.items() for score, key in best]
         if rows:
             yield pa.RecordBatch.from_pydict({
-                "question_id": [r[0] for r in rows], id_column: [r[1] for r in rows], "score": [float(r[2]) for r in rows]})
+                "question_id": [r[0] for r in rows], id_column: [r[1] for r in rows], "score": [float(r[2]) if np.isfinite(r[2]) else None for r in rows]})
 
-    usable = _filtered(vectors, filters).where(F.size(vector) == width).select(id_column, vector)
-    local = usable.mapInArrow(best_of_task, f"question_id {name_type}, `{id_column}` {id_type}, score double")
-    best = Window.partitionBy("question_id").orderBy(F.col("score").desc(), id_column)
-    return local.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+    usable = _filtered(vectors, filters).select(id_column, vector)
+    if not names:
+        usable = usable.limit(0)
+    return usable.mapInArrow(best_of_task, f"question_id {name_type}, `{id_column}` {id_type}, score double")
 
 
 def cosine(a: Column | str, b: Column | str) -> Column:

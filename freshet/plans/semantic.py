@@ -3,6 +3,7 @@ declared many-to-one relationships."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -77,43 +78,73 @@ class SemanticModel:
 
     # --- queries -----------------------------------------------------------------
 
+    def _home(self, table: str, name: str) -> str | None:
+        """The table that gives ``table`` a dimension or fact: itself, or the
+        one side of a relationship; None if it is out of reach."""
+        for other in (table, *(r.one for r in self.relations if r.many == table)):
+            if name in self.tables[other].dimensions or name in self.tables[other].facts:
+                return other
+        return None
+
+    def _predicates(self, where: str | Mapping[str, str] | None) -> list[tuple[list[str], str]]:
+        """Filters as (names they need, SQL).  In a text, names of dimensions
+        and facts are recognised as whole words."""
+        known = {n for spec in self.tables.values() for n in (*spec.dimensions, *spec.facts)}
+        if where is None:
+            return []
+        if not isinstance(where, str):
+            return [([self.resolve(n)], sql) for n, sql in where.items()]
+        return [([n for n in sorted(known) if re.search(rf"\b{re.escape(n)}\b", where)], where)]
+
     def _rows(self, table: str, dimensions: Sequence[str], frames: Mapping[str, DataFrame]) -> DataFrame:
-        """The table with its facts and the wanted dimensions as columns,
-        joining the one side where a dimension lives there."""
+        """The table with its facts and the wanted dimensions (or foreign
+        facts) as columns, joining the one side where one lives there."""
         spec = self.tables[table]
         named = {**spec.facts, **{d: spec.dimensions[d] for d in dimensions if d in spec.dimensions}}
         rows = frames[table].withColumns({n: F.expr(e) for n, e in named.items()})
         foreign: dict[str, list[str]] = {}
         for d in dimensions:
-            if d not in spec.dimensions:
-                foreign.setdefault(self._owner("dimensions", d), []).append(d)
+            if d not in named:
+                foreign.setdefault(self._home(table, d) or self._owner("dimensions", d), []).append(d)
         for other, names in foreign.items():
+            formulas = {**self.tables[other].facts, **self.tables[other].dimensions}
             relation = self._relation(table, other)
             keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(relation.one_columns)]
-            looked_up = frames[other].select(*keys, *[F.expr(self.tables[other].dimensions[n]).alias(n) for n in names])
+            looked_up = frames[other].select(*keys, *[F.expr(formulas[n]).alias(n) for n in names])
             equal = [rows[c] == looked_up[f"_k{i}"] for i, c in enumerate(relation.many_columns)]
             rows = rows.join(looked_up, equal, "left").drop(*[f"_k{i}" for i in range(len(keys))])
         return rows
 
     def query(
         self, frames: Mapping[str, DataFrame], metrics: Sequence[str], dimensions: Sequence[str] = (),
-        where: str | None = None, order: Sequence[Column | str] = (), limit: int | None = None,
+        where: str | Mapping[str, str] | None = None, order: Sequence[Column | str] = (), limit: int | None = None,
     ) -> DataFrame:
         """Metrics grouped by dimensions.
 
         Metrics of different tables are aggregated apart and put together on
-        the dimensions afterwards, so no table multiplies another.  ``where``
-        may use dimensions and facts.
+        the dimensions afterwards, so no table multiplies another.
+
+        ``where`` is a condition over dimensions and facts, selected or not and
+        on either side of a relationship, or a mapping of names to conditions.
+        Each condition holds for every table that reaches its names; one that
+        no table reaches is refused.
         """
         metrics = [self.resolve(m) for m in metrics]
         dimensions = [self.resolve(d) for d in dimensions]
         by_table: dict[str, list[str]] = {}
         for m in metrics:
             by_table.setdefault(self._owner("metrics", m), []).append(m)
+        conditions = self._predicates(where)
+        for needed, sql in conditions:
+            if not any(all(self._home(t, n) for n in needed) for t in by_table):
+                raise KeyError(f"no table of {list(metrics)} reaches the names in {sql!r}")
         parts = []
         for table, names in by_table.items():
-            rows = self._rows(table, dimensions, frames)
-            rows = rows if where is None else rows.where(where)
+            own = [(needed, sql) for needed, sql in conditions if all(self._home(table, n) for n in needed)]
+            wanted = list(dict.fromkeys([*dimensions, *(n for needed, _ in own for n in needed)]))
+            rows = self._rows(table, wanted, frames)
+            for _, sql in own:
+                rows = rows.where(sql)
             parts.append(rows.groupBy(*dimensions).agg(*[F.expr(self.tables[table].metrics[n]).alias(n) for n in names]))
         result = parts[0]
         for part in parts[1:]:

@@ -52,7 +52,7 @@ CONFIG = """config AS (SELECT 'T' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS n
 last AS (SELECT name, state AS last_state, state_message FROM h QUALIFY row_number() OVER (PARTITION BY name ORDER BY refresh_end_time DESC, query_id DESC) = 1),
 report AS (SELECT config.*, last_state AS last_completed_refresh_state, state_message, mean_lag_sec, time_within_target_lag_ratio,
   CASE WHEN scheduling_state = 'SUSPENDED' OR last_state IN ('FAILED', 'UPSTREAM_FAILED') THEN 'CRITICAL'
-    WHEN last_state = 'CANCELED' OR time_within_target_lag_ratio < 0.9 OR (refresh_mode = 'FULL' AND expected_mode = 'INCREMENTAL') THEN 'WARNING'
+    WHEN last_state IS NULL OR last_state = 'CANCELED' OR time_within_target_lag_ratio < 0.9 OR (refresh_mode = 'FULL' AND expected_mode = 'INCREMENTAL') THEN 'WARNING'
     ELSE 'HEALTHY' END AS status FROM config LEFT JOIN last USING (name) LEFT JOIN lag USING (name))"""
 
 
@@ -61,6 +61,10 @@ def history_sql(body: str, *parts: str) -> str:
 
 
 LAG_ALL = LAG.replace("{start}", "")
+#: The same with the last stretch of each table closed at the reporting time.
+LAG_UP_TO_NOW = LAG_ALL.replace("ok AS (SELECT", "open_ok AS (SELECT").replace("st AS (SELECT name, date_diff", f"""ok AS (
+  SELECT name, data_timestamp, e, coalesce(nxt, CASE WHEN e < TIMESTAMP '{b.EVENTS_AS_OF}' THEN TIMESTAMP '{b.EVENTS_AS_OF}' END) AS nxt FROM open_ok),
+st AS (SELECT name, date_diff""")
 
 
 def hist(spark, sf):
@@ -178,6 +182,11 @@ def _(spark, sf):
     return h.lag_metrics(hist(spark, sf), dt.datetime(2024, 1, 20))
 
 
+@query("lag_metrics_up_to_now", history_sql("SELECT * FROM lag", LAG_UP_TO_NOW))
+def _(spark, sf):
+    return h.lag_metrics(hist(spark, sf), as_of=b.EVENTS_AS_OF)
+
+
 @query("lag_compliance", history_sql("""
 SELECT name, CASE WHEN time_within_target_lag_ratio >= 0.95 THEN 'GOAL_MET' WHEN time_within_target_lag_ratio >= 0.9 THEN 'HEALTHY' ELSE 'LATE' END AS verdict FROM lag""", LAG_ALL))
 def _(spark, sf):
@@ -189,7 +198,7 @@ REPORT = ["name", "scheduling_state", "refresh_mode", "last_completed_refresh_st
 
 @query("table_health_report", history_sql(f"""
 SELECT {', '.join(REPORT)}, total_refreshes, avg_duration_sec, p95_duration_sec, failed_count
-FROM report LEFT JOIN stats USING (name)""", STATS, LAG_ALL, CONFIG))
+FROM report LEFT JOIN stats USING (name)""", STATS, LAG_UP_TO_NOW, CONFIG))
 def _(spark, sf):
     report = h.table_report(hist(spark, sf), b.table_config(spark, sf), b.EVENTS_AS_OF)
     return report.select(*REPORT, "total_refreshes", "avg_duration_sec", F.round("p95_duration_sec", 6).alias("p95_duration_sec"), "failed_count")
@@ -211,7 +220,7 @@ rows AS (SELECT name, status, c, depth, CASE status WHEN 'CRITICAL' THEN 2 WHEN
 SELECT arg_min(name, printf('%05d', 10000 - depth) || name) AS leaf, count(*) AS tables, max(depth) AS depth,
   count(*) FILTER (w = 0) AS healthy, count(*) FILTER (w = 1) AS warning, count(*) FILTER (w = 2) AS critical,
   CASE max(w) WHEN 2 THEN 'CRITICAL' WHEN 1 THEN 'WARNING' ELSE 'HEALTHY' END AS status FROM rows GROUP BY c""",
-    LAG_ALL, CONFIG, GROUPS).replace("WITH ", "WITH RECURSIVE ", 1).replace("\n, reach(n, r)", ",\nreach(n, r)"))
+    LAG_UP_TO_NOW, CONFIG, GROUPS).replace("WITH ", "WITH RECURSIVE ", 1).replace("\n, reach(n, r)", ",\nreach(n, r)"))
 def _(spark, sf):
     report = h.table_report(hist(spark, sf), b.table_config(spark, sf), b.EVENTS_AS_OF)
     edges, nodes = g.edges(b.graph(spark, sf), kinds=["MAINTAINED"]), b.nodes(spark, sf)
@@ -230,7 +239,7 @@ def _(spark, sf):
 SELECT name, CASE WHEN scheduling_state = 'SUSPENDED' THEN 'SUSPENDED_TABLE' WHEN last_completed_refresh_state = 'UPSTREAM_FAILED' THEN 'UPSTREAM_FAILURE'
   WHEN refresh_mode = 'FULL' AND expected_mode = 'INCREMENTAL' THEN 'INCREMENTAL_NOT_SUPPORTED' WHEN state_message LIKE '%change tracking%' THEN 'CHANGE_TRACKING'
   WHEN last_completed_refresh_state = 'FAILED' THEN 'REFRESH_ERROR' WHEN time_within_target_lag_ratio < 0.9 THEN 'TARGET_LAG_NOT_MET' END AS issue FROM report""",
-    LAG_ALL, CONFIG))
+    LAG_UP_TO_NOW, CONFIG))
 def _(spark, sf):
     rows = hist(spark, sf)
     message = rows.groupBy("name").agg(F.max_by("state_message", F.struct("refresh_end_time", "query_id")).alias("state_message"))

@@ -40,6 +40,24 @@ def _(spark, sf):
     return amounts(df, "spend_by_vendor", "overdue_by_vendor")
 
 
+@query("metrics_filtered_by_unselected_month", with_invoices("""
+SELECT vendor_name, CAST(sum(invoice_amount) AS DOUBLE) AS total_spend FROM inv
+WHERE date_trunc('month', invoice_date) >= DATE '1996-01-01' AND invoice_amount > 1000 GROUP BY 1"""))
+def _(spark, sf):
+    df = INVOICE_MODEL.query(frames(spark, sf), ["total_spend"], ["vendor_name"],
+                             where="invoice_month >= DATE '1996-01-01' AND invoice_amount > 1000")
+    return amounts(df, "total_spend")
+
+
+@query("metrics_of_two_tables_filtered", with_invoices("""
+SELECT a.vendor_name, invoice_count, spend_by_vendor FROM
+  (SELECT vendor_name, CAST(sum(invoice_amount) AS DOUBLE) AS spend_by_vendor FROM inv GROUP BY 1) a
+  LEFT JOIN (SELECT vendor_name, count(invoice_id) AS invoice_count FROM inv WHERE currency_code = 'EUR' GROUP BY 1) b USING (vendor_name)"""))
+def _(spark, sf):
+    df = INVOICE_MODEL.query(frames(spark, sf), ["invoice_count", "spend_by_vendor"], ["vendor_name"], where={"currency_code": "currency_code = 'EUR'"})
+    return amounts(df, "spend_by_vendor")
+
+
 @query("metrics_by_month", with_invoices("""
 SELECT CAST(date_trunc('month', invoice_date) AS DATE) AS invoice_month, count(*) AS invoice_count FROM inv GROUP BY 1"""))
 def _(spark, sf):
@@ -70,3 +88,11 @@ def _(spark, sf):
     tables = {"orders": b.table(spark, sf, "orders"), "customer": b.table(spark, sf, "customer")}
     ORDER_MODEL.check_keys(tables)
     return amounts(ORDER_MODEL.query(tables, ["turnover", "orders"], ["segment", "status"]), "revenue")
+
+
+@query("metrics_filtered_over_relationship", """
+SELECT o_orderstatus AS status, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue, count(*) AS orders
+FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment = 'BUILDING' GROUP BY 1""")
+def _(spark, sf):
+    tables = {"orders": b.table(spark, sf, "orders"), "customer": b.table(spark, sf, "customer")}
+    return amounts(ORDER_MODEL.query(tables, ["turnover", "orders"], ["status"], where="segment = 'BUILDING'"), "revenue")

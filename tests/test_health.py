@@ -80,3 +80,15 @@ def test_listing_limits_before_it_filters(spark):
     df = spark.createDataFrame([("a", "SUCCEEDED"), ("b", "FAILED"), ("c", "SKIPPED")], "name string, last_completed_refresh_state string")
     assert [r.name for r in h.listing(df, 2).collect()] == ["b", "c"]
     assert h.listing(df, 2, F.col("last_completed_refresh_state") == "SUCCEEDED").count() == 0
+
+
+def test_open_stretch_counts_up_to_the_reporting_time(spark, history):
+    rows = [refresh(0), refresh(1)]
+    end = max(r.refresh_end_time for r in history(rows).collect())
+    late = h.lag_metrics(history(rows), as_of=end + dt.timedelta(hours=10)).first()
+    assert late.maximum_lag_sec == 36010 and late.time_within_target_lag_ratio < 0.1
+    assert h.lag_metrics(history(rows[:1])).count() == 0
+    assert h.lag_metrics(history(rows[:1]), as_of=end).count() == 1
+    never = spark.createDataFrame([("ACTIVE", None, None, "FULL", "FULL")],
+                                  "scheduling_state string, last_completed_refresh_state string, time_within_target_lag_ratio double, refresh_mode string, expected_mode string")
+    assert never.select(h.table_status()).first()[0] == "WARNING"

@@ -105,3 +105,60 @@ def test_handed_over_change_sets_are_used_and_netted(spark, tables, rows):
     tables.refresh("copy")
     assert actions(tables, "copy")[-1] == ("SUCCEEDED", "INCREMENTAL")
     assert rows(tables.read("copy")) == rows(third)
+
+
+def test_tables_with_a_past_are_not_rebuilt_by_size(spark, tmp_path, rows):
+    """Enrichment as of then: the same rows whether 2 or 20 are new."""
+    for n in (2, 20):
+        t = MaintainedTables(spark, str(tmp_path / f"db{n}"), max_delta_ratio=0.05)
+        for name in ("facts", "names"):
+            t.add_base(name, ["id"])
+        t.add(Maintained(
+            "enriched", ["facts", "names"], stateful=True, compute=lambda f: f["facts"].join(f["names"], "id", "left"),
+            apply=lambda old, d, f: old.unionByName(
+                d["facts"].where("_action = 'INSERT'").select("id").join(f["names"], "id", "left"))), keys=["id"])
+        t.publish("facts", spark.range(100))
+        t.publish("names", spark.range(200).withColumn("name", F.lit("old")))
+        t.refresh("enriched")
+        t.publish("names", spark.range(200).withColumn("name", F.lit("new")))
+        t.publish("facts", spark.range(100 + n))
+        t.refresh("enriched")
+        assert rows(t.read("enriched").groupBy("name").count()) == [("new", n), ("old", 100)]
+        t.publish("names", spark.range(200).withColumn("name", F.lit("new")).withColumn("more", F.lit(1)))
+        t._checked.clear()
+        t.refresh("enriched")
+        assert actions(t, "enriched")[-1][0] == "FAILED" and "more" not in t.read("enriched").columns
+        t.rebuild("enriched")
+        assert rows(t.read("enriched").groupBy("name").count()) == [("new", 100 + n)]
+
+
+def test_incremental_refresh_does_not_build_the_whole(spark, tables):
+    calls = []
+    tables.definitions["copy"] = Maintained(
+        "copy", ["orders"], compute=lambda f: calls.append(1) or f["orders"],
+        apply=lambda old, d, f: ch.apply_changes(old, d["orders"], ["id"]))
+    tables.refresh("copy")
+    for n in (101, 102, 103):
+        tables.publish("orders", orders(spark, n))
+        tables.refresh("copy")
+    assert len(calls) == 2  # the first contents, and one look at the layout
+
+
+def test_gate_counts_rows_and_messages_are_kept_whole(spark, tmp_path):
+    seen = []
+    t = MaintainedTables(spark, str(tmp_path / "db"))
+    t.add_base("bag")
+    t.add(Maintained("copy", ["bag"], compute=lambda f: f["bag"], apply=lambda old, d, f: f["bag"], gate=lambda n: seen.append(n) or True))
+    t.publish("bag", spark.range(100).select(F.lit(1).alias("v")))
+    t.refresh("copy")
+    t.publish("bag", spark.range(600).select(F.lit(1).alias("v")))
+    t.refresh("copy")
+    assert seen == [500]
+
+    def fail(frames):
+        raise RuntimeError("x" * 2000)
+
+    t.definitions["copy"] = Maintained("copy", ["bag"], compute=fail, mode="FULL")
+    t.publish("bag", spark.range(601).select(F.lit(1).alias("v")))
+    t.refresh("copy")
+    assert len(t.history().where("state = 'FAILED'").first().state_message) == 2000

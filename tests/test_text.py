@@ -93,3 +93,15 @@ def test_answer_checks(spark):
     total = scoring.pass_rate(scoring.score(df)).first()
     assert (total.answers, total.passed_answers) == (17, 11)
     assert scoring.failed(scoring.score(df)).count() == 6
+
+
+def test_any_number_of_vector_questions(spark):
+    frame = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)] + [(90, None), (91, [None, 1.0])], "id long, v array<double>")
+    asked = spark.createDataFrame([(i, [float(i % 20), 1.0]) for i in range(300)], "question_id long, vector array<double>")
+    best = search.vector_topk(frame, "id", "v", asked, k=1).collect()
+    assert len(best) == 300 and all(r.id == r.question_id % 20 for r in best)
+    every = search.vector_topk(frame, "id", "v", asked.limit(1), k=30).collect()
+    assert len(every) == 22 and {r.id for r in every if r.score is None} == {90, 91}
+    assert search.vector_topk(frame, "id", "v", asked.limit(0), k=3).count() == 0
+    with pytest.raises(Exception, match="elements of the questions"):
+        search.vector_topk(frame.unionByName(spark.createDataFrame([(5, [1.0])], frame.schema)), "id", "v", asked, k=1).collect()
