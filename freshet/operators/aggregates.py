@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.generators import date_spine
+from .windows import null_safe_join, ordered_windows
 
 
 def zero_filled_daily(
@@ -62,16 +63,29 @@ def percentiles(
 ) -> DataFrame:
     """Exact interpolated percentiles per key; NULL values do not count.
 
-    Equal values are counted first, so the state of one key grows with its
-    distinct values, not with its rows.  Meant for whole-number measures.
+    Equal values are counted first, the counts are summed up over even ranges of
+    the order, and the one or two values at each rank are picked out, so no task
+    holds the values of a key.  Runs one job when called (``ordered_windows``).
     """
+    keys = list(keys)
     counted = (
         df.select(*keys, value.alias("_value")).where(F.col("_value").isNotNull())
         .groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_n"))
     )
-    return counted.groupBy(*keys).agg(
-        *[F.percentile("_value", share, F.col("_n")).alias(name) for name, share in shares.items()]
-    )
+    ranked = ordered_windows(counted, keys, ["_value"], totals={"_upto": "_n"})
+    whole = counted.groupBy(*keys).agg(F.sum("_n").alias("_whole"))
+    placed = null_safe_join(ranked, whole, keys, "inner") if keys else ranked.withColumn("_whole", whole.scalar())
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto")), F.col("_value").cast("double")))
+
+    found = []
+    for name, share in shares.items():
+        place = F.lit(share) * (F.col("_whole") - 1)
+        found += [at(F.floor(place)).alias(f"_low_{name}"), at(F.ceil(place)).alias(f"_high_{name}"),
+                  F.max(place - F.floor(place)).alias(f"_part_{name}")]
+    return placed.groupBy(*keys).agg(*found).select(*keys, *[
+        (F.col(f"_low_{n}") + (F.col(f"_high_{n}") - F.col(f"_low_{n}")) * F.col(f"_part_{n}")).alias(n) for n in shares])
 
 
 def distinct_values(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

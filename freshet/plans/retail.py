@@ -40,19 +40,15 @@ def customer_orders(customers: DataFrame, orders: DataFrame, with_product: bool
 
 
 def campaign_feedback(campaigns: DataFrame, cases: DataFrame, sentiment: str = "sentiment") -> DataFrame:
-    """Clicks of a campaign next to the sentiment of every case of the same
-    category, as distinct rows with ``copies``.
+    """Each campaign row next to the average sentiment of the cases of its
+    category.
 
-    Joining row by row would pair every campaign row of a category with every
-    case of it.  Equal rows are counted on both sides first; the product of the
-    counts says how often the plain join would show the row.
+    The cases are averaged before the join, so a category's campaign rows are
+    not paired with each of its cases.
     """
-    shown = campaigns.groupBy("category", "campaign_name", "clicks").agg(F.count(F.lit(1)).alias("_a"))
-    moods = cases.groupBy(F.col("product").alias("category"), F.col(sentiment).alias("avg_sentiment")).agg(
-        F.count(F.lit(1)).alias("_b"))
-    return shown.join(moods, "category").select(
-        "campaign_name", "clicks", F.col("category").alias("product_name"), "avg_sentiment",
-        (F.col("_a") * F.col("_b")).alias("copies"))
+    moods = cases.groupBy(F.col("product").alias("product_name")).agg(F.avg(sentiment).alias("avg_sentiment"))
+    return campaigns.select("campaign_name", "clicks", F.col("category").alias("product_name")).join(moods, "product_name").select(
+        "campaign_name", "clicks", "product_name", "avg_sentiment")
 
 
 def clicks_and_satisfaction(campaigns: DataFrame, cases: DataFrame, sentiment: str = "sentiment") -> DataFrame:

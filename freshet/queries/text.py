@@ -122,11 +122,11 @@ CAMPAIGN = """camp AS (SELECT CAST(ts AS DATE) AS date, event_type AS campaign_n
 
 
 @query("campaign_feedback", f"""
-WITH {MOOD}, {CAMPAIGN} SELECT campaign_name, clicks, product AS product_name, round(sentiment, 2) AS avg_sentiment, count(*) AS copies
-FROM camp JOIN mood ON category = product GROUP BY ALL""")
+WITH {MOOD}, {CAMPAIGN} SELECT campaign_name, clicks, category AS product_name, avg_sentiment
+FROM camp JOIN (SELECT product, round(avg(sentiment), 6) AS avg_sentiment FROM mood GROUP BY 1) ON category = product""")
 def _(spark, sf):
-    rounded = cases(spark, sf).withColumn("sentiment", F.round("sentiment", 2))
-    return retail.campaign_feedback(b.campaigns(spark, sf), rounded)
+    df = retail.campaign_feedback(b.campaigns(spark, sf), cases(spark, sf))
+    return df.withColumn("avg_sentiment", F.round("avg_sentiment", 6))
 
 
 @query("clicks_and_satisfaction", f"""

@@ -51,3 +51,24 @@ def compare_columns(left: DataFrame, right: DataFrame) -> DataFrame:
         .otherwise("type_differs")
     )
     return a.join(b, "column_name", "full").withColumn("status", status)
+
+
+def column_contents(df: DataFrame) -> DataFrame:
+    """Per column its type, NULLs and distinct values, counted in one pass."""
+    names = df.columns
+    counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(names)],
+                    *[F.countDistinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(names)])
+    kinds = dict(df.dtypes)
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("data_type"), F.col(f"n{i}").alias("nulls"),
+                              F.col(f"d{i}").alias("distinct_values")) for i, c in enumerate(names)])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def compare_contents(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``compare_columns`` with what the columns hold: NULLs and distinct
+    values of both sides, and ``contents_differ`` where one of them differs."""
+    a, b = (column_contents(df).withColumnsRenamed({c: f"{side}_{c}" for c in ("nulls", "distinct_values")}).drop("data_type")
+            for side, df in (("left", left), ("right", right)))
+    differ = (F.col("left_nulls") != F.col("right_nulls")) | (F.col("left_distinct_values") != F.col("right_distinct_values"))
+    return compare_columns(left, right).join(a, "column_name", "left").join(b, "column_name", "left").withColumn(
+        "status", F.when((F.col("status") == "same") & differ, "contents_differ").otherwise(F.col("status")))

@@ -113,10 +113,10 @@ def test_weather_fan_out_equals_the_plain_join(spark):
     assert long.count() == 8 and {r.measure for r in long.collect()} == {trucks.SALES_MEASURE, *trucks.WEATHER_MEASURES.values()}
 
 
-def test_campaign_feedback_counts_equal_pairs(spark, rows):
+def test_campaign_feedback_keeps_campaign_rows(spark, rows):
     campaigns = spark.createDataFrame([("c", "x", 5), ("c", "x", 5), ("c", "y", 1)], "category string, campaign_name string, clicks int")
     cases = spark.createDataFrame([("c", 0.5), ("c", 0.5), ("d", 1.0)], "product string, sentiment double")
-    assert rows(retail.campaign_feedback(campaigns, cases)) == [("x", 5, "c", 0.5, 4), ("y", 1, "c", 0.5, 2)]
+    assert rows(retail.campaign_feedback(campaigns, cases)) == [("x", 5, "c", 0.5), ("x", 5, "c", 0.5), ("y", 1, "c", 0.5)]
 
 
 def test_semantic_keys_and_names(spark):
