@@ -119,7 +119,7 @@ def search_index(index: DataFrame, id_column: str, docs_total: Column, average_l
     wanted = index.join(asked.select("term").distinct(), "term", "left_semi")
     frequency = wanted.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     weighted = asked.join(frequency, "term").withColumn("_idf", _idf(docs_total, F.col("_df")))
-    hits = _filtered(index, filters).join(weighted, "term")
+    hits = _filtered(wanted, filters).join(weighted, "term")
     part = F.col("_idf") * _saturation(F.col("tf"), F.col("length"), average_length)
     scored = hits.groupBy("question_id", id_column).agg(F.round(F.sum(part), digits).alias("score"))
     best = Window.partitionBy("question_id").orderBy(F.col("score").desc(), id_column)

@@ -333,3 +333,42 @@ UNION ALL SELECT 'per_size', 2, 'FULL', (SELECT count(DISTINCT n) FROM (SELECT c
 UNION ALL SELECT 'per_size', 2, 'NO_DATA', (SELECT count(DISTINCT n) FROM (SELECT count(*) AS n FROM after GROUP BY o_custkey)))""").replace("1 AS version", "CAST(1 AS BIGINT) AS version"))
 def _(spark, sf):
     return _tables(spark, sf).history().select("name", "version", "refresh_action", "row_count")
+
+
+@query("refresh_outcomes", versions("""
+SELECT * FROM (SELECT 'held' AS name, 'SKIPPED' AS state, NULL AS refresh_action, (SELECT count(*) FROM changed) AS changed_rows, NULL::BIGINT AS row_count
+UNION ALL SELECT 'broken', 'FAILED', NULL, NULL, NULL
+UNION ALL SELECT 'reader', 'UPSTREAM_FAILED', NULL, NULL, NULL
+UNION ALL SELECT 'wider', 'SUCCEEDED', 'REINITIALIZE', NULL, (SELECT count(*) FROM after)
+UNION ALL SELECT 'late', 'FAILED', NULL, NULL, NULL)"""))
+def _(spark, sf):
+    """The last refresh of five tables: held back by its gate, failed, above a
+    failed one, rebuilt for another layout, and without the history it needs."""
+    def copied(old, d, t):
+        return ch.apply_changes(old, d["orders"], KEY)
+
+    def bad(t):
+        return t["orders"].withColumn("price", F.when(F.col("price") >= 0, F.raise_error(F.lit("bad price"))).otherwise(F.col("price")).cast("decimal(18,2)"))
+
+    tables = MaintainedTables(spark, scratch_path(spark, "outcomes"))
+    tables.add_base("orders", KEY)
+    kept = {"compute": lambda t: t["orders"], "apply": copied}
+    tables.add(Maintained("held", ["orders"], gate=lambda n: n > 10**12, **kept), keys=KEY)
+    tables.add(Maintained("broken", ["orders"], compute=lambda t: t["orders"], mode="FULL"), keys=KEY)
+    tables.add(Maintained("reader", ["broken"], compute=lambda t: t["broken"].select("o_orderkey")), keys=KEY)
+    tables.add(Maintained("wider", ["orders"], **kept), keys=KEY)
+    tables.add(Maintained("late", ["orders"], **kept), keys=KEY)
+    tables.publish("orders", b.orders_before(spark, sf))
+    for name in ("held", "reader", "wider", "late"):
+        tables.refresh(name)
+    tables.definitions["broken"] = Maintained("broken", ["orders"], compute=bad, mode="FULL")
+    tables.definitions["wider"] = Maintained("wider", ["orders"], compute=lambda t: t["orders"].withColumn("year", F.year("day")), apply=copied)
+    tables.publish("orders", b.orders_after(spark, sf))
+    for name in ("held", "reader", "wider"):
+        tables.refresh(name)
+    tables.expire("orders", 2)
+    tables.refresh("late")
+    last = tables.history().where("name <> 'orders'").groupBy("name").agg(
+        F.max_by(F.struct("state", "refresh_action", "changed_rows", F.when(F.col("refresh_action") == "REINITIALIZE", F.col("row_count")).alias("row_count")),
+                 "refresh_start_time").alias("r"))
+    return last.select("name", "r.*")

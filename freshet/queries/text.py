@@ -9,6 +9,8 @@ from ..plans import enrich as en
 from ..plans import retail
 from ..plans import scoring as sc
 from ..plans import search as se
+from ..session import scratch_path
+from ..sources import files
 from . import query
 from .fragments import with_invoices
 
@@ -59,7 +61,9 @@ scored AS (SELECT q AS question_id, doc_id, round(sum({PART}), 6) AS score FROM
 SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS INTEGER) AS place FROM scored QUALIFY place <= 10""")
 def _(spark, sf):
     docs = documents(spark, sf)
-    index = se.build_index(docs, "doc_id", "text")
+    path = scratch_path(spark, "index")
+    files.write_clustered(se.build_index(docs, "doc_id", "text"), path, ["term"], files=8)
+    index = spark.read.parquet(path)
     stats = docs.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg(F.size(se.tokens("text"))).alias("len"))).scalar()
     questions = spark.createDataFrame([("a", "rewh thatin"), ("b", "orantion the"), ("c", "ononst")], "question_id string, text string")
     return se.search_index(index, "doc_id", stats["n"], stats["len"], questions)

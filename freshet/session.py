@@ -118,5 +118,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     broadcast) and reads only the columns it needs.
     """
     path = scratch_path(df.sparkSession, "cut")
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
