@@ -80,28 +80,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder.  The session owns it: it goes with
     ``release_scratch``, and at the latest when the program ends."""
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    owned = _SCRATCH.setdefault(spark.sparkContext.applicationId, [])
-    if not owned:
+    application = spark.sparkContext.applicationId
+    if application not in _SCRATCH:
         atexit.register(_release_quietly, spark)
+    owned = _SCRATCH.setdefault(application, [])
     owned.append(path)
     return path
 
 
-def release_scratch(spark: SparkSession, since: int = 0) -> None:
-    """Deletes the intermediates of this session, or those written after the
-    first ``since`` of them (``scratch_mark``); results that still read them
-    have to be stored first."""
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """The intermediates that the session owns by now."""
+    return list(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def release_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Deletes intermediates of this session, all or those in ``paths``;
+    results that still read them have to be stored first."""
     owned = _SCRATCH.get(spark.sparkContext.applicationId, [])
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     configuration = spark.sparkContext._jsc.hadoopConfiguration()
-    while len(owned) > since:
-        path = hadoop(owned.pop())
+    for name in owned[:] if paths is None else paths:
+        path = hadoop(name)
         path.getFileSystem(configuration).delete(path, True)
-
-
-def scratch_mark(spark: SparkSession) -> int:
-    """How many intermediates the session owns by now."""
-    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+        owned.remove(name)
 
 
 def _release_quietly(spark: SparkSession) -> None:
