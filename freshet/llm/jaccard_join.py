@@ -9,10 +9,12 @@ join therefore works with two kinds of pivots:
   a set's shingles in a fixed global order.  Each set is replicated into the
   regions of those shingles and no others (the window at this level).  The order
   puts shingles that are frequent in a bounded sample last; any order is exact.
-* Level 1: inside a region, documents.  The region's smallest class is its
-  pivot, a set belongs to the pivot it shares most regions with, and its
-  distance to it is computed.  What lies within the distance is one component.
-  This is repeated with new pivots for what is left of each region.
+* Level 1: inside a region, documents.  The class whose regions hold most
+  members is a region's pivot (the original of near copies shares more with them
+  than they share among each other), a set belongs to the pivot it shares most
+  regions with, and its distance to it is computed.  What lies within the
+  distance is one component.  This is repeated with new pivots for what is left
+  of each region.
 
 What remains are pairs across components: members outside their region's largest
 component against the region, with triangle-inequality windows where both
@@ -29,27 +31,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.graph import components
 from ..session import cut_lineage
-from .shingles import WORDS_PER_SHINGLE, mix, text_shingles
+from .shingles import WORDS_PER_SHINGLE, mix, text_blocks, text_shingles
 
 PERCENT = 75
-SAMPLE_DOCS = 20_000
-FREQUENT = 200_000
+SAMPLE_DOCS = 40_000
+FREQUENT = 400_000
 ROUNDS = 2
-#: Rows of (class, document) that may be broadcast to fetch texts, 24 bytes each.
+JUMPS = 2
+#: Rows of two or three numbers that may be broadcast, at most 24 bytes each.
 BROADCAST_ROWS = 500_000
 
-SIGNATURE = T.StructType([
-    T.StructField("class", T.LongType()), T.StructField("check", T.LongType()), T.StructField("n", T.LongType()),
-    T.StructField("cold", T.ArrayType(T.LongType())), T.StructField("hot", T.ArrayType(T.LongType()))])
-
 
 def prefix_size(n: int) -> int:
     """How many of ``n`` ordered shingles a partner must share one of."""
@@ -63,29 +60,42 @@ def digest(ordered: np.ndarray, seed: int) -> int:
     return int((mix(ordered + np.uint64(seed)) * mix(np.arange(1, len(ordered) + 1, dtype=np.uint64))).sum(dtype=np.uint64).view(np.int64))
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0] + [len(a) for a in arrays], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays).view(np.int64)))
+
+
 def signatures(docs: DataFrame, frequent: np.ndarray, doc_id: str, text: str, n: int) -> DataFrame:
     """(doc, content, class, check, n, cold, hot): class and check are two
     digests of the set; cold and hot are the ordered prefix, cut where the
     frequent shingles begin.  Texts without words have n = 0 and no prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
-    @F.pandas_udf(SIGNATURE)
-    def sign(column: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def sign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
-        for batch in column:
-            rows = []
-            for own in text_shingles(batch.tolist(), n):
-                own = np.unique(own)
-                at = np.searchsorted(often, own)
-                hot = np.zeros(len(own), dtype=bool) if not len(often) else often[np.minimum(at, len(often) - 1)] == own
-                size = prefix_size(len(own)) if len(own) else 0
-                cold = own[~hot][:size]
-                rows.append((digest(own, 1), digest(own, 2), len(own), cold.view(np.int64), own[hot][:size - len(cold)].view(np.int64)))
-            yield pd.DataFrame(rows, columns=["class", "check", "n", "cold", "hot"])
-
+        for batch in rows:
+            for start, end, texts in text_blocks(batch, 2):
+                keys, sizes, cold, hot = [], [], [], []
+                for own in text_shingles(texts, n):
+                    own = np.unique(own)
+                    frequent = np.zeros(len(own), dtype=bool)
+                    if len(often):
+                        frequent = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
+                    size = prefix_size(len(own)) if len(own) else 0
+                    cold.append(own[~frequent][:size])
+                    hot.append(own[frequent][:size - len(cold[-1])])
+                    keys.append((digest(own, 1), digest(own, 2)))
+                    sizes.append(len(own))
+                first, second = zip(*keys)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(start, end - start), batch.column(1).slice(start, end - start),
+                    pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(sizes, pa.int64()), _lists(cold), _lists(hot)],
+                    ["doc", "content", "class", "check", "n", "cold", "hot"])
+
+    kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(
-        F.col(f"`{doc_id}`").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("content"), sign(F.col(f"`{text}`")).alias("s")
-    ).select("doc", "content", "s.*")
+        F.col(f"`{doc_id}`").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("content"), F.col(f"`{text}`").alias("text")
+    ).mapInArrow(sign, f"doc {kind}, content long, class long, check long, n long, cold array<long>, hot array<long>")
 
 
 def frequent_shingles(docs: DataFrame, text: str, n: int, sample_docs: int, most: int) -> np.ndarray:
@@ -95,9 +105,8 @@ def frequent_shingles(docs: DataFrame, text: str, n: int, sample_docs: int, most
     sample = docs.where(F.pmod(F.xxhash64(F.col(f"`{text}`"), F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30))).select(F.col(f"`{text}`").alias("t"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [np.unique(s) for s in text_shingles(batch.column(0).to_pylist(), n)]
-            values, counts = np.unique(np.concatenate(own), return_counts=True) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        for _, _, texts in (block for batch in batches for block in text_blocks(batch, 0, 4 << 20)):
+            values, counts = np.unique(np.concatenate([np.unique(s) for s in text_shingles(texts, n)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], ["h", "n"])
 
     rows = sample.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n >= 3")
@@ -119,8 +128,9 @@ def _prefix(n: Column) -> Column:
 
 
 def regions(signed: DataFrame) -> DataFrame:
-    """Members (h, class, n, at, pivot, pivot_n) of the regions that hold at
-    least two classes; ``at`` is the shingle's place in the class's order."""
+    """Members (h, class, n, at, size) of the regions that hold at least two
+    classes; ``at`` is the shingle's place in the class's order, ``size`` the
+    number of rows in the region."""
     def pack(at: Column) -> Column:
         return F.shiftleft("n", 32).bitwiseOR(at.cast("long"))
 
@@ -130,23 +140,25 @@ def regions(signed: DataFrame) -> DataFrame:
         "h", "class", pack(F.col("at") + F.col("c")).alias("p"))
 
     def shared(members: DataFrame) -> DataFrame:
-        first = F.struct("class", "p")
-        return members.groupBy("h").agg(F.min(first).alias("first"), F.max(first).alias("last")).where(
-            F.col("first.class") != F.col("last.class")).select(
-            "h", F.col("first.class").alias("pivot"), F.shiftright("first.p", 32).alias("pivot_n"))
+        one = F.struct("class", "p")
+        return members.groupBy("h").agg(F.min(one).alias("first"), F.max(one).alias("last"), F.count(F.lit(1)).alias("size")).where(
+            F.col("first.class") != F.col("last.class")).select("h", "size")
 
     found = cold.join(shared(cold), "h").unionByName(
         hot.join(F.broadcast(shared(hot)), "h"))  # at most FREQUENT rows
-    return found.select("h", "class", F.shiftright("p", 32).alias("n"), F.col("p").bitwiseAND(F.lit((1 << 32) - 1)).alias("at"),
-                        "pivot", "pivot_n").distinct()
+    return found.select("h", "class", F.shiftright("p", 32).alias("n"), F.col("p").bitwiseAND(F.lit((1 << 32) - 1)).alias("at"), "size").distinct()
+
+
+def small(rows: DataFrame) -> DataFrame:
+    """``rows``, stored, and broadcast while they are known to be few."""
+    stored = cut_lineage(rows)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
 
 
 def fetch_texts(docs: DataFrame, homes: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(class, text) of the wanted classes: one document of each is read again.
     The list is broadcast while it is known to be short, joined otherwise."""
-    wanted = cut_lineage(homes.join(classes, "class"))
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    wanted = small(homes.join(classes, "class"))
     source = docs.select(F.col(f"`{doc_id}`").alias("d"), F.xxhash64(F.col(f"`{text}`")).alias("c"), F.col(f"`{text}`").alias("text"))
     rows = source.join(wanted, F.col("d").eqNullSafe(F.col("home.doc")) & (F.col("c") == F.col("home.content"))).select("class", "text")
     return rows.dropDuplicates(["class"])  # repeated rows of one document
@@ -157,27 +169,52 @@ def verified(pairs: DataFrame, docs: DataFrame, homes: DataFrame, doc_id: str, t
     both = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
     texts = cut_lineage(fetch_texts(docs, homes, both, doc_id, text))
 
-    @F.pandas_udf("overlap long, a_n long, b_n long")
-    def compare(column: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for keys, left, right in column:
-            rows, last, own = [], None, None
-            others = text_shingles(right.tolist(), n)
-            for key, t in zip(keys, left):
-                if own is None or key != last:  # pairs come sorted by their pivot
-                    last, own = key, np.unique(next(text_shingles([t], n)))
-                other = np.unique(next(others))
-                rows.append((len(np.intersect1d(own, other, assume_unique=True)), len(own), len(other)))
-            yield pd.DataFrame(rows, columns=["overlap", "a_n", "b_n"], dtype="int64")
+    def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, np.zeros(0, np.uint64)
+        for batch in rows:
+            for start, end, right in text_blocks(batch, 3):
+                out = []
+                keys = batch.column(0).slice(start, end - start)
+                for i, (key, other) in enumerate(zip(keys.to_pylist(), text_shingles(right, n))):
+                    if key != last:  # pairs come sorted by their first class
+                        last, own = key, np.unique(next(text_shingles([batch.column(2)[start + i].as_py()], n)))
+                    other = np.unique(other)
+                    out.append((len(np.intersect1d(own, other, assume_unique=True)), len(own), len(other)))
+                yield pa.RecordBatch.from_arrays(
+                    [keys, batch.column(1).slice(start, end - start), *(pa.array(c, pa.int64()) for c in zip(*out))],
+                    ["a", "b", "overlap", "a_n", "b_n"])
 
     joined = pairs.join(texts.select(F.col("class").alias("b"), F.col("text").alias("tb")), "b").join(
         texts.select(F.col("class").alias("a"), F.col("text").alias("ta")), "a")
-    return joined.select("a", "b", compare("a", "ta", "tb").alias("v")).select("a", "b", "v.*")
+    return joined.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long, overlap long, a_n long, b_n long")
 
 
 def _linked() -> Column:
     return 100 * F.col("overlap") >= PERCENT * (F.col("a_n") + F.col("b_n") - F.col("overlap"))
 
 
+def hooks(links: DataFrame) -> DataFrame:
+    """(class, label): each class under a heavier one that it links to (links
+    lead from the heavier ``a``), followed a few steps up.  Equal labels mean
+    one component; the reverse need not hold, which costs pairs to look at but
+    none of the result."""
+    up = links.where(_linked()).groupBy(F.col("b").alias("class")).agg(F.min("a").alias("label"))
+    for _ in range(JUMPS):
+        up = cut_lineage(up)
+        further = up.select(F.col("class").alias("label"), F.col("label").alias("_next"))
+        up = up.join(further, "label", "left").select("class", F.coalesce("_next", "label").alias("label"))
+    return up
+
+
+def new_pivots(left: DataFrame) -> DataFrame:
+    """(h, main, pivot): per region of more than one label its largest label,
+    and the heaviest class outside it."""
+    sizes = left.groupBy("h", "label").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("w", "class", "n")).alias("first"))
+    heads = sizes.groupBy("h").agg(F.max(F.struct("k", "first.w", "label")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return sizes.join(heads, "h").where(F.col("label") != F.col("top.label")).groupBy("h").agg(
+        F.max("first").alias("pivot"), F.first("top.label").alias("main"))
+
+
 def _labels(links: DataFrame, nodes: DataFrame) -> DataFrame:
     return components(links.select(F.col("a").alias("child"), F.col("b").alias("parent")), nodes).select(
         F.col("node").alias("class"), F.col("component").alias("label"))
@@ -202,48 +239,50 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = W
         F.min(place).alias("home"), F.min("check").alias("lo"), F.max("check").alias("hi"))
     homes = cut_lineage(homes.select("class", F.when(
         F.col("lo") == F.col("hi"), F.col("home")).otherwise(F.raise_error(F.lit("two sets share a 64-bit digest"))).alias("home")))
-    members = cut_lineage(regions(signed.where("n > 0")))
+    found = cut_lineage(regions(signed.where("n > 0")))
+    # the original of near copies shares most with all of them: it is the heaviest of its regions
+    weights = found.groupBy("class").agg(F.sum("size").alias("w"))
+    members = cut_lineage(found.join(weights, "class").select("h", "class", "n", "at", "w"))
     nodes = homes.select(F.col("class").alias("node"))
 
     links = None
-    left = members
+    left = members.withColumn("label", F.col("class")).join(
+        members.groupBy("h").agg(F.max(F.struct("w", "class", "n")).alias("pivot")), "h")
     for _ in range(rounds):
-        near = left.where(F.col("class") != F.col("pivot")).where(_sizes_fit(F.col("n"), F.col("pivot_n"))).groupBy("class", "pivot", "n").agg(
-            F.count(F.lit(1)).alias("k"))
+        near = left.where(F.col("class") != F.col("pivot.class")).where(_sizes_fit(F.col("n"), F.col("pivot.n"))).groupBy(
+            "class", "n", "w", "pivot").agg(F.count(F.lit(1)).alias("k"))
         # a set that shares a single region with a pivot is left to the count bound below
-        chosen = near.where("10 * k >= n OR k > 3").groupBy("class").agg(F.max_by("pivot", F.struct("k", "pivot")).alias("pivot"))
-        fresh = cut_lineage(verified(
-            chosen.select(F.col("pivot").alias("a"), F.col("class").alias("b")), docs, homes, "doc_id", "text", n))
+        chosen = near.where("10 * k >= n OR k > 3").groupBy("class").agg(
+            F.first("w").alias("w"), F.max_by("pivot", F.struct("k", "pivot")).alias("pivot"))
+        heavier = F.struct(F.col("pivot.w"), F.col("pivot.class")) > F.struct("w", "class")
+        fresh = cut_lineage(verified(chosen.select(
+            F.when(heavier, F.col("pivot.class")).otherwise(F.col("class")).alias("a"),
+            F.when(heavier, F.col("class")).otherwise(F.col("pivot.class")).alias("b")), docs, homes, "doc_id", "text", n))
         links = fresh if links is None else links.unionByName(fresh)
-        labels = cut_lineage(_labels(links.where(_linked()), nodes))
-        left = members.drop("pivot", "pivot_n").join(labels, "class")
-        # new pivots: the smallest class outside the largest component of its region; regions of one component are done
-        sizes = left.groupBy("h", "label").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("class", "n")).alias("first"))
-        heads = sizes.groupBy("h").agg(F.max(F.struct("k", "label")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        rest = sizes.join(heads, "h").where(F.col("label") != F.col("top.label")).groupBy("h").agg(
-            F.min("first").alias("next"), F.first("top.label").alias("main"))
-        left = cut_lineage(left.join(rest, "h").select(
-            "h", "class", "n", "at", "label", "main", F.col("next.class").alias("pivot"), F.col("next.n").alias("pivot_n")))
+        left = members.join(small(hooks(links)), "class", "left").withColumn("label", F.coalesce("label", "class"))
+        left = cut_lineage(left.join(new_pivots(left), "h"))  # regions of one label are done
 
     tried = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     overlap = F.col("overlap") / (F.col("a_n") + F.col("b_n") - F.col("overlap"))
     distances = links.select(F.col("b").alias("class"), F.col("a").alias("centre"), (1 - overlap).alias("distance")).groupBy("class").agg(
         F.max_by(F.struct("centre", "distance"), "centre").alias("known"))
-    side = left.join(distances, "class", "left").select("h", "class", "n", "at", "label", "main", "known")
+    # the open regions of a class, a part of its prefix: what two classes share of them is all they share of their prefixes
+    open_regions = left.groupBy("class").agg(F.collect_set("h").alias("open"))
+    side = left.join(open_regions, "class").join(distances, "class", "left").select("h", "class", "n", "at", "label", "main", "known", "open")
     a, b = side.where(F.col("label") != F.col("main")).alias("a"), side.alias("b")
     window = F.coalesce(  # the triangle inequality, with room for rounding
         (F.col("a.known.centre") != F.col("b.known.centre"))
         | (F.abs(F.col("a.known.distance") - F.col("b.known.distance")) <= 1 - PERCENT / 100 + 1e-9), F.lit(True))
     need = _needed(F.col("a.n"), F.col("b.n"))
-    room = 1 + F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) - 1 + F.least(F.col("a.at"), F.col("b.at"))
-    crossing = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.label") != F.col("b.label"))
-                      & ((F.col("b.label") == F.col("b.main")) | (F.col("a.class") < F.col("b.class")))
-                      & _sizes_fit(F.col("a.n"), F.col("b.n")) & window & (room >= need))
-    pairs = crossing.groupBy(
-        F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")).agg(
-        F.count(F.lit(1)).alias("k"), F.min(F.least(
-            need - F.col("a.n") + _prefix(F.col("a.n")), need - F.col("b.n") + _prefix(F.col("b.n")))).alias("least_k"))
-    pairs = pairs.where(F.col("k") >= F.col("least_k")).select("a", "b").join(tried, ["a", "b"], "left_anti")
+    room = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) + F.least(F.col("a.at"), F.col("b.at"))
+    common = F.array_intersect("a.open", "b.open")
+    least = F.least(need - F.col("a.n") + _prefix(F.col("a.n")), need - F.col("b.n") + _prefix(F.col("b.n")))
+    pairs = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.label") != F.col("b.label"))
+                   & ((F.col("b.label") == F.col("b.main")) | (F.col("a.class") < F.col("b.class")))
+                   & _sizes_fit(F.col("a.n"), F.col("b.n")) & window & (room >= need)
+                   & (F.size(common) >= least) & (F.array_min(common) == F.col("a.h")))  # a pair is met in one region only
+    pairs = pairs.select(F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")).join(
+        tried, ["a", "b"], "left_anti")
     links = cut_lineage(links.unionByName(verified(cut_lineage(pairs), docs, homes, "doc_id", "text", n))).where(_linked())
     labels = _labels(links, nodes)
     placed = signed.select("doc", "content", "class", "n").join(labels, "class", "left").withColumn(
