@@ -44,6 +44,8 @@ SAMPLE_DOCS = 40_000
 FREQUENT = 400_000
 ROUNDS = 2
 JUMPS = 2
+#: A class with more open regions than this does not carry their list.
+LISTED = 48
 #: Rows of two or three numbers that may be broadcast, at most 24 bytes each.
 BROADCAST_ROWS = 500_000
 
@@ -267,9 +269,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = W
     distances = links.select(F.col("b").alias("class"), F.col("a").alias("centre"), (1 - overlap).alias("distance")).groupBy("class").agg(
         F.max_by(F.struct("centre", "distance"), "centre").alias("known"))
     # the open regions of a class, a part of its prefix: what two classes share of them is all they share of their prefixes
-    open_regions = left.groupBy("class").agg(F.collect_set("h").alias("open"))
-    side = left.join(open_regions, "class").join(distances, "class", "left").select("h", "class", "n", "at", "label", "main", "known", "open")
-    a, b = side.where(F.col("label") != F.col("main")).alias("a"), side.alias("b")
+    open_regions = left.groupBy("class").agg(F.collect_set("h").alias("open")).where(F.size("open") <= LISTED)
+    side = left.join(open_regions, "class", "left").join(distances, "class", "left").select("h", "class", "n", "at", "label", "main", "known", "open")
     window = F.coalesce(  # the triangle inequality, with room for rounding
         (F.col("a.known.centre") != F.col("b.known.centre"))
         | (F.abs(F.col("a.known.distance") - F.col("b.known.distance")) <= 1 - PERCENT / 100 + 1e-9), F.lit(True))
@@ -277,12 +278,21 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = W
     room = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) + F.least(F.col("a.at"), F.col("b.at"))
     common = F.array_intersect("a.open", "b.open")
     least = F.least(need - F.col("a.n") + _prefix(F.col("a.n")), need - F.col("b.n") + _prefix(F.col("b.n")))
-    pairs = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.label") != F.col("b.label"))
-                   & ((F.col("b.label") == F.col("b.main")) | (F.col("a.class") < F.col("b.class")))
-                   & _sizes_fit(F.col("a.n"), F.col("b.n")) & window & (room >= need)
-                   & (F.size(common) >= least) & (F.array_min(common) == F.col("a.h")))  # a pair is met in one region only
-    pairs = pairs.select(F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")).join(
-        tried, ["a", "b"], "left_anti")
+    fits = ((F.col("a.h") == F.col("b.h")) & (F.col("a.label") != F.col("b.label"))
+            & ((F.col("b.label") == F.col("b.main")) | (F.col("a.class") < F.col("b.class")))
+            & _sizes_fit(F.col("a.n"), F.col("b.n")) & window & (room >= need))
+    ends = [F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")]
+    # the bound on shared regions: from their lists where both are short, and the pair is met in one region only ...
+    def outside(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("label") != F.col("main")).alias("a")
+
+    listed = side.where("open IS NOT NULL")
+    once = outside(listed).join(listed.alias("b"), fits & (F.size(common) >= least) & (F.array_min(common) == F.col("a.h"))).select(*ends)
+    # ... and counted over the regions for long texts, whose lists would be compared in every region
+    plain = side.withColumn("long", F.col("open").isNull()).drop("open")
+    counted = outside(plain).join(plain.alias("b"), fits & (F.col("a.long") | F.col("b.long"))).groupBy(*ends).agg(
+        F.count(F.lit(1)).alias("k"), F.min(least).alias("least")).where("k >= least").select("a", "b")
+    pairs = once.unionByName(counted).join(tried, ["a", "b"], "left_anti")
     links = cut_lineage(links.unionByName(verified(cut_lineage(pairs), docs, homes, "doc_id", "text", n))).where(_linked())
     labels = _labels(links, nodes)
     placed = signed.select("doc", "content", "class", "n").join(labels, "class", "left").withColumn(
