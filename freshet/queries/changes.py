@@ -4,7 +4,6 @@ compared with the result computed from the new table alone."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import bindings as b
