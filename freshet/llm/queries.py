@@ -139,9 +139,14 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.length(text).alias("n_chars_left"), "lines_removed", F.sha2(text, 256).alias("text_sha256"))
 
 
+#: The words that the SQL of ``op8_lm_scoring`` knows.
+VOCABULARY = 1 << 15
+
+
 @query("op8_lm_scoring", r"""
 WITH texts AS (
-  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
 tokens AS (SELECT doc_id, len(w) AS n, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM texts),
 unigrams AS (SELECT x, count(*) AS c FROM tokens GROUP BY x),
 least AS (SELECT coalesce((SELECT c FROM unigrams ORDER BY c DESC LIMIT 1 OFFSET 32768), 0) AS least),
@@ -168,6 +173,12 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(total, 0) / 1000000 A
 FROM documents d LEFT JOIN scored USING (doc_id)
 """)
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return backoff.score(docs, backoff.fit(docs, vocabulary=VOCABULARY))
+
+
+@query("op8_lm_scoring_all_words", SQL["op8_lm_scoring"].replace("SELECT c FROM unigrams ORDER BY c DESC LIMIT 1 OFFSET 32768", "0"))
+def op8_lm_scoring_all_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return backoff.score(docs, backoff.fit(docs))
 

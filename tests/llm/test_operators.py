@@ -254,6 +254,15 @@ def test_backoff_scores(spark, vocabulary):
     assert backoff.score(empty, backoff.fit(empty)).count() == 0
 
 
+@pytest.mark.parametrize("frequent", [1 << 15, 10, 0])
+def test_backoff_knows_every_word(spark, monkeypatch, frequent):
+    monkeypatch.setattr(backoff, "FREQUENT", frequent)
+    rows = ODD + [(i, prose(i, 5 + 7 * i, 60)) for i in range(30)] + [(7, prose(7, 54, 60))]
+    model = backoff.fit(frame(spark, rows), sample_docs=20)
+    got = backoff.score(frame(spark, rows), model).collect()
+    assert sorted(((r[0], r[1], r[2]) for r in got), key=str) == brute.backoff_scores(rows, 1 << 30)
+
+
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
