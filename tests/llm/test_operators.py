@@ -1,6 +1,7 @@
 """The corpus operators against plain versions, with the odd rows that the
 given tables lack: NULLs, empty and long texts, ties, repeats, extra columns."""
 
+import math
 import random
 import zlib
 
@@ -260,7 +261,23 @@ def test_backoff_knows_every_word(spark, monkeypatch, frequent):
     rows = ODD + [(i, prose(i, 5 + 7 * i, 60)) for i in range(30)] + [(7, prose(7, 54, 60))]
     model = backoff.fit(frame(spark, rows), sample_docs=20)
     got = backoff.score(frame(spark, rows), model).collect()
-    assert sorted(((r[0], r[1], r[2]) for r in got), key=str) == brute.backoff_scores(rows, 1 << 30)
+    expected = brute.backoff_scores(rows, 1 << 30)
+    assert sorted(((r[0], r[1], r[2]) for r in got), key=str) == expected
+    shard = [r for r in rows if r[0] is not None and r[0] % 3 == 1]
+    got = backoff.score(frame(spark, shard), model).collect()
+    assert sorted(((r[0], r[1], r[2]) for r in got), key=str) == [e for e in expected if e[0] is not None and e[0] % 3 == 1]
+
+
+@pytest.mark.parametrize("frequent", [1 << 15, 2])
+def test_backoff_scores_documents_outside_the_corpus(spark, monkeypatch, frequent):
+    monkeypatch.setattr(backoff, "FREQUENT", frequent)
+    model = backoff.fit(frame(spark, [(1, "a b c a b"), (2, "a b d")]))
+    rows = [(9, "a b d"), (10, "c d"), (11, "x a b"), (12, None)]
+    got = {r["doc_id"]: r["log_score"] for r in backoff.score(frame(spark, rows), model, leave_one_out=False).collect()}
+    log = lambda x: round(1e6 * math.log(x))
+    # 8 words: a 3, b 3, c 1, d 1; pairs: ab 3, bc 1, ca 1, bd 1
+    assert got == {9: (log(3 / 8) + log(3 / 3) + log(1 / 3)) / 1e6, 10: (log(1 / 8) + log(0.4 / 8)) / 1e6,
+                   11: (log(0.4 / 8) + log(0.4 * 3 / 8) + log(3 / 3)) / 1e6, 12: 0}
 
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
