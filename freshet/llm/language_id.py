@@ -23,6 +23,7 @@ from ..session import cut_lineage
 ORDERS = (3, 4)
 UNKNOWN = "und"
 BLOCK = 1 << 19
+DEVIATIONS = 5  # what a count must exceed the expected false yeses by, in their standard deviations
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -141,19 +142,24 @@ class LanguageFilters:
         flush()
         return total, hits
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and score per text.  The score is the winner's share of the
-        corrected counts; equal counts go to the name that sorts first."""
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and coverage per text.  The score is the winner's share
+        of the corrected counts; equal counts go to the name that sorts first.
+        The coverage is the winner's corrected count as a share of all n-grams, 0
+        if chance alone could have made it."""
         total, hits = self.counts(texts)
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         chance = self.chance()
         true = np.clip((hits - total[:, None] * chance) / np.maximum(1e-9, 1 - chance), 0, None)
         best = true.argmax(axis=1)
         whole = true.sum(axis=1)
         score = np.where(whole > 0, true.max(axis=1) / np.maximum(whole, 1e-12), 0.0)
+        wins, false = hits[np.arange(len(texts)), best], chance[best]
+        sure = wins - total * false > DEVIATIONS * np.sqrt(total * false * (1 - false))
+        coverage = np.where(sure, true.max(axis=1) / np.maximum(total, 1), 0.0)
         spoken = np.array([any(map(str.isalpha, t)) if t else False for t in texts], dtype=bool)
-        return [self.languages[b] if s else UNKNOWN for b, s in zip(best, spoken)], np.where(spoken, score, 0.0)
+        return [self.languages[b] if s else UNKNOWN for b, s in zip(best, spoken)], np.where(spoken, score, 0.0), np.where(spoken, coverage, 0.0)
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample_docs: int = 4_000,
@@ -201,7 +207,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
 
 
 def identify(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``.
+    """``docs`` with ``lang_pred``, ``score`` and ``coverage``.
 
     NULL texts and texts without a letter are ``und`` with score 0; a text none
     of whose n-grams is known goes to the language that sorts first, with score
@@ -210,19 +216,21 @@ def identify(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> D
     ``filters.masks.nbytes``, bounded by ``grams_per_language``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(filters)
-    result = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    result = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("coverage", T.DoubleType())])
 
     @F.pandas_udf(result)
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for batch in batches:
-            names, scores = [], []
+            names, scores, shares = [], [], []
             for start in range(0, len(batch), 500):
-                n, s = model.predict(batch.iloc[start:start + 500].tolist())
+                n, s, c = model.predict(batch.iloc[start:start + 500].tolist())
                 names += n
                 scores.append(s)
-            yield pd.DataFrame({"lang_pred": names, "score": np.concatenate(scores) if scores else []})
+                shares.append(c)
+            yield pd.DataFrame({"lang_pred": names, "score": np.concatenate(scores) if scores else [],
+                                "coverage": np.concatenate(shares) if shares else []})
 
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    names = [c for c in docs.columns if c not in ("lang_pred", "score", "coverage")]
     return docs.select(*[F.col(f"`{c}`") for c in names], predicted(F.col(f"`{text}`")).alias("_p")).select(
-        *[F.col(f"`{c}`") for c in names], "_p.lang_pred", "_p.score")
+        *[F.col(f"`{c}`") for c in names], "_p.lang_pred", "_p.score", "_p.coverage")

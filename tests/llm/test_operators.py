@@ -220,6 +220,21 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in language_id.identify(frame(spark, ODD), nobody).collect()} == {"und"}
 
 
+def test_pipeline_rejects_unknown_languages(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(4)
+    signs = [chr(c) for c in range(0x4E00, 0x8E00)]
+    foreign = [(10_000 + i, " ".join("".join(rnd.choices(signs, k=6)) for _ in range(n)), None) for i, n in enumerate([20, 200, 2000, 8000] * 5)]
+    foreign += [(20_000 + i, " ".join("".join(rnd.choices("qwxyzjvpdb", k=6)) for _ in range(n)), None) for i, n in enumerate([20, 2000])]
+    rows = languages(spark)
+    docs = frame(spark, rows + foreign, "doc_id long, text string, lang string")
+    found = language_id.identify(docs, language_id.fit(docs)).where("doc_id >= 10000").collect()
+    assert any(r["score"] > 0 for r in found)  # chance alone gives a score
+    kept = {(r["doc_id"], r["lang"]) for r in corpus_pipeline.known_language(spark, docs, "").collect()}
+    assert kept == {(d, lang) for d, _, lang in rows}
+
+
 def test_language_filters_hold_what_they_were_given():
     import numpy as np
 
