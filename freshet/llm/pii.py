@@ -197,9 +197,10 @@ def boost(cells: list[dict], rounds: int = 20, rate: float = 0.4) -> Boosted:
 def calibrate(model: Boosted, cells: list[dict], precision: float, least: int) -> None:
     """Isotonic precision over the score per kind; the threshold is the lowest
     score whose calibrated precision is high enough.  A kind with fewer than
-    ``least`` certain spans gets none and adds nothing."""
+    ``least`` examples takes the calibration of all kinds together."""
     for rank, kind in enumerate(KINDS):
-        own = sorted((model.score(c), c["yes"], c["no"]) for c in cells if c["kind"] == rank)
+        few = sum(c["yes"] for c in cells if c["kind"] == rank) < least
+        own = sorted((model.score(c), c["yes"], c["no"]) for c in cells if few or c["kind"] == rank)
         pools: list[list[float]] = []
         for s, yes, no in own:
             pools.append([s, yes, yes + no])
@@ -208,19 +209,18 @@ def calibrate(model: Boosted, cells: list[dict], precision: float, least: int) -
                 pools[-1][1] += y
                 pools[-1][2] += n
         good = [s for s, y, n in pools if n and y / n >= precision]
-        if good and sum(y for _, y, _ in own) >= least:
+        if good:
             model.thresholds[kind] = good[0] - 1e-9
 
 
-def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample_docs: int = 20_000,
-        precision: float = 0.98, least: int = 50) -> Boosted:
-    """Trees from a sample of at most about ``sample_docs`` documents, chosen by
-    the hash of id and text: half of them train, half calibrate.  A candidate
+def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", precision: float = 0.98, least: int = 50) -> Boosted:
+    """Trees from the candidates of all documents, summed up to at most 2 *
+    ``CELLS`` rows: by the hash of id and text half of the documents train, half
+    calibrate.  A candidate
     that is certain is an example of its kind, any other a counterexample."""
-    share = min(1.0, sample_docs / max(1, docs.count()))
     h = F.pmod(F.xxhash64(doc_id, text), F.lit(1 << 30))
     # explode_outer: a plain explode filters on its array, and the filter is pushed below the steps that make it
-    rows = found(docs.where(h < int(share * (1 << 30))).select(text, F.pmod(h, F.lit(2)).alias("_fold")), LOOSE, text, "_c")
+    rows = found(docs.select(text, F.pmod(h, F.lit(2)).alias("_fold")), LOOSE, text, "_c")
     one = rows.select("_fold", F.explode_outer("_c").alias("s")).where("s IS NOT NULL").select("_fold", certain(F.col("s")).alias("_yes"), *features(F.col("s")))
     cells = one.groupBy("_fold", *FEATURES).agg(
         F.count_if("_yes").alias("yes"), F.count_if(~F.col("_yes")).alias("no")).collect()  # at most 2 * CELLS rows

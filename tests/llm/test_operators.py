@@ -126,6 +126,12 @@ def test_trees_add_what_looks_like_the_certain(spark):
     assert pii.fit(frame(spark, [])).thresholds == {}
 
 
+def test_rare_kinds_have_thresholds(spark):
+    rows = [(i, f"mail n{i}@h{i}.org now") for i in range(300)] + [(1000 + i, f"call +1 (555) 555-{1000 + i}") for i in range(20)]
+    assert {"email", "phone"} <= set(pii.fit(frame(spark, rows)).thresholds)
+    assert {"email", "phone"} <= set(pii.fit(frame(spark, rows[::10])).thresholds)
+
+
 def test_line_dedup(spark):
     rnd = random.Random(4)
     lines = [f"line {i} here" for i in range(12)] + ["", "  "]
