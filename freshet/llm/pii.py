@@ -122,8 +122,31 @@ def certain(s: Column) -> Column:
     return full & valid(s)
 
 
-#: Features and the number of their values.
-FEATURES = {"kind": 4, "valid": 2, "left": 3, "right": 2, "hint": 2, "groups": 3, "size": 4, "spelled": 2}
+def sound(s: Column) -> Column:
+    """Whether a candidate passes its kind's test; of an email, that its last label can be a top-level domain."""
+    return F.when(s["kind"] == "email", s["value"].rlike(r"(?:\.|\)\x20?|\]\x20?)[A-Za-z][A-Za-z0-9-]*[A-Za-z0-9]$")).otherwise(valid(s))
+
+
+def rewritten(s: Column) -> Column:
+    """A certain span as it is and in the loose forms of its kind, where it stands."""
+    v = s["value"]
+    bare = F.regexp_replace(v, r"^\+", "")
+    forms = (F.when(s["kind"] == "email", F.array(
+        v, F.regexp_replace(v, "@", " (at) "), F.regexp_replace(F.regexp_replace(v, r"\.(?=[^@]*$)", " (dot) "), "@", " (at) ")))
+        .when(s["kind"] == "ip", F.array(v, F.regexp_replace(v, r"\.", "[.]"), F.regexp_replace(v, r"\.([0-9]+)$", "[.]$1")))
+        .when(s["kind"] == "card", F.array(v, F.regexp_replace(v, r"[\x20-]", "."), F.regexp_replace(v, r"[\x20-]", "_")))
+        .otherwise(F.array(v, bare, F.concat(F.lit("00"), bare), F.regexp_replace(bare, r"[\x20().-]+", "."))))
+    return F.filter(F.transform(forms, lambda form: F.struct(*[
+        (form if name == "value" else s[name]).alias(name) for name in ("kind", "rank", "start", "end", "value", "before", "after")])), sound)
+
+
+def overlap(s: Column, t: Column) -> Column:
+    return (s["start"] < t["end"]) & (t["start"] < s["end"])
+
+
+#: Features and the number of their values.  None tells how many digits there are: counterexamples have too few or too many, and
+#: the trees would learn that test again instead of the context.
+FEATURES = {"kind": 4, "left": 3, "right": 2, "hint": 2, "groups": 3, "spelled": 2}
 CELLS = math.prod(FEATURES.values())
 
 
@@ -133,13 +156,11 @@ def features(s: Column) -> list[Column]:
         hint = F.when(s["kind"] == kind, s["before"].rlike(HINTS[kind])).otherwise(hint)
     last = F.right(s["before"], F.lit(1))
     gaps = F.length(F.regexp_replace(s["value"], "[0-9A-Za-z]", ""))
-    size = F.length(s["value"])
     columns = {
-        "kind": s["rank"], "valid": valid(s).cast("int"),
+        "kind": s["rank"],
         "left": F.when(last.rlike("[0-9A-Za-z]"), 2).when(last.rlike(r"[\s(\[<:\"']"), 0).when(last == "", 0).otherwise(1),
         "right": s["after"].rlike("[0-9A-Za-z@]").cast("int"), "hint": hint.cast("int"),
         "groups": F.when(gaps == 0, 0).when(gaps <= 5, 1).otherwise(2),
-        "size": F.when(size < 9, 0).when(size < 14, 1).when(size < 20, 2).otherwise(3),
         "spelled": s["value"].rlike(r"at[)\]]|dot[)\]]|\[\.\]").cast("int"),
     }
     return [columns[name].alias(name) for name in FEATURES]
@@ -216,12 +237,19 @@ def calibrate(model: Boosted, cells: list[dict], precision: float, least: int) -
 def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", precision: float = 0.98, least: int = 50) -> Boosted:
     """Trees from the candidates of all documents, summed up to at most 2 *
     ``CELLS`` rows: by the hash of id and text half of the documents train, half
-    calibrate.  A candidate
-    that is certain is an example of its kind, any other a counterexample."""
+    calibrate.  Certain spans are examples of their kind, as they are and
+    rewritten in its loose forms; candidates that fail their kind's test and
+    overlap no certain span of it are counterexamples.  Candidates that pass
+    without being certain are neither: they are what the scores decide."""
     h = F.pmod(F.xxhash64(doc_id, text), F.lit(1 << 30))
     # explode_outer: a plain explode filters on its array, and the filter is pushed below the steps that make it
     rows = found(docs.select(text, F.pmod(h, F.lit(2)).alias("_fold")), LOOSE, text, "_c")
-    one = rows.select("_fold", F.explode_outer("_c").alias("s")).where("s IS NOT NULL").select("_fold", certain(F.col("s")).alias("_yes"), *features(F.col("s")))
+    rows = rows.withColumn("_sure", F.filter("_c", certain))
+    rows = rows.withColumn("_wrong", F.filter("_c", lambda s: ~sound(s) & ~F.exists("_sure", lambda t: (t["kind"] == s["kind"]) & overlap(s, t))))
+    rows = rows.withColumn("_s", F.concat(
+        F.transform(F.flatten(F.transform("_sure", rewritten)), lambda s: F.struct(s.alias("s"), F.lit(True).alias("yes"))),
+        F.transform("_wrong", lambda s: F.struct(s.alias("s"), F.lit(False).alias("yes")))))
+    one = rows.select("_fold", F.explode_outer("_s").alias("e")).where("e IS NOT NULL").select("_fold", F.col("e.yes").alias("_yes"), *features(F.col("e.s")))
     cells = one.groupBy("_fold", *FEATURES).agg(
         F.count_if("_yes").alias("yes"), F.count_if(~F.col("_yes")).alias("no")).collect()  # at most 2 * CELLS rows
     model = boost([r.asDict() for r in cells if r["_fold"] == 0])
@@ -246,10 +274,10 @@ def find_spans(docs: DataFrame, model: Boosted, text: str = "text") -> DataFrame
         rows = found(rows, {k: LOOSE[k] for k in KINDS}, text, "_l")
         enough = lambda s, score: F.coalesce(*[
             F.when(s["kind"] == k, score >= t) for k, t in model.thresholds.items()], F.lit(False))
-        open_ = F.filter("_l", lambda s: ~certain(s))
+        open_ = F.filter("_l", lambda s: sound(s) & ~certain(s))
         scored = F.transform(open_, lambda s: F.struct(s.alias("s"), F.struct(*features(s)).alias("x")))
         chosen = F.transform(F.filter(scored, lambda c: enough(c["s"], model.column(c["x"]))), lambda c: c["s"])
-        extra = F.filter(chosen, lambda s: ~F.exists("_b", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+        extra = F.filter(chosen, lambda s: ~F.exists("_b", lambda b: overlap(s, b)))
     rows = rows.withColumns({"base_spans": narrow(F.col("_b")), "spans": narrow(F.array_union(F.col("_b"), extra))})
     return rows.drop("_b", "_l")
 

@@ -126,6 +126,17 @@ def test_trees_add_what_looks_like_the_certain(spark):
     assert pii.fit(frame(spark, [])).thresholds == {}
 
 
+def test_loose_forms_are_found(spark):
+    rows = [(i, f"mail n{i}@h{i}.org or call +1 (555) 555-{1000 + i} now") for i in range(300)]
+    rows += [(1000 + i, f"the host is 10.0.{i % 200}.7 here, pay by card 4111 1111 1111 1111 now") for i in range(300)]
+    rows += [(2000 + i, f"number {10**6 + i} and v1.2.300.{400 + i} of 1234 5678 {1000 + i}") for i in range(300)]
+    planted = [(5000, "mail ann (at) host (dot) com or"), (5001, "the host is 10.0[.]3[.]7 here"), (5002, "or call 1 (555) 555-1234 now"), (5003, "by card 4111.1111.1111.1111 now")]
+    docs = frame(spark, rows + planted)
+    found = {r[0]: r[1] for r in pii.find_spans(docs, pii.fit(docs)).select("doc_id", pii.as_text(F.col("spans"))).collect()}
+    assert [found[5000 + i] for i in range(4)] == ["email:5:28", "ip:12:24", "phone:8:24", "card:8:27"]
+    assert all(found[d] == brute.base_spans(text) for d, text in rows if d >= 2000)  # some pass the Luhn test, nothing is added
+
+
 def test_rare_kinds_have_thresholds(spark):
     rows = [(i, f"mail n{i}@h{i}.org now") for i in range(300)] + [(1000 + i, f"call +1 (555) 555-{1000 + i}") for i in range(20)]
     assert {"email", "phone"} <= set(pii.fit(frame(spark, rows)).thresholds)
