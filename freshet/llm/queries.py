@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, compression_quality, decontamination, jaccard_join, language_id, line_dedup, pii, rule_ledger, sentencepiece_io
+from . import (backoff, compression_quality, decontamination, jaccard_join, language_id, line_dedup, pii, ptolemy_clusters, rule_ledger,
+               sentencepiece_io, substring_dedup, vector_codes)
 from .common import documents, fold
 from .url_filter import judge_urls
 
@@ -212,3 +213,87 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = jaccard_join.join(documents(spark, sf_dir))
     return jaccard_join.component_ids(placed).select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+
+
+def _chain(rounds: int, step: str) -> str:
+    """``step`` once per round: what it calls {r} and {s} are the round's number and the next."""
+    return ",\n".join(step.replace("{r}", str(r)).replace("{s}", str(r + 1)) for r in range(rounds))
+
+
+FLOOR_MEAN = "((s - ((s % n) + n) % n) // n)"
+WHOLE_VECTORS = """kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(SCALE * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+numbered AS (SELECT q, row_number() OVER (ORDER BY FIRST NULLS LAST, q) - 1 AS e FROM kept)"""
+
+
+@query("op11_centroid_clusters", f"""
+WITH {WHOLE_VECTORS.replace("SCALE", "1024").replace("FIRST", "sha256('3:' || vec_id)")},
+x AS MATERIALIZED (SELECT vec_id, unnest(q) AS x, unnest(range(64)) AS i FROM kept),
+c0 AS MATERIALIZED (SELECT e, unnest(q) AS c, unnest(range(64)) AS i FROM numbered WHERE e < 8),
+""" + _chain(10, f"""a{{r}} AS MATERIALIZED (
+  SELECT vec_id, min(struct_pack(d := d, e := e)) AS m
+  FROM (SELECT vec_id, e, sum((x - c) * (x - c))::BIGINT AS d FROM x JOIN c{{r}} USING (i) GROUP BY ALL) GROUP BY vec_id),
+c{{s}} AS MATERIALIZED (
+  SELECT c.e, coalesce(v, c) AS c, c.i FROM c{{r}} c LEFT JOIN (
+    SELECT e, i, {FLOOR_MEAN}::BIGINT AS v FROM (
+      SELECT m.e AS e, i, sum(x)::BIGINT AS s, count(*)::BIGINT AS n FROM a{{r}} JOIN x USING (vec_id) GROUP BY ALL)) u ON c.e = u.e AND c.i = u.i)""") + """,
+last AS (
+  SELECT vec_id, min(struct_pack(d := d, e := e)) AS m
+  FROM (SELECT vec_id, e, sum((x - c) * (x - c))::BIGINT AS d FROM x JOIN c10 USING (i) GROUP BY ALL) GROUP BY vec_id),
+digests AS (SELECT e, sha256(string_agg(c::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c10 GROUP BY e)
+SELECT vec_id, m.e::INTEGER AS cluster, m.d AS distance, (sum(m.d) OVER (PARTITION BY m.e))::BIGINT AS cluster_inertia,
+       (sum(m.d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM last JOIN digests ON digests.e = m.e
+""")
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ptolemy_clusters.with_inertia(ptolemy_clusters.cluster(embeddings(spark, sf_dir)))
+
+
+@query("op12_substring_dedup", r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM texts WHERE len(w) >= 13)),
+firsts AS (SELECT win, min(doc_id) AS least FROM windows GROUP BY win),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN firsts USING (win) WHERE least < doc_id),
+words AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM texts),
+rest AS (
+  SELECT doc_id, count(*) AS n_words, count(g.i) AS n_removed, string_agg(x, ' ' ORDER BY i) FILTER (WHERE g.i IS NULL) AS kept
+  FROM words LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN rest USING (doc_id)
+""")
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return substring_dedup.dedup_substrings(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op13_vector_codes", f"""
+WITH {WHOLE_VECTORS.replace("SCALE", "4096").replace("FIRST", "vec_id")},
+x AS MATERIALIZED (SELECT vec_id, unnest(q) AS x, unnest(range(64)) // 8 AS p, unnest(range(64)) % 8 AS i FROM kept),
+c0 AS MATERIALIZED (SELECT e, unnest(q) AS c, unnest(range(64)) // 8 AS p, unnest(range(64)) % 8 AS i FROM numbered WHERE e < 16),
+""" + _chain(6, f"""a{{r}} AS MATERIALIZED (
+  SELECT vec_id, p, min(struct_pack(d := d, e := e)) AS m
+  FROM (SELECT vec_id, p, e, sum((x - c) * (x - c))::BIGINT AS d FROM x JOIN c{{r}} USING (p, i) GROUP BY ALL) GROUP BY vec_id, p),
+c{{s}} AS MATERIALIZED (
+  SELECT c.e, coalesce(v, c) AS c, c.p, c.i FROM c{{r}} c LEFT JOIN (
+    SELECT p, e, i, {FLOOR_MEAN}::BIGINT AS v FROM (
+      SELECT p, m.e AS e, i, sum(x)::BIGINT AS s, count(*)::BIGINT AS n FROM a{{r}} JOIN x USING (vec_id, p) GROUP BY ALL)) u
+    ON c.p = u.p AND c.e = u.e AND c.i = u.i)""") + """,
+last AS (
+  SELECT vec_id, p, min(struct_pack(d := d, e := e)) AS m
+  FROM (SELECT vec_id, p, e, sum((x - c) * (x - c))::BIGINT AS d FROM x JOIN c6 USING (p, i) GROUP BY ALL) GROUP BY vec_id, p),
+codes AS (
+  SELECT vec_id, string_agg(lpad(lower(hex(m.e)), 2, '0'), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM last GROUP BY vec_id),
+digest AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256 FROM c6)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (vec_id), digest
+""")
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.with_label_errors(vector_codes.compress(embeddings(spark, sf_dir))).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")

@@ -57,16 +57,17 @@ def exact(own: list[bytes], n: int = WORDS_PER_SHINGLE) -> set[tuple[bytes, ...]
     return {tuple(own)} if 0 < len(own) < n else set(zip(*(own[k:] for k in range(n))))
 
 
-def word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: Sequence[str | None], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and where each text's words begin (one
-    bound more than texts).
+    bound more than texts).  Without ``fold``, A-Z stay as they are.
 
     A word's hash is a polynomial over its bytes, read off one running sum per
     slice of the joined texts, so no word becomes a Python object.  Slices end
     between words; what is held besides the result does not grow with a text.
     """
     encoded = [t.encode() if t else b"" for t in texts]
-    data = np.frombuffer((b"\n".join(encoded) + b"\n").lower(), dtype=np.uint8)
+    joined = b"\n".join(encoded) + b"\n"
+    data = np.frombuffer(joined.lower() if fold else joined, dtype=np.uint8)
     hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     start = 0
     while start < len(data):

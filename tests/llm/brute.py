@@ -110,3 +110,63 @@ def backoff_scores(rows, vocabulary):
                 score += round(1e6 * (alone + (math.log(0.4) if i else 0)))
         out.append((d, len(t), score / 1e6))
     return sorted(out, key=str)
+
+
+def lloyd(points, centers, rounds):
+    """Centres after ``rounds`` rounds, and (nearest, squared distance) of each point to them; whole numbers."""
+    def near(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c)), i) for i, c in enumerate(centers))
+
+    for _ in range(rounds):
+        own = [near(x)[1] for x in points]
+        for i in range(len(centers)):
+            if members := [x for x, o in zip(points, own) if o == i]:
+                centers[i] = [sum(column) // len(members) for column in zip(*members)]
+    return centers, [near(x)[::-1] for x in points]
+
+
+def whole(rows, scale, dimension):
+    """(id, label, whole numbers) of the usable rows."""
+    good = [r for r in rows if r[1] is not None and len(r[1]) == dimension and all(x is not None and math.isfinite(x) for x in r[1])]
+    return [(r[0], r[2], [math.floor(scale * x) for x in r[1]]) for r in good]
+
+
+def vector_codes(rows, parts, entries, rounds, scale, dimension):
+    kept = whole(rows, scale, dimension)
+    first = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[2]))[:entries]
+    width, books, codes, errors = dimension // parts, [], [""] * len(kept), [0] * len(kept)
+    for p in range(parts):
+        cut = slice(p * width, (p + 1) * width)
+        book, near = lloyd([r[2][cut] for r in kept], [r[2][cut] for r in first], rounds)
+        books.append(book)
+        for k, (e, d) in enumerate(near):
+            codes[k] += f"{e:02x}"
+            errors[k] += d
+    by_label = Counter()
+    for r, e in zip(kept, errors):
+        by_label[r[1]] += e
+    return sorted(((r[0], c, e, by_label[r[1]]) for r, c, e in zip(kept, codes, errors)), key=str), books
+
+
+def clusters(rows, count, rounds, scale, dimension, seed):
+    import hashlib
+
+    kept = whole(rows, scale, dimension)
+    name = lambda r: (r[0] is None, hashlib.sha256(f"{seed}:{r[0]}".encode()).hexdigest(), r[2])
+    centers, near = lloyd([r[2] for r in kept], [r[2] for r in sorted(kept, key=name)[:count]], rounds)
+    return sorted(((r[0], *n) for r, n in zip(kept, near)), key=str), centers
+
+
+def dedup_substrings(rows, window=13):
+    """(id, words, removed, text left) in the order of the rows; ids are numbers or None, which comes last."""
+    rank = lambda d: math.inf if d is None else d
+    own, first = [(rank(d), WORDS.findall(t or "")) for d, t in rows], {}
+    for d, w in own:
+        for i in range(len(w) - window + 1):
+            key = tuple(w[i:i + window])
+            first[key] = min(first.get(key, d), d)
+    out = []
+    for (doc, _), (d, w) in zip(rows, own):
+        gone = {i + k for i in range(len(w) - window + 1) if first[tuple(w[i:i + window])] < d for k in range(window)}
+        out.append((doc, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
+    return out
