@@ -8,6 +8,7 @@ import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -110,6 +111,22 @@ def _release_quietly(spark: SparkSession) -> None:
         release_scratch(spark)
 
 
+#: Has Spark delete the shuffle files of a query when it ends and not when the driver collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside leave no shuffle files: a job of several written
+    steps then needs the disk of its largest step and not of all of them."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and continue from the files.
 
@@ -118,6 +135,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     are Parquet, so the planner knows their size (a small change set is
     broadcast) and reads only the columns it needs.
     """
-    path = scratch_path(df.sparkSession, "cut")
-    df.write.parquet(path, compression="zstd")
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, "cut")[0]
+
+
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` as Parquet in the shared folder, and its path for ``release_scratch``."""
+    path = scratch_path(df.sparkSession, label)
+    with shuffles_released(df.sparkSession):
+        df.write.parquet(path, compression="zstd")
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
