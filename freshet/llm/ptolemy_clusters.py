@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import release_scratch
-from .vectors import floor_mean, usable, whole_numbers, written
+from ..session import release_scratch, written
+from .vectors import floor_mean, usable, whole_numbers
 
 CLUSTERS, ROUNDS, SCALE, DIMENSION, SEED = 8, 10, 1024, 64, 3
 #: Vectors that a task holds as numbers of 64 bits at once.
@@ -191,7 +191,7 @@ def cluster(vectors: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS,
     if not centroids:
         return Clusters(kept.select("vec_id", F.lit(0).alias("cluster"), F.lit(0).cast("bigint").alias("distance")), [], [])
     pivots = Pivots.of(centroids, dimension)
-    stored, path = written(with_pivot_distances(kept, pivots))
+    stored, path = written(with_pivot_distances(kept, pivots), "pivots")
     computed = []
     for _ in range(rounds):
         new, n = updated(stored, pivots, centroids)
@@ -199,7 +199,7 @@ def cluster(vectors: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS,
         if new == centroids:
             break  # nothing can change any more
         centroids = new
-    rows, _ = written(assigned(stored, pivots, centroids))
+    rows, _ = written(assigned(stored, pivots, centroids), "clusters")
     release_scratch(vectors.sparkSession, [path])
     return Clusters(rows, centroids, computed)
 

@@ -25,7 +25,9 @@ least ``WINDOW`` words are duplicate spans.
 
 No pair of documents is ever formed: all joins are on (anchor, window) with one
 row per key on one side, aggregates combine in the map tasks, and AQE splits a
-hot key of the other side.
+hot key of the other side.  Anchors are dealt to ``SLICES`` slices, which are
+indexed and looked up one after the other; each reads all texts again and
+leaves no shuffle files, so the disk needed at once is that of one slice.
 """
 
 from __future__ import annotations
@@ -39,11 +41,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import release_scratch, written
 from . import shingles
 from .common import WORDS
-from .vectors import written
 
-WINDOW, ANCHOR = 13, 5
+WINDOW, ANCHOR, SLICES = 13, 5, 3
 #: The order of a row without id: behind every id.
 LAST = (1 << 63) - 1
 
@@ -57,73 +59,99 @@ def least_of_runs(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:len(values) - (width - have)], values[width - have:]) if have < width else values
 
 
-def _segments(window: int, anchor: int):
+def _segments(window: int, anchor: int, slices: int, which: int | None):
+    """The segments of one slice; without one, (anchor, doc) of all of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, end, texts in shingles.text_blocks(batch, 2):
                 words, bounds = shingles.word_hashes(texts, fold=False)
                 if len(words) < window:
                     continue
-                every = shingles.shingles(words, window)
                 anchors = least_of_runs(shingles.shingles(words, anchor), window - anchor + 1)
                 # windows that begin in one text and end in another are none
                 owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                inside = owner[:len(every)] == owner[window - 1:]
-                fresh = np.ones(len(every), dtype=bool)
+                inside = owner[:len(anchors)] == owner[window - 1:]
+                fresh = np.ones(len(anchors), dtype=bool)
                 fresh[1:] = (anchors[1:] != anchors[:-1]) | ~inside[:-1]
+                if which is not None:
+                    inside &= anchors % np.uint64(slices) == np.uint64(which)
                 at = np.flatnonzero(inside)
                 begin = np.flatnonzero(fresh[at])
                 first = at[begin]
-                edges = np.append(begin, len(at)).astype(np.int32)
                 text = owner[first]
                 rows = pa.array(text + start)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(anchors[first].view(np.int64)), pc.take(batch.column(0), rows), pc.take(batch.column(1), rows),
-                    pa.array((first - bounds[text]).astype(np.int32)), pa.ListArray.from_arrays(edges, pa.array(every[at].view(np.int64)))],
-                    names=["anchor", "doc", "content", "first", "windows"])
+                columns = {"anchor": pa.array(anchors[first].view(np.int64)), "doc": pc.take(batch.column(0), rows)}
+                if which is not None:
+                    every = shingles.shingles(words, window)
+                    edges = np.append(begin, len(at)).astype(np.int32)
+                    columns |= {"content": pc.take(batch.column(1), rows), "first": pa.array((first - bounds[text]).astype(np.int32)),
+                                "windows": pa.ListArray.from_arrays(edges, pa.array(every[at].view(np.int64)))}
+                yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
     return run
 
 
-def segments(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """Rows (anchor, doc, content, first, windows).  ``content`` tells rows with one id and different texts apart."""
-    given = docs.select(order_of(F.col(f"`{doc_id}`")).alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("content"), F.col(f"`{text}`").alias("text"))
-    return given.where("text IS NOT NULL").mapInArrow(
-        _segments(window, anchor), "anchor bigint, doc bigint, content bigint, first int, windows array<bigint>")
+def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc, content, text): ``content`` tells rows with one id and different texts apart."""
+    return docs.where(F.col(f"`{text}`").isNotNull()).select(
+        order_of(F.col(f"`{doc_id}`")).alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("content"), F.col(f"`{text}`").alias("text"))
 
 
 def order_of(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("bigint"), F.lit(LAST))
 
 
-def shared_segments(found: DataFrame) -> DataFrame:
-    """The segments whose anchor at least two documents have."""
-    shared = found.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("anchor")
-    return found.join(shared, "anchor")
+def shared_anchors(given: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """The anchors that at least two documents have."""
+    every = given.mapInArrow(_segments(window, anchor, 1, None), "anchor bigint, doc bigint")
+    return every.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("anchor")
+
+
+def segments(given: DataFrame, slices: int, which: int, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    return given.mapInArrow(_segments(window, anchor, slices, which), "anchor bigint, doc bigint, content bigint, first int, windows array<bigint>")
 
 
 def reference_index(places: DataFrame) -> DataFrame:
-    """Each window that two documents have, with its first place: (anchor, window, source, source_at, last)."""
+    """Each window that two documents have, with its first place: (anchor, window, source, source_at)."""
     return (places.groupBy("anchor", "window").agg(F.min(F.struct("doc", "at")).alias("home"), F.max("doc").alias("last"))
             .where("home.doc < last").select("anchor", "window", F.col("home.doc").alias("source"), F.col("home.at").alias("source_at")))
 
 
-def factors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """Rows (doc, content, start, length, source, source_at): ``length`` words of document ``doc`` from word ``start``
-    on that also stand in the document ``source`` (a smaller id) from word ``source_at`` on."""
-    known, _ = written(shared_segments(segments(docs, doc_id, text, window, anchor)), "segments")
+def looked_up(known: DataFrame) -> DataFrame:
+    """The windows of ``known`` segments that a document before theirs has: (doc, content, at, source, source_at)."""
     places = known.select("anchor", "doc", "content", F.posexplode("windows").alias("i", "window"), "first").select(
         "anchor", "window", "doc", "content", (F.col("first") + F.col("i")).alias("at"))
-    matched = places.join(reference_index(places), ["anchor", "window"]).where("source < doc")
+    return places.join(reference_index(places), ["anchor", "window"]).where("source < doc").select("doc", "content", "at", "source", "source_at")
+
+
+def parsed(matched: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Factors, from the windows that were found."""
     row = W.partitionBy("doc", "content").orderBy("at")
-    follows = (F.col("at") == F.lag("at").over(row) + 1) & (F.col("source") == F.lag("source").over(row)) & (F.col("source_at") == F.lag("source_at").over(row) + 1)
-    numbered = matched.select("doc", "content", "at", "source", "source_at").distinct().withColumn(
-        "opens", F.when(follows, 0).otherwise(1)).withColumn("factor", F.sum("opens").over(row))
-    return numbered.groupBy("doc", "content", "factor").agg(
-        F.min("at").alias("start"), (F.count(F.lit(1)) + (window - 1)).cast("int").alias("length"), F.min("source").alias("source"),
+    step = F.col("at") - F.lag("at").over(row)  # 0: a row that is there twice
+    follows = (step <= 1) & (F.col("source") == F.lag("source").over(row)) & (F.col("source_at") == F.lag("source_at").over(row) + step)
+    numbered_rows = matched.withColumn("opens", F.when(follows, 0).otherwise(1)).withColumn("factor", F.sum("opens").over(row.rowsBetween(W.unboundedPreceding, 0)))
+    return numbered_rows.groupBy("doc", "content", "factor").agg(
+        F.min("at").alias("start"), (F.max("at") - F.min("at") + window).cast("int").alias("length"), F.min("source").alias("source"),
         F.min("source_at").alias("source_at")).drop("factor")
 
 
+def factors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR, slices: int = SLICES) -> DataFrame:
+    """Rows (doc, content, start, length, source, source_at): ``length`` words of document ``doc`` from word ``start``
+    on that also stand in the document ``source`` (a smaller id) from word ``source_at`` on."""
+    spark, given = docs.sparkSession, numbered(docs, doc_id, text)
+    shared, shared_path = written(shared_anchors(given, window, anchor), "anchors")
+    paths = []
+    for k in range(slices):
+        known, known_path = written(segments(given, slices, k, window, anchor).join(shared, "anchor"), "segments")
+        matched, path = written(looked_up(known), "matched")
+        release_scratch(spark, [known_path])
+        paths.append(path)
+    release_scratch(spark, [shared_path])
+    found, _ = written(parsed(spark.read.schema(matched.schema).parquet(*paths), window), "factors")
+    release_scratch(spark, paths)
+    return found
+
+
 def spans(found: DataFrame) -> DataFrame:
     """Factors that overlap or touch, merged: (doc, content, spans), ascending, ends exclusive."""
     row = W.partitionBy("doc", "content").orderBy("start", "length")

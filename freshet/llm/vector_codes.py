@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import release_scratch, scratch_path
-from .vectors import floor_mean, usable, whole_numbers, written
+from ..session import release_scratch, scratch_path, shuffles_released, written
+from .vectors import floor_mean, usable, whole_numbers
 
 PARTS, ENTRIES, ROUNDS, SCALE, DIMENSION = 8, 16, 6, 4096, 64
 OWNER = ["position", "entry", "salt"]
@@ -106,7 +106,8 @@ def migrated(members: DataFrame, codebooks: Codebooks, width: int, owners: int)
 def stored(members: DataFrame, owners: int) -> Members:
     spark = members.sparkSession
     table = Members(spark, f"members_{uuid.uuid4().hex}", scratch_path(spark, "members"))
-    members.write.format("parquet").option("compression", "zstd").option("path", table.path).bucketBy(owners, *OWNER).saveAsTable(table.name)
+    with shuffles_released(spark):
+        members.write.format("parquet").option("compression", "zstd").option("path", table.path).bucketBy(owners, *OWNER).saveAsTable(table.name)
     return table
 
 
@@ -156,7 +157,7 @@ def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
     owners = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = vectors.select(F.col(f"`{vec_id}`").alias("vec_id"), F.col(f"`{label}`").alias("label"), F.col(f"`{vector}`").alias("v"))
     base, base_path = written(given.where(usable(F.col("v"), dimension)).select(
-        F.monotonically_increasing_id().alias("row"), "vec_id", "label", whole_numbers(F.col("v"), scale).alias("q")))
+        F.monotonically_increasing_id().alias("row"), "vec_id", "label", whole_numbers(F.col("v"), scale).alias("q")), "vectors")
     first = base.orderBy(F.col("vec_id").asc_nulls_last(), "q").select("q").limit(entries).collect()
     codebooks: Codebooks = [[list(r["q"][p * width:(p + 1) * width]) for r in first] for p in range(parts)]
     pieces = parts_of(base, parts, width, max(16, owners))
@@ -175,7 +176,7 @@ def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
     pair = F.struct("position", "next")
     rows, _ = written(assigned(members.rows(), codebooks, width).groupBy("row").agg(
         F.max("vec_id").alias("vec_id"), F.max("label").alias("label"), F.sum("distance").alias("error"), F.sort_array(F.collect_list(pair)).alias("pairs")
-    ).select("vec_id", "label", F.lower(F.array_join(F.transform("pairs", lambda p: F.lpad(F.hex(p["next"].cast("bigint")), 2, "0")), "")).alias("code"), "error"))
+    ).select("vec_id", "label", F.lower(F.array_join(F.transform("pairs", lambda p: F.lpad(F.hex(p["next"].cast("bigint")), 2, "0")), "")).alias("code"), "error"), "codes")
     members.drop()
     release_scratch(spark, [base_path])
     return Codes(rows, codebooks)
