@@ -117,11 +117,14 @@ def reference_index(places: DataFrame) -> DataFrame:
             .where("home.doc < last").select("anchor", "window", F.col("home.doc").alias("source"), F.col("home.at").alias("source_at")))
 
 
-def looked_up(known: DataFrame) -> DataFrame:
-    """The windows of ``known`` segments that a document before theirs has: (doc, content, at, source, source_at)."""
-    places = known.select("anchor", "doc", "content", F.posexplode("windows").alias("i", "window"), "first").select(
+def places_of(known: DataFrame) -> DataFrame:
+    return known.select("anchor", "doc", "content", F.posexplode("windows").alias("i", "window"), "first").select(
         "anchor", "window", "doc", "content", (F.col("first") + F.col("i")).alias("at"))
-    return places.join(reference_index(places), ["anchor", "window"]).where("source < doc").select("doc", "content", "at", "source", "source_at")
+
+
+def looked_up(places: DataFrame, index: DataFrame) -> DataFrame:
+    """The windows that a document before theirs has: (doc, content, at, source, source_at)."""
+    return places.join(index, ["anchor", "window"]).where("source < doc").select("doc", "content", "at", "source", "source_at")
 
 
 def parsed(matched: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -143,8 +146,10 @@ def factors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     paths = []
     for k in range(slices):
         known, known_path = written(segments(given, slices, k, window, anchor).join(shared, "anchor"), "segments")
-        matched, path = written(looked_up(known), "matched")
-        release_scratch(spark, [known_path])
+        places = places_of(known)
+        index, index_path = written(reference_index(places), "index")  # stored, so that AQE can split the places of a hot window
+        matched, path = written(looked_up(places, index), "matched")
+        release_scratch(spark, [known_path, index_path])
         paths.append(path)
     release_scratch(spark, [shared_path])
     found, _ = written(parsed(spark.read.schema(matched.schema).parquet(*paths), window), "factors")
