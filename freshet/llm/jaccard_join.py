@@ -316,4 +316,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     place = F.struct(F.col("doc").isNull().alias("none"), "doc", "content")
     first = placed.where("label IS NOT NULL").groupBy("label").agg(F.min(place).alias("first"))
     gone = placed.where("label IS NOT NULL").join(first, "label").where(place != F.col("first")).select("doc", "content").distinct()
-    return docs.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("doc")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("content")), "left_anti")
+    # packed, so that no column of the documents can be taken for one of the join
+    rows = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("kept"),
+                       F.col(f"`{doc_id}`").alias("its_id"), F.xxhash64(F.col(f"`{text}`")).alias("its_content"))
+    left = rows.join(gone, F.col("its_id").eqNullSafe(F.col("doc")) & (F.col("its_content") == F.col("content")), "left_anti")
+    return left.select(*[F.col(f"kept.c{i}").alias(c) for i, c in enumerate(docs.columns)])

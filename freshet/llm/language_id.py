@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from ..session import cut_lineage
+from .common import beside
 
 ORDERS = (3, 4)
 UNKNOWN = "und"
@@ -231,6 +232,4 @@ def identify(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> D
             yield pd.DataFrame({"lang_pred": names, "score": np.concatenate(scores) if scores else [],
                                 "coverage": np.concatenate(shares) if shares else []})
 
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "coverage")]
-    return docs.select(*[F.col(f"`{c}`") for c in names], predicted(F.col(f"`{text}`")).alias("_p")).select(
-        *[F.col(f"`{c}`") for c in names], "_p.lang_pred", "_p.score", "_p.coverage")
+    return beside(docs, predicted(F.col(f"`{text}`")), result.fieldNames())

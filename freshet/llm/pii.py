@@ -218,20 +218,27 @@ def boost(cells: list[dict], rounds: int = 20, rate: float = 0.4) -> Boosted:
 def calibrate(model: Boosted, cells: list[dict], precision: float, least: int) -> None:
     """Isotonic precision over the score per kind; the threshold is the lowest
     score whose calibrated precision is high enough.  A kind with fewer than
-    ``least`` examples takes the calibration of all kinds together."""
+    ``least`` examples, or none of whose scores is precise enough by itself,
+    takes the calibration of all kinds together."""
+    pooled = _least_score(model, cells, precision)
     for rank, kind in enumerate(KINDS):
-        few = sum(c["yes"] for c in cells if c["kind"] == rank) < least
-        own = sorted((model.score(c), c["yes"], c["no"]) for c in cells if few or c["kind"] == rank)
-        pools: list[list[float]] = []
-        for s, yes, no in own:
-            pools.append([s, yes, yes + no])
-            while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
-                _, y, n = pools.pop()
-                pools[-1][1] += y
-                pools[-1][2] += n
-        good = [s for s, y, n in pools if n and y / n >= precision]
-        if good:
-            model.thresholds[kind] = good[0] - 1e-9
+        own = [c for c in cells if c["kind"] == rank]
+        alone = _least_score(model, own, precision) if sum(c["yes"] for c in own) >= least else None
+        threshold = pooled if alone is None else alone
+        if threshold is not None:
+            model.thresholds[kind] = threshold
+
+
+def _least_score(model: Boosted, cells: list[dict], precision: float) -> float | None:
+    pools: list[list[float]] = []
+    for s, yes, no in sorted((model.score(c), c["yes"], c["no"]) for c in cells):
+        pools.append([s, yes, yes + no])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
+            _, y, n = pools.pop()
+            pools[-1][1] += y
+            pools[-1][2] += n
+    good = [s for s, y, n in pools if n and y / n >= precision]
+    return good[0] - 1e-9 if good else None
 
 
 def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", precision: float = 0.98, least: int = 50) -> Boosted:
@@ -264,22 +271,25 @@ def find_spans(docs: DataFrame, model: Boosted, text: str = "text") -> DataFrame
     Spans of the base patterns that pass their tests always stay; candidates
     that are not among them, score high enough and overlap none of them are
     added.  NULL and empty texts have empty arrays; equal rows get equal arrays.
+    Columns called ``base_spans`` or ``spans`` are replaced, others pass through
+    whatever they are called.  Texts of any length are read whole.
     """
     def narrow(a: Column) -> Column:
         return F.array_sort(F.transform(a, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"])))
 
-    rows = found(docs, BASE, text, "_b").withColumn("_b", F.filter("_b", valid))
+    given = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("kept"), F.col(f"`{text}`").alias("text"))
+    rows = found(given, BASE, "text", "_b").withColumn("_b", F.filter("_b", valid))
     extra = F.filter("_b", lambda _: F.lit(False))
     if model.thresholds:
-        rows = found(rows, {k: LOOSE[k] for k in KINDS}, text, "_l")
+        rows = found(rows, {k: LOOSE[k] for k in KINDS}, "text", "_l")
         enough = lambda s, score: F.coalesce(*[
             F.when(s["kind"] == k, score >= t) for k, t in model.thresholds.items()], F.lit(False))
         open_ = F.filter("_l", lambda s: sound(s) & ~certain(s))
         scored = F.transform(open_, lambda s: F.struct(s.alias("s"), F.struct(*features(s)).alias("x")))
         chosen = F.transform(F.filter(scored, lambda c: enough(c["s"], model.column(c["x"]))), lambda c: c["s"])
         extra = F.filter(chosen, lambda s: ~F.exists("_b", lambda b: overlap(s, b)))
-    rows = rows.withColumns({"base_spans": narrow(F.col("_b")), "spans": narrow(F.array_union(F.col("_b"), extra))})
-    return rows.drop("_b", "_l")
+    names = [(f"kept.c{i}", c) for i, c in enumerate(docs.columns) if c not in ("base_spans", "spans")]
+    return rows.select(*[F.col(at).alias(c) for at, c in names], narrow(F.col("_b")).alias("base_spans"), narrow(F.array_union(F.col("_b"), extra)).alias("spans"))
 
 
 def as_text(found_spans: Column) -> Column:

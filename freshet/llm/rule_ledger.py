@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORDS
+from .common import WORDS, beside
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letter_words", "n_letters", "n_upper", "n_run_words"]
 SYMBOLS = frozenset("#*$%&|<>")
@@ -100,7 +100,8 @@ def ledger(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
 
     Bit ``i`` is set if the text fails the ``i``-th of ``RULES``.  A NULL or
     empty text measures 0 throughout and fails only ``few_words``.  Equal rows
-    give equal rows.  Narrow plan, texts are read whole.
+    give equal rows.  Kept columns called like a measurement or ``fail_bits`` are
+    replaced.  Narrow plan, texts are read whole.
     """
     schema = T.StructType([T.StructField(m, T.LongType()) for m in MEASURES])
 
@@ -109,7 +110,7 @@ def ledger(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
         for batch in batches:
             yield pd.DataFrame([measure(t) for t in batch], columns=MEASURES, dtype="int64")
 
-    rows = docs.select(*keep, measured(F.col(f"`{text}`")).alias("_m")).select(*keep, "_m.*")
+    rows = beside(docs, measured(F.col(f"`{text}`")), MEASURES, [c for c in keep if c != "fail_bits"])
     when = failures()
     bits = sum((when[name].cast("long") * F.lit(1 << i) for i, name in enumerate(RULES)), F.lit(0).cast("long"))
     return rows.withColumn("fail_bits", bits)

@@ -26,10 +26,14 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import beside
+from .shingles import text_blocks
+
 MARKER = "▁"
 #: Fixed values of the format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -150,11 +154,15 @@ def build(data: bytes):
     return tokenizer
 
 
+#: Bytes of text that a task encodes at once.
+BLOCK = 1 << 19
+
+
 class Codec:
-    """Encodes and decodes with the rebuilt tokenizer; ``memory`` words and
-    their ids are kept at most."""
+    """Encodes and decodes with the rebuilt tokenizer; at most ``memory`` words
+    and their ids are kept, about 200 bytes each."""
 
-    def __init__(self, data: bytes, memory: int = 400_000):
+    def __init__(self, data: bytes, memory: int = 160_000):
         from tokenizers import pre_tokenizers
 
         self.model, self.whole = Model(data), build(data)
@@ -182,11 +190,12 @@ class Codec:
         """Adds the ids of ``words``, as little-endian 32-bit numbers."""
         simple = [w for w in words if w[0] == MARKER and not w.startswith(MARKER, 1)]
         runs = [simple[i:i + 2048] for i in range(0, len(simple), 2048)]
-        for run, encoding in zip(runs, self.joined.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False)):
-            ids = np.array(encoding.ids, dtype="<i4")
-            starts = (4 * np.append(np.flatnonzero(self.opens[ids]), len(ids))).tolist()
-            data = ids.tobytes()
-            known.update(zip(run, (data[a:b] for a, b in zip(starts, starts[1:]))))
+        for few in (runs[i:i + 8] for i in range(0, len(runs), 8)):  # the library's answers take many times their ids
+            for run, encoding in zip(few, self.joined.encode_batch_fast(["".join(r) for r in few], add_special_tokens=False)):
+                ids = np.array(encoding.ids, dtype="<i4")
+                starts = (4 * np.append(np.flatnonzero(self.opens[ids]), len(ids))).tolist()
+                data = ids.tobytes()
+                known.update(zip(run, (data[a:b] for a, b in zip(starts, starts[1:]))))
         other = [w for w in words if not (w[0] == MARKER and not w.startswith(MARKER, 1))]
         for word, encoding in zip(other, self.words.encode_batch_fast(other, add_special_tokens=False)):
             known[word] = np.array(encoding.ids, dtype="<i4").tobytes()
@@ -257,20 +266,27 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "token_ids", model: b
     """``docs`` with the ids of each text as an array column.
 
     NULL text has NULL ids, an empty text no ids.  A column already called
-    ``ids`` is replaced.  Narrow plan; ``threads`` is the number of cores that a
-    task may use.
+    ``ids`` is replaced, whatever others are called.  Narrow plan; ``threads`` is
+    the number of cores that a task may use.  A task holds the words and ids of
+    about ``BLOCK`` bytes of text at once, or of one text if that is longer.
     """
     data = default_model() if model is None else model
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _worker(data, threads)
         for batch in batches:
-            here = batch.notna().to_numpy()
-            got = codec.encode(batch[here].tolist())
-            yield pd.Series([next(got) if h else None for h in here], dtype=object)
+            for start, end, texts in text_blocks(batch, 1, BLOCK):
+                own = list(codec.encode([t or "" for t in texts], BLOCK))
+                edges = np.zeros(len(own) + 1, dtype=np.int32)
+                np.cumsum([len(x) for x in own], out=edges[1:])
+                lists = pa.ListArray.from_arrays(edges, np.concatenate(own), mask=pa.array([t is None for t in texts]))
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, end - start).columns, lists], names=["kept", "text", "ids"])
 
-    return docs.withColumn(ids, encoded(F.col(f"`{text}`")))
+    kept = [c for c in docs.columns if c != ids]
+    rest = [c for c in kept if c != text]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], F.lit(0).alias("none")).alias("kept"), F.col(f"`{text}`").alias("text"))
+    done = packed.mapInArrow(run, f"kept {packed.schema['kept'].dataType.simpleString()}, text string, ids array<int>")
+    return done.select(*[(F.col("text") if c == text else F.col(f"kept.c{rest.index(c)}")).alias(c) for c in kept], F.col("ids").alias(ids))
 
 
 def decode(docs: DataFrame, ids: str = "token_ids", text: str = "text", model: bytes | None = None, threads: int = 2) -> DataFrame:
@@ -319,6 +335,4 @@ def digests(docs: DataFrame, text: str = "text", model: bytes | None = None, thr
                         rows.append((len(own), hashlib.sha256(own.tobytes()).hexdigest(), back == t))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "round_trip"])
 
-    drop = [c for c in docs.columns if c not in ("n_tokens", "ids_sha256", "round_trip")]
-    return docs.select(*[F.col(f"`{c}`") for c in drop]).withColumn("_figures", figures(F.col(f"`{text}`"))).select(
-        *[F.col(f"`{c}`") for c in drop], "_figures.*")
+    return beside(docs, figures(F.col(f"`{text}`")), DIGEST.fieldNames())

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .common import lower_ascii, lower_ascii_column
+from .common import beside, lower_ascii, lower_ascii_column
 
 MAGIC = b"URLDIG1\0"
 ALLOW, BLOCK = "allow", "block"
@@ -161,12 +161,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], url: str = "u
         for hosts, paths in batches:
             yield pd.DataFrame(index.judge(hosts.tolist(), paths.tolist(), default), columns=["rule", "verdict"])
 
-    at = F.coalesce(F.instr(F.col(url), "://"), F.lit(0))
-    rest = F.when(at > 0, F.col(url).substr(at + 3, F.length(url))).otherwise(F.lit(""))
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    split = pages.select(*[F.col(f"`{c}`") for c in kept], rest.alias("_rest")).select(
-        *[F.col(f"`{c}`") for c in kept],
-        lower_ascii_column(F.regexp_extract("_rest", r"^[^/?#]*", 0)).alias("host"),
-        F.regexp_extract("_rest", r"^[^/?#]*([^?#]*)", 1).alias("path"))
-    return split.withColumn("_judged", judged("host", "path")).select(
-        *[F.col(f"`{c}`") for c in kept], "host", "path", "_judged.rule", "_judged.verdict")
+    given = F.col(f"`{url}`")
+    at = F.coalesce(F.instr(given, "://"), F.lit(0))
+    rest = F.when(at > 0, given.substr(at + 3, F.length(given))).otherwise(F.lit(""))
+    split = beside(pages, F.struct(
+        lower_ascii_column(F.regexp_extract(rest, r"^[^/?#]*", 0)).alias("host"), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1).alias("path")), ["host", "path"])
+    return beside(split, judged("host", "path"), ["rule", "verdict"])

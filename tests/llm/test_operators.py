@@ -318,8 +318,10 @@ RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "https://A.Example.NET/en/x?y", "http://example.net/de/", "https://notexample.com/de/", "ftp://x.example.com/de/z#t",
             "https://net", "https://net/", "https://a.net?/", "x://org/fr/", "x://b.org/fr", "://net/", "https://net./"]
-    pages = frame(spark, list(enumerate(urls)), "page_id long, url string").withColumns({"rule": F.lit("mine"), "_rest": F.lit(1)}).drop("_rest")
-    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.judge_urls(pages, RULES).collect()}
+    pages = frame(spark, list(enumerate(urls)), "page_id long, url string").withColumns({"rule": F.lit("mine"), "_rest": F.lit(1), "_judged": F.lit(2)})
+    judged = url_filter.judge_urls(pages, RULES).collect()
+    assert all((r["_rest"], r["_judged"]) == (1, 2) for r in judged)
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in judged}
     assert got[0] == got[1] == got[2] == ("", "", None, "allow")
     assert got[3] == ("a.example.net", "/en/x", "example.net/en/", "allow") and got[4][2:] == ("net/", "block")
     assert got[5][2:] == (None, "allow") and got[6][2:] == ("example.com/de/", "block")
@@ -342,3 +344,54 @@ def test_digest_array_confirms_strings(tmp_path):
     assert index.stored(int(index.find([same])[0])) == same and index.find([b"other"])[0] == -1
     with pytest.raises(ValueError):
         url_filter.encode_index([("block", "a/"), ("allow", "a/")])
+
+
+#: Names that operators use inside, or might.
+UNLUCKY = ["_p", "_m", "_rest", "_judged", "_figures", "_b", "_l", "_c", "_content", "_y", "_t", "kept", "found", "row", "doc", "content", "none", "its_id", "ids",
+           "label", "component", "n", "first", "h1", "cuts", "spans", "score", "coverage", "lang_pred", "lines_removed", "c0", "d0", "d_text", "n_words", "host", "rule",
+           "fail_bits", "n_tokens", "token_ids", "round_trip", "base_spans", "anchor", "source", "at", "a.b"]
+
+
+def test_columns_of_any_name_pass_through(spark):
+    """Every operator on documents, and every stage: a column is replaced if the operator's result has one of its name, else untouched."""
+    import corpus_pipeline
+    from freshet.llm import substring_dedup
+
+    rows = languages(spark)[:240:4] + [(None, None, None), (-1, "", "aa"), (-2, "kalo mitu", None)]
+    docs = frame(spark, rows, "doc_id long, text string, lang string").withColumns({c: F.lit(i) for i, c in enumerate(UNLUCKY)})
+    items = frame(spark, [(1, prose(70, 20))], "item_id long, text string")
+    filters, model = language_id.fit(docs), compression_quality.fit(docs, frame(spark, [(1, 0)], "doc_id long, quality int"))
+    made = {
+        "decontaminate": (decontamination.decontaminate(docs, items), []),
+        "identify": (language_id.identify(docs, filters), ["lang_pred", "score", "coverage"]),
+        "quality": (compression_quality.score(docs, model), ["score"]),
+        "ledger": (rule_ledger.ledger(docs, keep=tuple(docs.columns)), [*rule_ledger.MEASURES, "fail_bits"]),
+        "encode": (sentencepiece_io.encode(docs), ["token_ids"]),
+        "digests": (sentencepiece_io.digests(docs), ["n_tokens", "ids_sha256", "round_trip"]),
+        "spans": (pii.find_spans(docs, pii.fit(docs)), ["base_spans", "spans"]),
+        "lines": (line_dedup.dedup_lines(docs), ["lines_removed"]),
+        "urls": (url_filter.judge_urls(docs, RULES, "text"), ["host", "path", "rule", "verdict"]),
+        "one of each": (jaccard_join.keep_one(docs), []),
+        "substrings": (substring_dedup.dedup_substrings(docs), ["n_words", "n_removed"]),
+    }
+    stages = {name: work for name, work in corpus_pipeline.STAGES if name != "decontamination"}
+    for name in [*made, *stages]:  # a stage deletes what the one before has left, so one at a time
+        df, replaced = made[name] if name in made else (stages[name](spark, docs, ""), ["token_ids", "n_tokens"] if name == "tokens" else [])
+        assert sorted(df.columns) == sorted({*docs.columns, *replaced}), name
+        got = df.select(*[F.col(f"`{c}`").alias(f"u{i}") for i, c in enumerate(UNLUCKY) if c not in replaced]).distinct().collect()
+        assert [tuple(r) for r in got] == [tuple(i for i, c in enumerate(UNLUCKY) if c not in replaced)], name
+
+
+def test_rows_without_id_are_in_no_fold(spark):
+    from freshet.llm.common import fold
+
+    assert [r[0] for r in frame(spark, [(None, "a")]).select(fold("doc_id", 4) == 2).collect()] == [False]
+
+
+def test_encoding_in_blocks_gives_the_ids_of_whole_columns(spark, monkeypatch):
+    rows = ODD + [(i, prose(i, 20 + 37 * i, 5000)) for i in range(40)]
+    whole = {(r[0], r[1]): r[2] for r in sentencepiece_io.encode(frame(spark, rows)).collect()}
+    codec = sentencepiece_io.Codec(sentencepiece_io.default_model(), memory=50)
+    for (_, text), ids in whole.items():
+        assert ids == (None if text is None else next(codec.encode([text])).tolist())
+    assert len(whole) == len(set(rows))
