@@ -28,10 +28,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 from .shingles import MULTIPLIER, mix, text_blocks, word_hashes
 
 FACTOR = 0.4
+SLICES = 4
 FREQUENT = 1 << 15
 SAMPLE_DOCS = 20_000
 HOT_SHARE = 100  # a pair is hot that occurs in one of so many sampled documents
@@ -218,7 +219,7 @@ def fit(docs: DataFrame, text: str = "text", vocabulary: int | None = None, samp
     return Model(frequent, table, pairs)
 
 
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", leave_one_out: bool = True) -> DataFrame:
+def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", leave_one_out: bool = True, slices: int = SLICES) -> DataFrame:
     """(doc_id, n_words, log_score, score): the sum of the logarithms and its
     mean per word, one row per row of ``docs``.
 
@@ -226,8 +227,25 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     right for documents of the fitted corpus, all of them or some.  Documents
     from elsewhere are scored without it.  NULL and empty texts have no words,
     log_score 0 and a NULL mean.  Rows equal in id and text get equal scores;
-    each leaves only itself out of the counts.
+    each leaves only itself out of the counts.  Other columns are not read.
+
+    What the documents ask for is looked up in ``slices`` of its hash, one after
+    the other; each reads the texts again, stores a sum per document and leaves
+    no shuffle files, so the disk needed at once is that of one slice.
     """
+    spark = docs.sparkSession
+    found = [written(_slice_sums(docs, model, doc_id, text, leave_one_out, slices, k), "scores") for k in range(slices)]
+    sums = spark.read.schema(found[0][0].schema).parquet(*[path for _, path in found]).groupBy("row").agg(
+        F.max("doc").alias("doc"), F.sum("total").alias("total"), F.sum("rows").alias("rows"), F.max("n_words").alias("n_words"))
+    log = F.col("total") / F.col("rows") / SCALE
+    return sums.select(
+        F.col("doc").alias(doc_id), "n_words", log.alias("log_score"),
+        F.when(F.col("n_words") > 0, log / F.col("n_words")).alias("score"),
+        F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("_row")).drop("_row")
+
+
+def _slice_sums(docs: DataFrame, model: Model, doc_id: str, text: str, leave_one_out: bool, slices: int, which: int) -> DataFrame:
+    """Per document what the lookups of one slice add to its score."""
     known = model.frequent
     shared = docs.sparkSession.sparkContext.broadcast(known)
     take = int(leave_one_out)
@@ -246,8 +264,9 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                     (pa.nulls(len(of), batch.column(0).type), content[of], content[of] ^ word, np.full(len(of), WORD), pa.array(word), own, pa.array(first), inner, words[of]),
                     (pa.nulls(len(at), batch.column(0).type), content[at], key, count, w1, x1, w2, x2, words[at])]
                 for part in parts:
-                    if len(part[1]):
-                        yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in part], names)
+                    here = np.flatnonzero(part[2].view(np.uint64) % np.uint64(slices) == np.uint64(which))
+                    if len(here):
+                        yield pa.RecordBatch.from_arrays([x.take(pa.array(here)) if isinstance(x, pa.Array) else pa.array(x[here]) for x in part], names)
 
     doc, t = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
     rows = docs.select(doc.alias("doc"), F.xxhash64(doc, t).alias("row"), t.alias("text")).mapInArrow(
@@ -282,10 +301,5 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         found = F.when(F.col("seen").isNotNull(), F.col("follows") * rounded(F.log(F.col("seen") / F.greatest(elsewhere, F.lit(1))))).otherwise(
             F.col("opens") * rounded(alone) + F.col("follows") * rounded(F.log(F.lit(FACTOR)) + alone))
         sums = looked.select("row", "doc", "n_words", F.col("itself").alias("own"), (F.col("gain") + found).alias("gain"))
-    sums = sums.groupBy("row").agg(
+    return sums.groupBy("row").agg(
         F.max("doc").alias("doc"), F.sum("gain").alias("total"), F.count_if("own").alias("rows"), F.max(F.when(F.col("own"), F.col("n_words"))).alias("n_words"))
-    log = F.col("total") / F.col("rows") / SCALE
-    return sums.select(
-        F.col("doc").alias(doc_id), "n_words", log.alias("log_score"),
-        F.when(F.col("n_words") > 0, log / F.col("n_words")).alias("score"),
-        F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("_row")).drop("_row")

@@ -140,46 +140,34 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.length(text).alias("n_chars_left"), "lines_removed", F.sha2(text, 256).alias("text_sha256"))
 
 
-#: The words that the SQL of ``op8_lm_scoring`` knows.
-VOCABULARY = 1 << 15
-
-
 @query("op8_lm_scoring", r"""
 WITH texts AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
 ]+') AS w FROM documents),
 tokens AS (SELECT doc_id, len(w) AS n, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM texts),
 unigrams AS (SELECT x, count(*) AS c FROM tokens GROUP BY x),
-least AS (SELECT coalesce((SELECT c FROM unigrams ORDER BY c DESC LIMIT 1 OFFSET 32768), 0) AS least),
-vocabulary AS (SELECT x, c FROM unigrams, least WHERE c > least),
 total AS (SELECT count(*) AS total FROM tokens),
 own AS (SELECT doc_id, x, count(*) AS own FROM tokens GROUP BY ALL),
 words AS (
-  SELECT t.doc_id, t.i, t.x, v.x IS NOT NULL AS known, CASE WHEN v.x IS NULL THEN 0 ELSE v.c - o.own END AS elsewhere, greatest(total - t.n, 1) AS others
-  FROM tokens t JOIN own o ON t.doc_id = o.doc_id AND t.x = o.x LEFT JOIN vocabulary v ON t.x = v.x, total),
+  SELECT t.doc_id, t.i, t.x, v.c - o.own AS elsewhere, greatest(total - t.n, 1) AS others
+  FROM tokens t JOIN own o ON t.doc_id = o.doc_id AND t.x = o.x JOIN unigrams v ON t.x = v.x, total),
 alone AS (
   SELECT *, CASE WHEN elsewhere > 0 THEN ln(elsewhere / others) ELSE ln(0.4::DOUBLE) - ln(others) END AS p,
-         lag(x) OVER d AS before, lag(known) OVER d AS before_known, lag(elsewhere) OVER d AS before_elsewhere
+         lag(x) OVER d AS before, lag(elsewhere) OVER d AS before_elsewhere
   FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-pairs AS (SELECT before, x, count(*) AS c FROM alone WHERE known AND before_known GROUP BY ALL),
-own_pairs AS (SELECT doc_id, before, x, count(*) AS own FROM alone WHERE known AND before_known GROUP BY ALL),
+pairs AS (SELECT before, x, count(*) AS c FROM alone WHERE i > 1 GROUP BY ALL),
+own_pairs AS (SELECT doc_id, before, x, count(*) AS own FROM alone WHERE i > 1 GROUP BY ALL),
 terms AS (
   SELECT a.doc_id, CASE WHEN a.i = 1 THEN round(1000000 * p)
                         WHEN coalesce(q.c - o.own, 0) > 0 THEN round(1000000 * ln((q.c - o.own) / before_elsewhere))
                         ELSE round(1000000 * (ln(0.4::DOUBLE) + p)) END::BIGINT AS term
-  FROM alone a LEFT JOIN pairs q ON a.before = q.before AND a.x = q.x AND a.known AND a.before_known
-  LEFT JOIN own_pairs o ON a.doc_id = o.doc_id AND a.before = o.before AND a.x = o.x AND a.known AND a.before_known),
+  FROM alone a LEFT JOIN pairs q ON a.before = q.before AND a.x = q.x
+  LEFT JOIN own_pairs o ON a.doc_id = o.doc_id AND a.before = o.before AND a.x = o.x),
 scored AS (SELECT doc_id, count(*) AS n_words, sum(term)::BIGINT AS total FROM terms GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(total, 0) / 1000000 AS log_score, total / 1000000 / n_words AS score
 FROM documents d LEFT JOIN scored USING (doc_id)
 """)
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    return backoff.score(docs, backoff.fit(docs, vocabulary=VOCABULARY))
-
-
-@query("op8_lm_scoring_all_words", SQL["op8_lm_scoring"].replace("SELECT c FROM unigrams ORDER BY c DESC LIMIT 1 OFFSET 32768", "0"))
-def op8_lm_scoring_all_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return backoff.score(docs, backoff.fit(docs))
 
