@@ -9,6 +9,7 @@ from ..plans import enrich as en
 from ..plans import retail
 from ..plans import scoring as sc
 from ..plans import search as se
+from ..plans import text_index, vector_index
 from ..session import scratch_path
 from ..sources import files
 from . import query
@@ -69,6 +70,32 @@ def _(spark, sf):
     return se.search_index(index, "doc_id", stats["n"], stats["len"], questions)
 
 
+BLOCK_QUESTIONS = "('a', 'rewh'), ('a', 'thatin'), ('b', 'orantion'), ('b', 'the'), ('c', 'ononst')"
+
+
+def text_blocks(spark, sf, filters=None):
+    docs = documents(spark, sf).select("doc_id", "lang", "text")
+    index = text_index.build_text_index(docs, "doc_id", "text", scratch_path(spark, "blocks"), ["lang"])
+    asked = spark.createDataFrame([("a", "rewh thatin"), ("b", "orantion the"), ("c", "ononst")], "question_id string, text string")
+    return text_index.search_text_index(index, asked, filters=filters).rows
+
+
+@query("text_block_search", f"""
+WITH {DOCS}, asked(q, term) AS (VALUES {BLOCK_QUESTIONS}), freq AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+scored AS (SELECT q AS question_id, doc_id, round(sum({PART}), 6) AS score FROM asked JOIN tf USING (term) JOIN freq USING (term), stat GROUP BY 1, 2)
+SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS INTEGER) AS place FROM scored QUALIFY place <= 10""")
+def _(spark, sf):
+    return text_blocks(spark, sf)
+
+
+@query("text_block_search_filtered", f"""
+WITH {DOCS}, asked(q, term) AS (VALUES {BLOCK_QUESTIONS}), freq AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+scored AS (SELECT q AS question_id, doc_id, round(sum({PART}), 6) AS score FROM asked JOIN tf USING (term) JOIN freq USING (term), stat WHERE lang IN ('fr', 'de') GROUP BY 1, 2)
+SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS INTEGER) AS place FROM scored QUALIFY place <= 10""")
+def _(spark, sf):
+    return text_blocks(spark, sf, {"lang": ["fr", "de"]})
+
+
 VECTORS = """SELECT question_id, vec_id, round(cos, 6) AS score, CAST(row_number() OVER (PARTITION BY question_id ORDER BY round(cos, 9) DESC, vec_id) AS INTEGER) AS place
 FROM (SELECT q.question_id, e.vec_id, list_cosine_similarity(e.embedding::DOUBLE[], q.vector::DOUBLE[]) AS cos FROM embeddings e, q {0}) QUALIFY place <= 4"""
 
@@ -91,6 +118,22 @@ def _(spark, sf):
     return found.withColumn("score", F.round("score", 6))
 
 
+def vector_cells(spark, sf, filters=None):
+    vectors = b.table(spark, sf, "embeddings")
+    index = vector_index.build_vector_index(vectors, "vec_id", "embedding", scratch_path(spark, "cells"), ["label"])
+    return vector_index.search_vector_index(index, questions(spark, sf), 4, filters).rows.withColumn("score", F.round("score", 6))
+
+
+@query("vector_index_search", "WITH q AS (SELECT CAST(label AS BIGINT) AS question_id, arg_min(embedding, vec_id) AS vector FROM embeddings GROUP BY 1) " + VECTORS.format(""))
+def _(spark, sf):
+    return vector_cells(spark, sf)
+
+
+@query("vector_index_search_filtered", "WITH q AS (SELECT CAST(label AS BIGINT) AS question_id, arg_min(embedding, vec_id) AS vector FROM embeddings GROUP BY 1) " + VECTORS.format("WHERE label IN (1, 2, 3)"))
+def _(spark, sf):
+    return vector_cells(spark, sf, {"label": [1, 2, 3]})
+
+
 @query("vector_similarity_to_label", """
 WITH q AS (SELECT label, arg_min(embedding, vec_id) AS v FROM embeddings GROUP BY 1)
 SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], v::DOUBLE[]), 6) AS score FROM embeddings JOIN q USING (label)""")
