@@ -5,6 +5,15 @@ history table says that it is complete.  A version without a successful history
 row does not exist for readers, so a refresh is all or nothing; rows are added
 by Spark's commit protocol and never changed.  Deciding when to call
 ``refresh`` is left to whatever schedules Spark jobs.
+
+A table with declared keys may be kept in parts: its rows are dealt to a fixed
+number of buckets by the hash of the key, and a version is a manifest, a list
+that names for every bucket the version whose folder holds it.  Where the
+definition says which keys a change touches, an incremental refresh reads and
+writes the buckets of those keys only; all other folders are shared with the
+version before.  It also stores the change set of its own result, found by
+comparing the touched rows before and after, so that tables above read that
+and nobody compares two whole versions.
 """
 
 from __future__ import annotations
@@ -15,10 +24,12 @@ from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.changes import changes, data_columns, from_weights, net_changes, weight
+from ..operators.relational import semi_null_safe
+from ..session import cut_lineage
 
 HISTORY = """name string, version long, state string, state_message string, refresh_action string,
     refresh_trigger string, refresh_start_time timestamp_ntz, refresh_end_time timestamp_ntz,
@@ -42,6 +53,11 @@ class Maintained:
     stored before (enrichment as of then, a board that forgets, a frozen
     region): it is never rebuilt because much has changed, and after a change of
     layout only by ``rebuild``.
+
+    ``touched`` (for tables in parts) gives the keys of the result that the
+    change sets of the inputs may concern.  ``apply`` then gets those rows of
+    the old result that share a bucket with such a key, and has to return what
+    becomes of them: rows of other keys unchanged.
     """
 
     name: str
@@ -51,6 +67,7 @@ class Maintained:
     mode: str = "AUTO"
     gate: Callable[[int], bool] | None = None
     stateful: bool = False
+    touched: Callable[[Frames], DataFrame] | None = None
 
 
 @dataclass
@@ -62,6 +79,7 @@ class MaintainedTables:
     max_delta_ratio: float = 0.05
     keys: dict[str, Sequence[str] | None] = field(default_factory=dict)
     definitions: dict[str, Maintained] = field(default_factory=dict)
+    parts: dict[str, int] = field(default_factory=dict)
     _summary: dict | None = field(default=None, repr=False)
     _checked: dict = field(default_factory=dict, repr=False)
 
@@ -70,12 +88,17 @@ class MaintainedTables:
     def add_base(self, name: str, keys: Sequence[str] | None = None) -> None:
         self.keys[name] = keys
 
-    def add(self, definition: Maintained, keys: Sequence[str] | None = None) -> None:
+    def add(self, definition: Maintained, keys: Sequence[str] | None = None, parts: int | None = None) -> None:
+        """Declares a table; with ``parts`` it is kept in so many buckets of its keys."""
         unknown = [i for i in definition.inputs if i not in self.keys]
         if unknown:
             raise ValueError(f"{definition.name} reads unknown tables {unknown}")
+        if parts and not keys:
+            raise ValueError(f"{definition.name} needs keys to be kept in parts")
         self.definitions[definition.name] = definition
         self.keys[definition.name] = keys
+        if parts:
+            self.parts[definition.name] = parts
 
     def publish(self, name: str, df: DataFrame, change_set: DataFrame | None = None) -> int:
         """Store the next version of a base table.
@@ -100,8 +123,97 @@ class MaintainedTables:
         version = self.version(name) if version is None else version
         if version < self._floor(name):
             raise RetentionError(f"version {version} of {name} is no longer kept")
+        if name in self.parts:
+            return self._read_buckets(name, version)
         return self.spark.read.parquet(self._path(name, version))
 
+    # --- versions as lists of buckets ------------------------------------------
+
+    def manifest(self, name: str, version: int | None = None) -> dict[int, int]:
+        """Bucket -> version whose folder holds it; buckets without rows are not listed."""
+        version = self.version(name) if version is None else version
+        rows = self.spark.read.schema("bucket int, version long, layout string").parquet(self._manifest_path(name, version))
+        return {r["bucket"]: r["version"] for r in rows.where("bucket IS NOT NULL").collect()}  # at most one row per bucket
+
+    def vacuum(self, name: str) -> list[str]:
+        """Deletes the bucket folders and change sets that only versions below the floor use, and names them."""
+        floor, newest = max(1, self._floor(name)), self.version(name)
+        kept = {(b, v) for version in range(floor, newest + 1) for b, v in self.manifest(name, version).items()}
+        gone = []
+        for version in range(1, floor):
+            if self._exists(self._manifest_path(name, version)):
+                gone += [self._bucket_path(name, v, b) for b, v in self.manifest(name, version).items() if (b, v) not in kept]
+                gone += [self._manifest_path(name, version), self._delta_path(name, version)]
+        gone = [path for path in dict.fromkeys(gone) if self._exists(path)]
+        for path in gone:
+            where = self._hadoop(path)
+            self._files(where).delete(where, True)
+        return gone
+
+    def _hadoop(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self, path):
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _exists(self, path: str) -> bool:
+        where = self._hadoop(path)
+        return self._files(where).exists(where)
+
+    def _manifest_path(self, name: str, version: int) -> str:
+        return f"{self.root}/{name}/manifest{version:08d}"
+
+    def _bucket_path(self, name: str, version: int, bucket: int) -> str:
+        return f"{self._path(name, version)}/_bucket={bucket}"
+
+    def _bucket(self, name: str) -> Column:
+        return F.pmod(F.xxhash64(*self.keys[name]), F.lit(self.parts[name])).cast("int")
+
+    def _read_buckets(self, name: str, version: int, only: Sequence[int] | None = None) -> DataFrame:
+        listed = self.manifest(name, version)
+        paths = [self._bucket_path(name, v, b) for b, v in sorted(listed.items()) if only is None or b in set(only)]
+        layout = self.spark.read.parquet(self._manifest_path(name, version)).first()["layout"]
+        # the folders are named one by one, so what other versions left beside them is never listed
+        return self.spark.read.schema(layout).parquet(*paths) if paths else self.spark.createDataFrame([], layout)
+
+    def _write_buckets(self, name: str, version: int, df: DataFrame) -> list[int]:
+        """Writes the rows of ``df`` into bucket folders of ``version``; the buckets that have rows."""
+        path = self._path(name, version)
+        dealt = df.withColumn("_bucket", self._bucket(name))
+        # some tasks per bucket, so that few large buckets still spread
+        spread = dealt.repartition("_bucket", F.pmod(F.xxhash64(*df.columns), F.lit(4)))
+        spread.write.mode("overwrite").partitionBy("_bucket").parquet(path)
+        where = self._hadoop(path)
+        names = [f.getPath().getName() for f in self._files(where).listStatus(where)]
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith("_bucket="))
+
+    def _list(self, name: str, version: int, listed: Mapping[int, int], layout: str) -> None:
+        rows = [(b, v, layout) for b, v in sorted(listed.items())] or [(None, None, layout)]
+        self.spark.createDataFrame(rows, "bucket int, version long, layout string").coalesce(1).write.mode("overwrite").parquet(
+            self._manifest_path(name, version))
+
+    def _refresh_parts(self, table: Maintained, deltas: Frames, current: Frames, now: Mapping[str, int], changed: int,
+                       trigger: str, start: dt.datetime) -> None:
+        """Writes the buckets of the touched keys anew and stores what changed in them."""
+        name, keys = table.name, list(self.keys[table.name])
+        last, version = self._last(name), self.version(name) + 1
+        touched = cut_lineage(table.touched(deltas).select(*keys).distinct())
+        buckets = [r[0] for r in touched.select(self._bucket(name).alias("b")).distinct().collect()]  # at most all of them
+        old = self._read_buckets(name, version - 1, buckets)
+        wrote = self._write_buckets(name, version, table.apply(old, deltas, current).select(*old.columns))
+        if not set(wrote) <= set(buckets):
+            raise ValueError(f"the refresh of {name} has changed rows of keys that it does not name as touched")
+        layout = _ddl(old)
+        paths = [self._bucket_path(name, version, b) for b in wrote]
+        new = self.spark.read.schema(layout).parquet(*paths) if paths else old.limit(0)
+        log = changes(semi_null_safe(old, touched, keys), semi_null_safe(new, touched, keys), keys)
+        log.write.mode("overwrite").parquet(self._delta_path(name, version))
+        moved = self.spark.read.parquet(self._delta_path(name, version)).agg(F.coalesce(F.sum(weight()), F.lit(0))).first()[0]
+        listed = {b: v for b, v in self.manifest(name, version - 1).items() if b not in set(buckets)} | {b: version for b in wrote}
+        self._list(name, version, listed, layout)
+        self._record(name, version, "SUCCEEDED", "INCREMENTAL", trigger, start, changed=changed, rows=last["row_count"] + moved,
+                     schema=last["schema"], inputs=now, has_changes=True)
+
     # --- history -------------------------------------------------------------
 
     def history(self) -> DataFrame:
@@ -157,8 +269,13 @@ class MaintainedTables:
     def _store(self, name, df, action, trigger, inputs, changed, start, has_changes=False) -> int:
         version = self.version(name) + 1
         path = self._path(name, version)
-        df.write.mode("overwrite").parquet(path)
-        rows = self.spark.read.parquet(path).count()
+        if name in self.parts:
+            wrote = self._write_buckets(name, version, df)
+            self._list(name, version, {b: version for b in wrote}, _ddl(df))
+            rows = self._read_buckets(name, version).count()
+        else:
+            df.write.mode("overwrite").parquet(path)
+            rows = self.spark.read.parquet(path).count()
         self._record(name, version, "SUCCEEDED", action, trigger, start, changed=changed, rows=rows,
                      schema=_layout(df), inputs=inputs, has_changes=has_changes)
         return version
@@ -239,7 +356,7 @@ class MaintainedTables:
             delta.write.mode("overwrite").parquet(f"{path}/{name}")
             kept[name] = self.spark.read.parquet(f"{path}/{name}")
             changed += kept[name].agg(F.coalesce(F.sum("_copies"), F.lit(0))).first()[0]
-            total += current[name].count()
+            total += self._last(name)["row_count"]  # as it was stored; the input itself is not read for that
         if table.gate is not None and not table.gate(changed):
             self._record(table.name, last["version"], "SKIPPED", None, trigger, start, changed=changed,
                          message="held back by the gate", inputs=seen)
@@ -247,6 +364,9 @@ class MaintainedTables:
         if table.mode == "AUTO" and not table.stateful and changed > self.max_delta_ratio * max(total, 1):
             self._store(table.name, table.compute(current), "FULL", trigger, now, changed, start)
             return
+        if table.touched is not None and table.name in self.parts:
+            self._refresh_parts(table, kept, current, now, changed, trigger, start)
+            return
         result = table.apply(self.read(table.name), kept, current)
         self._store(table.name, result, "INCREMENTAL", trigger, now, changed, start)
 
@@ -275,3 +395,7 @@ def _now() -> dt.datetime:
 def _layout(df: DataFrame) -> str:
     """Column names and types, without nullability, which files do not keep."""
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)

@@ -371,3 +371,51 @@ def _(spark, sf):
         F.max_by(F.struct("state", "refresh_action", "changed_rows", F.when(F.col("refresh_action") == "REINITIALIZE", F.col("row_count")).alias("row_count")),
                  "refresh_start_time").alias("r"))
     return last.select("name", "r.*")
+
+
+def _parts_chain(spark, sf):
+    """A copy of the orders, states per customer on it, and customers per size on those: each kept in buckets, each
+    reading the change set that the one below stored."""
+    tables = MaintainedTables(spark, scratch_path(spark, "parts"), max_delta_ratio=0.5)
+    tables.add_base("orders", KEY)
+    tables.add(Maintained(
+        "recent", ["orders"], compute=lambda t: t["orders"].where("day >= DATE '1996-01-01'"), touched=lambda d: d["orders"],
+        apply=lambda old, d, t: ch.apply_changes(old, inc.delta_select(d["orders"], F.expr("day >= DATE '1996-01-01'")), KEY)), keys=KEY, parts=16)
+    tables.add(Maintained(
+        "per_customer", ["recent"], compute=lambda t: inc.agg_state(t["recent"], ["o_custkey"], ["price"]), touched=lambda d: d["recent"],
+        apply=lambda old, d, t: inc.delta_agg(old, d["recent"], ["o_custkey"], ["price"])), keys=["o_custkey"], parts=16)
+    tables.add(Maintained(
+        "per_size", ["per_customer"], compute=lambda t: t["per_customer"].groupBy("row_count").agg(F.count(F.lit(1)).alias("customers")),
+        touched=lambda d: d["per_customer"],
+        apply=lambda old, d, t: inc.recompute_touched(old, ["row_count"], [d["per_customer"]], [t["per_customer"]],
+                                                      lambda x: x.groupBy("row_count").agg(F.count(F.lit(1)).alias("customers")))),
+        keys=["row_count"], parts=4)
+    for rows in (b.orders_before(spark, sf), b.orders_before(spark, sf).where("day < DATE '2000-12-01'"), b.orders_after(spark, sf)):
+        tables.publish("orders", rows)
+        tables.refresh("per_size")
+    return tables
+
+
+@query("maintained_parts_chain", versions("""
+SELECT row_count, count(*) AS customers FROM (SELECT o_custkey, count(*) AS row_count FROM after WHERE day >= DATE '1996-01-01' GROUP BY 1) GROUP BY 1"""))
+def _(spark, sf):
+    return _parts_chain(spark, sf).read("per_size")
+
+
+@query("maintained_parts_state", versions("""
+SELECT o_custkey, count(*) AS row_count, sum(price)::DECIMAL(38,2) AS sum_price, count(price) AS n_price FROM after WHERE day >= DATE '1996-01-01' GROUP BY 1"""))
+def _(spark, sf):
+    return _parts_chain(spark, sf).read("per_customer")
+
+
+@query("maintained_parts_changes", versions("""
+, recent_before AS (SELECT * FROM before WHERE day >= DATE '1996-01-01' AND day < DATE '2000-12-01'), recent_after AS (SELECT * FROM after WHERE day >= DATE '1996-01-01'),
+a AS (SELECT o_custkey, count(*) AS row_count, sum(price)::DECIMAL(38,2) AS sum_price, count(price) AS n_price FROM recent_before GROUP BY 1),
+z AS (SELECT o_custkey, count(*) AS row_count, sum(price)::DECIMAL(38,2) AS sum_price, count(price) AS n_price FROM recent_after GROUP BY 1),
+diff AS (SELECT *, 'DELETE' AS _action FROM (SELECT * FROM a EXCEPT SELECT * FROM z) UNION ALL SELECT *, 'INSERT' FROM (SELECT * FROM z EXCEPT SELECT * FROM a))
+SELECT *, o_custkey IN (SELECT o_custkey FROM a) AND o_custkey IN (SELECT o_custkey FROM z) AS _is_update, 1::BIGINT AS _copies FROM diff"""))
+def _(spark, sf):
+    """What the last refresh changed, as the table itself has stored it for its readers."""
+    tables = _parts_chain(spark, sf)
+    newest = tables.version("per_customer")
+    return tables.changes_between("per_customer", newest - 1, newest)

@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from freshet.operators import changes as ch
+from freshet.operators import incremental as inc
+from freshet.plans import refresh
 from freshet.plans.refresh import Maintained, MaintainedTables, RetentionError
 
 
@@ -162,3 +164,101 @@ def test_gate_counts_rows_and_messages_are_kept_whole(spark, tmp_path):
     t.publish("bag", spark.range(601).select(F.lit(1).alias("v")))
     t.refresh("copy")
     assert len(t.history().where("state = 'FAILED'").first().state_message) == 2000
+
+
+@pytest.fixture
+def in_parts(spark, tmp_path):
+    """orders -> copy (16 buckets) -> totals per group of 50 (8 buckets)."""
+    t = MaintainedTables(spark, str(tmp_path / "db"), max_delta_ratio=0.2)
+    t.add_base("orders", ["id"])
+    t.add(Maintained("copy", ["orders"], compute=lambda f: f["orders"], touched=lambda d: d["orders"],
+                     apply=lambda old, d, f: ch.apply_changes(old, d["orders"], ["id"])), keys=["id"], parts=16)
+    t.add(Maintained("totals", ["copy"], compute=grouped, touched=lambda d: d["copy"],
+                     apply=lambda old, d, f: inc.delta_agg(old, d["copy"], ["g"], ["v"])), keys=["g"], parts=8)
+    return t
+
+
+def grouped(f):
+    return inc.agg_state(f["copy"], ["g"], ["v"])
+
+
+def keyed(spark, n, bump=()):
+    rows = spark.range(n).select("id", (F.col("id") % 50).alias("g"), F.col("id").alias("v"))
+    return rows.withColumn("v", F.when(F.col("id").isin(list(bump)), -F.col("v")).otherwise(F.col("v"))) if bump else rows
+
+
+def bucket_files(t, name, version):
+    import os
+
+    path = t._path(name, version)
+    return sorted(d for d in os.listdir(path) if d.startswith("_bucket=")) if os.path.isdir(path) else []
+
+
+def test_a_refresh_writes_touched_buckets_and_hands_its_changes_on(spark, in_parts, rows, monkeypatch):
+    t = in_parts
+    t.publish("orders", keyed(spark, 1000))
+    t.refresh("totals")
+    assert len(bucket_files(t, "copy", 1)) == 16 and set(t.manifest("copy").values()) == {1}
+    second = keyed(spark, 1000, bump=(7, 57))
+    t.publish("orders", second, ch.changes(keyed(spark, 1000), second, ["id"]))
+    compared = []
+    real = refresh.changes
+    monkeypatch.setattr(refresh, "changes", lambda old, new, keys: compared.append((old.count(), new.count())) or real(old, new, keys))
+    t.refresh("totals")
+    assert actions(t, "copy")[-1] == actions(t, "totals")[-1] == ("SUCCEEDED", "INCREMENTAL")
+    # two rows of one group: at most two buckets of the copy, one of the totals; only touched rows are compared
+    assert 1 <= len(bucket_files(t, "copy", 2)) <= 2 and len(bucket_files(t, "totals", 2)) == 1
+    assert compared == [(2, 2), (1, 1)]
+    assert sorted(set(t.manifest("copy").values())) == [1, 2] and len(t.manifest("copy")) == 16
+    assert rows(t.read("copy")) == rows(second) and rows(t.read("totals")) == rows(grouped({"copy": second}))
+    assert rows(t.read("copy", 1)) == rows(keyed(spark, 1000))  # the version before is still whole
+    log = t.changes_between("totals", 1, 2)
+    assert rows(log, "g", "_action", "_is_update") == [(7, "DELETE", True), (7, "INSERT", True)]
+    counts = {(r.name, r.version): r.row_count for r in t.history().collect() if r.state == "SUCCEEDED"}
+    assert counts["copy", 2] == 1000 and counts["totals", 2] == 50
+
+
+def test_parts_follow_inserts_and_deletions(spark, in_parts, rows):
+    t = in_parts
+    for n in (1000, 1003, 995, 995):
+        t.publish("orders", keyed(spark, n))
+        t.refresh("totals")
+        assert rows(t.read("copy")) == rows(keyed(spark, n)) and rows(t.read("totals")) == rows(grouped({"copy": keyed(spark, n)}))
+    assert rows(t.changes_between("copy", 1, 3), "id", "_action") == [(i, "DELETE") for i in range(995, 1000)]
+    assert [r.row_count for r in t.history().where("name = 'copy' AND state = 'SUCCEEDED'").orderBy("refresh_start_time").collect()] == [1000, 1003, 995, 995]
+
+
+def test_buckets_that_lose_all_rows_and_empty_tables(spark, in_parts, rows):
+    t = in_parts
+    t.max_delta_ratio = 10
+    for n in (20, 2, 0, 3):
+        t.publish("orders", keyed(spark, n))
+        t.refresh("totals")
+        assert rows(t.read("copy")) == rows(keyed(spark, n)) and rows(t.read("totals")) == rows(grouped({"copy": keyed(spark, n)}))
+        assert len(t.manifest("copy")) <= n
+
+
+def test_keys_that_are_not_named_are_refused(spark, in_parts):
+    t = in_parts
+    t.definitions["copy"] = Maintained("copy", ["orders"], compute=lambda f: f["orders"], touched=lambda d: d["orders"].where("id = 3"),
+                                       apply=lambda old, d, f: f["orders"])
+    t.publish("orders", keyed(spark, 100))
+    t.refresh("copy")
+    t.publish("orders", keyed(spark, 101))
+    t.refresh("copy")
+    assert actions(t, "copy")[-1][0] == "FAILED" and t.version("copy") == 1 and t.read("copy").count() == 100
+    with pytest.raises(ValueError):
+        t.add(Maintained("bag", ["orders"], compute=lambda f: f["orders"]), parts=4)
+
+
+def test_vacuum_keeps_what_a_kept_version_lists(spark, in_parts, rows):
+    t = in_parts
+    for n in (100, 101, 102):
+        t.publish("orders", keyed(spark, n))
+        t.refresh("copy")
+    t.expire("copy", 3)
+    gone = t.vacuum("copy")
+    assert gone and rows(t.read("copy")) == rows(keyed(spark, 102))
+    assert any(v < 3 for v in t.manifest("copy").values()) and not t.vacuum("copy")
+    with pytest.raises(RetentionError):
+        t.read("copy", 2)
