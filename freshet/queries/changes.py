@@ -10,6 +10,7 @@ from .. import bindings as b
 from ..operators import changes as ch
 from ..operators import incremental as inc
 from ..operators import merge as mg
+from ..plans.keyed_files import KeyedFiles
 from ..plans.refresh import Maintained, MaintainedTables
 from ..session import scratch_path
 from . import query
@@ -403,19 +404,36 @@ def _(spark, sf):
 
 
 @query("maintained_parts_state", versions("""
-SELECT o_custkey, count(*) AS row_count, sum(price)::DECIMAL(38,2) AS sum_price, count(price) AS n_price FROM after WHERE day >= DATE '1996-01-01' GROUP BY 1"""))
+SELECT o_custkey, count(*) AS row_count, CAST(sum(price) AS DOUBLE) AS sum_price, count(price) AS n_price FROM after WHERE day >= DATE '1996-01-01' GROUP BY 1"""))
 def _(spark, sf):
-    return _parts_chain(spark, sf).read("per_customer")
+    return amounts(_parts_chain(spark, sf).read("per_customer"), "sum_price")
 
 
 @query("maintained_parts_changes", versions("""
 , recent_before AS (SELECT * FROM before WHERE day >= DATE '1996-01-01' AND day < DATE '2000-12-01'), recent_after AS (SELECT * FROM after WHERE day >= DATE '1996-01-01'),
-a AS (SELECT o_custkey, count(*) AS row_count, sum(price)::DECIMAL(38,2) AS sum_price, count(price) AS n_price FROM recent_before GROUP BY 1),
-z AS (SELECT o_custkey, count(*) AS row_count, sum(price)::DECIMAL(38,2) AS sum_price, count(price) AS n_price FROM recent_after GROUP BY 1),
+a AS (SELECT o_custkey, count(*) AS row_count, CAST(sum(price) AS DOUBLE) AS sum_price, count(price) AS n_price FROM recent_before GROUP BY 1),
+z AS (SELECT o_custkey, count(*) AS row_count, CAST(sum(price) AS DOUBLE) AS sum_price, count(price) AS n_price FROM recent_after GROUP BY 1),
 diff AS (SELECT *, 'DELETE' AS _action FROM (SELECT * FROM a EXCEPT SELECT * FROM z) UNION ALL SELECT *, 'INSERT' FROM (SELECT * FROM z EXCEPT SELECT * FROM a))
 SELECT *, o_custkey IN (SELECT o_custkey FROM a) AND o_custkey IN (SELECT o_custkey FROM z) AS _is_update, 1::BIGINT AS _copies FROM diff"""))
 def _(spark, sf):
     """What the last refresh changed, as the table itself has stored it for its readers."""
     tables = _parts_chain(spark, sf)
     newest = tables.version("per_customer")
-    return tables.changes_between("per_customer", newest - 1, newest)
+    return amounts(tables.changes_between("per_customer", newest - 1, newest), "sum_price")
+
+
+@query("merge_into_files", versions("""
+, source AS (SELECT * FROM after WHERE day >= DATE '2000-06-01'), merged AS (
+SELECT * FROM source WHERE o_orderstatus <> 'O' OR o_orderkey NOT IN (SELECT o_orderkey FROM before)
+UNION ALL SELECT * FROM before WHERE o_orderkey NOT IN (SELECT o_orderkey FROM source))
+SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM merged"""))
+def _(spark, sf):
+    """The orders as files of their keys; what is newer since June 2000 is merged in, open orders that were known go."""
+    old, new = before_after(spark, sf)
+    layout = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in old.schema)
+    files = KeyedFiles(spark, scratch_path(spark, "files"), KEY, layout, rows_per_file=2000)
+    files.replace(old)
+    every = {c: f"s.{c}" for c in old.columns}
+    files.merge(new.where("day >= DATE '2000-06-01'"), [
+        mg.Matched(delete=True, condition="s.o_orderstatus = 'O'"), mg.Matched(update=every), mg.NotMatched(insert=every)])
+    return amounts(files.read(), "price")
