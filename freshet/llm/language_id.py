@@ -232,4 +232,5 @@ def identify(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> D
             yield pd.DataFrame({"lang_pred": names, "score": np.concatenate(scores) if scores else [],
                                 "coverage": np.concatenate(shares) if shares else []})
 
-    return beside(docs, predicted(F.col(f"`{text}`")), result.fieldNames())
+    # as if it were not deterministic: a filter on the result would otherwise be pushed below and predict a second time
+    return beside(docs, predicted.asNondeterministic()(F.col(f"`{text}`")), result.fieldNames())
