@@ -27,7 +27,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.changes import changes, data_columns, from_weights, net_changes, weight
+from ..operators.changes import as_bag, changes, data_columns, from_weights, net_changes, weight
 from ..operators.relational import semi_null_safe
 from ..session import cut_lineage
 
@@ -296,6 +296,19 @@ class MaintainedTables:
             return net_changes(log, self.keys[name])
         return from_weights(log.select(*data_columns(log), weight().alias("_w")))
 
+    def changes_since(self, name: str, old: int, new: int) -> DataFrame:
+        """``changes_between``, where version 0 is the empty table."""
+        if old:
+            return self.changes_between(name, old, new)
+        rows = self.read(name, new)
+        counted = rows.withColumn("_w", F.lit(1)) if self.keys[name] else as_bag(rows, "_w")
+        return counted.select(*rows.columns, F.lit("INSERT").alias("_action"), F.lit(False).alias("_is_update"),
+                              F.col("_w").cast("bigint").alias("_copies"))
+
+    def reload(self) -> None:
+        """Forget what is known of the history; another process may have added to it."""
+        self._summary = None
+
     # --- refresh ---------------------------------------------------------------
 
     def order(self, target: str) -> list[str]:

@@ -13,6 +13,8 @@ from ..operators import merge as mg
 from ..plans.keyed_files import KeyedFiles
 from ..plans.refresh import Maintained, MaintainedTables
 from ..session import scratch_path
+from ..streaming import versions as sv
+from ..streaming.buckets import BucketedTable
 from . import query
 from .invoices import amounts
 
@@ -374,7 +376,7 @@ def _(spark, sf):
     return last.select("name", "r.*")
 
 
-def _parts_chain(spark, sf):
+def _parts_chain(spark, sf, after_each=lambda tables: None):
     """A copy of the orders, states per customer on it, and customers per size on those: each kept in buckets, each
     reading the change set that the one below stored."""
     tables = MaintainedTables(spark, scratch_path(spark, "parts"), max_delta_ratio=0.5)
@@ -394,6 +396,7 @@ def _parts_chain(spark, sf):
     for rows in (b.orders_before(spark, sf), b.orders_before(spark, sf).where("day < DATE '2000-12-01'"), b.orders_after(spark, sf)):
         tables.publish("orders", rows)
         tables.refresh("per_size")
+        after_each(tables)
     return tables
 
 
@@ -422,6 +425,43 @@ def _(spark, sf):
     return amounts(tables.changes_between("per_customer", newest - 1, newest), "sum_price")
 
 
+@query("stream_change_sets", versions("""
+SELECT o_custkey, count(*) AS row_count, CAST(sum(price) AS DOUBLE) AS sum_price, count(price) AS n_price FROM after WHERE day >= DATE '1996-01-01' GROUP BY 1"""))
+def _(spark, sf):
+    """A copy of the states per customer in another place, kept up by the change sets of three versions as a stream."""
+    out = scratch_path(spark, "copy")
+    copies = []
+
+    def follow(tables):
+        if not copies:
+            layout = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tables.read("per_customer").schema)
+            copies.append(BucketedTable(spark, f"{out}/table", ["o_custkey"], layout, parts=16))
+        sv.follow(tables, "per_customer", copies[0].copy(), f"{out}/offsets")
+
+    _parts_chain(spark, sf, follow)
+    return amounts(copies[0].read(), "sum_price")
+
+
+@query("stream_change_audit", versions("""
+, one AS (SELECT * FROM before WHERE day >= DATE '1996-01-01'), two AS (SELECT * FROM one WHERE day < DATE '2000-12-01'),
+three AS (SELECT * FROM after WHERE day >= DATE '1996-01-01'),
+diff AS (SELECT 0 AS batch, 'INSERT' AS _action, false AS _is_update FROM one
+UNION ALL SELECT 1, 'DELETE', false FROM one WHERE day >= DATE '2000-12-01'
+UNION ALL SELECT 2, 'DELETE', o_orderkey IN (SELECT o_orderkey FROM three) FROM (SELECT * FROM two EXCEPT SELECT * FROM three)
+UNION ALL SELECT 2, 'INSERT', o_orderkey IN (SELECT o_orderkey FROM two) FROM (SELECT * FROM three EXCEPT SELECT * FROM two))
+SELECT CAST(batch AS BIGINT) AS batch, _action, _is_update, count(*) AS row_count FROM diff GROUP BY ALL"""))
+def _(spark, sf):
+    """Every change of three versions as an audit log, counted."""
+    out = scratch_path(spark, "audit")
+
+    def log(change_set, name, batch_id):
+        ch.audit_rows(change_set, batch_id).write.mode("overwrite").parquet(f"{out}/log/batch={name}")
+
+    _parts_chain(spark, sf, lambda tables: sv.follow(tables, "recent", log, f"{out}/offsets"))
+    logged = spark.read.parquet(f"{out}/log").groupBy(F.col("_version").alias("batch"), "_action", "_is_update")
+    return logged.agg(F.sum("_copies").alias("row_count"))
+
+
 @query("merge_into_files", versions("""
 , source AS (SELECT * FROM after WHERE day >= DATE '2000-06-01'), merged AS (
 SELECT * FROM source WHERE o_orderstatus <> 'O' OR o_orderkey NOT IN (SELECT o_orderkey FROM before)

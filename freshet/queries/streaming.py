@@ -11,6 +11,7 @@ from .. import bindings as b
 from ..session import scratch_path
 from ..streaming import alerts as al
 from ..streaming import files as st
+from ..streaming.buckets import BucketedTable, newest, totals
 from . import query
 
 STATE = "CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'UPSTREAM_FAILED' ELSE 'SUCCEEDED' END"
@@ -21,26 +22,28 @@ def stream(spark, sf, name="events"):
     return st.read_new_files(spark, sf, schema, pathGlobFilter=f"{name}.parquet")
 
 
-#: Where the weekly files of arriving events end.
+#: Where the weeks of arriving events end.
 WEEKS = ["2024-01-08", "2024-01-15", "2024-01-22"]
 
 
 def arrivals(spark, sf, again=0):
-    """Events as four files in the order of time, taken one per batch.  Each
-    file delivers every ``again``-th event of the one before once more."""
+    """Events a week at a time, in the order of time: after the files of a week
+    have been written, the stream over all that has arrived is handed out, and
+    the caller runs it, so that a week is a batch.  Each week delivers every
+    ``again``-th event of the one before once more."""
     events, folder = b.table(spark, sf, "events"), scratch_path(spark, "weeks")
     days = [F.lit(d).cast("timestamp_ntz") for d in WEEKS]
     before = None
     for low, high in zip([None, *days], [*days, None]):
-        part = events if low is None else events.where(F.col("ts") >= low)
-        part = part if high is None else part.where(F.col("ts") < high)
+        week = events if low is None else events.where(F.col("ts") >= low)
+        week = week if high is None else week.where(F.col("ts") < high)
         late = [] if before is None or not again else [before.where(F.col("event_id") % again == 0)]
-        batch = part
+        batch = week
         for more in late:
             batch = batch.unionByName(more)
-        batch.coalesce(1).write.mode("append").parquet(folder)
-        before = part
-    return st.read_new_files(spark, folder, events.schema, per_batch=1)
+        batch.write.mode("append").parquet(folder)
+        before = week
+        yield st.read_new_files(spark, folder, events.schema)
 
 
 def refresh_events(df):
@@ -64,7 +67,8 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 def _(spark, sf):
     out = scratch_path(spark, "upsert")
     order = [F.col("ts").desc(), F.col("event_id").desc()]
-    st.upsert_newest(arrivals(spark, sf, again=10), f"{out}/table", f"{out}/offsets", ["user_id"], order)
+    for week in arrivals(spark, sf, again=10):
+        st.upsert_newest(week, f"{out}/table", f"{out}/offsets", ["user_id"], order)
     return st.read_newest(spark, f"{out}/table", ["user_id"], order).select("user_id", "event_id", "event_type")
 
 
@@ -75,11 +79,42 @@ def _(spark, sf):
     out = scratch_path(spark, "upsert")
     order = [F.col("ts").desc(), F.col("event_id").desc()]
     for offsets in ("first", "second"):  # a new checkpoint over the same table adds to it
-        st.upsert_newest(arrivals(spark, sf), f"{out}/table", f"{out}/{offsets}", ["user_id"], order)
+        for week in arrivals(spark, sf):
+            st.upsert_newest(week, f"{out}/table", f"{out}/{offsets}", ["user_id"], order)
     st.compact(spark, f"{out}/table", f"{out}/compact", ["user_id"], order)
     return spark.read.parquet(f"{out}/compact").select("user_id", "event_id", "event_type")
 
 
+@query("stream_upsert_bucketed", """
+SELECT user_id, event_id, event_type, ts FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def _(spark, sf):
+    """The newest event of every user, in buckets of users that the weeks rewrite as they touch them."""
+    out = scratch_path(spark, "buckets")
+    table = BucketedTable(spark, f"{out}/table", ["user_id"], "user_id long, event_id long, event_type string, ts timestamp_ntz", parts=16)
+    rule = newest(["user_id"], [F.col("ts").desc(), F.col("event_id").desc()])
+    for week in arrivals(spark, sf, again=10):
+        st.run_available(week.select(F.col("user_id").cast("long"), F.col("event_id").cast("long"), "event_type", "ts"),
+                         table.upsert(rule), f"{out}/offsets")
+    table.vacuum()
+    return table.read()
+
+
+@query("stream_totals_bucketed", """
+SELECT user_id, event_type, count(*) AS event_count, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY 1, 2""")
+def _(spark, sf):
+    """Counts and times per user and kind of event, added up as the weeks arrive; no week is read twice."""
+    out = scratch_path(spark, "buckets")
+    keys = ["user_id", "event_type"]
+    table = BucketedTable(spark, f"{out}/table", keys, "user_id long, event_type string, event_count long, first_ts timestamp_ntz, "
+                          "last_ts timestamp_ntz", parts=16)
+    for week in arrivals(spark, sf):
+        ones = week.select(F.col("user_id").cast("long"), "event_type", F.lit(1).cast("long").alias("event_count"),
+                           F.col("ts").alias("first_ts"), F.col("ts").alias("last_ts"))
+        st.run_available(ones, table.upsert(totals(keys, ["event_count"], ["first_ts"], ["last_ts"])), f"{out}/offsets")
+    return table.read()
+
+
 @query("stream_static_join", """
 SELECT event_id, c_name FROM events LEFT JOIN customer ON c_custkey = user_id""")
 def _(spark, sf):
@@ -93,8 +128,9 @@ def _(spark, sf):
 @query("stream_first_within_watermark", "SELECT event_id, event_type FROM events")
 def _(spark, sf):
     out = scratch_path(spark, "first")
-    firsts = st.first_within(arrivals(spark, sf, again=7).select("event_id", "event_type", "ts"), ["event_id"], "ts", "1 hour")
-    st.append_new(firsts.drop("ts"), f"{out}/table", f"{out}/offsets")
+    for week in arrivals(spark, sf, again=7):
+        firsts = st.first_within(week.select("event_id", "event_type", "ts"), ["event_id"], "ts", "1 hour")
+        st.append_new(firsts.drop("ts"), f"{out}/table", f"{out}/offsets")
     return spark.read.parquet(f"{out}/table").select("event_id", "event_type")
 
 
@@ -108,7 +144,8 @@ SELECT event_count, 'The following tables failed to refresh: ' || string_agg(nam
 FROM firsts JOIN (SELECT week, count(*) AS event_count FROM weeks GROUP BY 1) USING (week) GROUP BY week, event_count""")
 def _(spark, sf):
     out = scratch_path(spark, "alert")
-    al.alert_on_new(refresh_events(arrivals(spark, sf)), f"{out}/table", f"{out}/offsets", "ERROR")
+    for week in arrivals(spark, sf):
+        al.alert_on_new(refresh_events(week), f"{out}/table", f"{out}/offsets", "ERROR")
     return spark.read.parquet(f"{out}/table").select("event_count", "message")
 
 
