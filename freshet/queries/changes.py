@@ -376,7 +376,7 @@ def _(spark, sf):
     return last.select("name", "r.*")
 
 
-def _parts_chain(spark, sf, after_each=lambda tables: None):
+def _parts_chain(spark, sf, target="per_size", after_each=lambda tables: None):
     """A copy of the orders, states per customer on it, and customers per size on those: each kept in buckets, each
     reading the change set that the one below stored."""
     tables = MaintainedTables(spark, scratch_path(spark, "parts"), max_delta_ratio=0.5)
@@ -395,7 +395,7 @@ def _parts_chain(spark, sf, after_each=lambda tables: None):
         keys=["row_count"], parts=4)
     for rows in (b.orders_before(spark, sf), b.orders_before(spark, sf).where("day < DATE '2000-12-01'"), b.orders_after(spark, sf)):
         tables.publish("orders", rows)
-        tables.refresh("per_size")
+        tables.refresh(target)
         after_each(tables)
     return tables
 
@@ -438,7 +438,7 @@ def _(spark, sf):
             copies.append(BucketedTable(spark, f"{out}/table", ["o_custkey"], layout, parts=16))
         sv.follow(tables, "per_customer", copies[0].copy(), f"{out}/offsets")
 
-    _parts_chain(spark, sf, follow)
+    _parts_chain(spark, sf, "per_customer", follow)
     return amounts(copies[0].read(), "sum_price")
 
 
@@ -457,7 +457,7 @@ def _(spark, sf):
     def log(change_set, name, batch_id):
         ch.audit_rows(change_set, batch_id).write.mode("overwrite").parquet(f"{out}/log/batch={name}")
 
-    _parts_chain(spark, sf, lambda tables: sv.follow(tables, "recent", log, f"{out}/offsets"))
+    _parts_chain(spark, sf, "recent", lambda tables: sv.follow(tables, "recent", log, f"{out}/offsets"))
     logged = spark.read.parquet(f"{out}/log").groupBy(F.col("_version").alias("batch"), "_action", "_is_update")
     return logged.agg(F.sum("_copies").alias("row_count"))
 
