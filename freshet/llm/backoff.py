@@ -264,7 +264,7 @@ def _slice_sums(docs: DataFrame, model: Model, doc_id: str, text: str, leave_one
                     (pa.nulls(len(of), batch.column(0).type), content[of], content[of] ^ word, np.full(len(of), WORD), pa.array(word), own, pa.array(first), inner, words[of]),
                     (pa.nulls(len(at), batch.column(0).type), content[at], key, count, w1, x1, w2, x2, words[at])]
                 for part in parts:
-                    here = np.flatnonzero(part[2].view(np.uint64) % np.uint64(slices) == np.uint64(which))
+                    here = np.flatnonzero(part[2] % slices == which)
                     if len(here):
                         yield pa.RecordBatch.from_arrays([x.take(pa.array(here)) if isinstance(x, pa.Array) else pa.array(x[here]) for x in part], names)
 
@@ -272,7 +272,9 @@ def _slice_sums(docs: DataFrame, model: Model, doc_id: str, text: str, leave_one
     rows = docs.select(doc.alias("doc"), F.xxhash64(doc, t).alias("row"), t.alias("text")).mapInArrow(
         explode, f"doc {kind}, row long, key long, count long, w1 long, x1 long, w2 long, x2 long, n_words long")
     rest = F.col("n") - take * F.col("count")
-    counted = rows.join(model.pairs.withColumnRenamed("h", "key"), "key", "left").withColumn("rest", rest).where((F.col("count") <= 0) | (F.col("rest") > 0))
+    # a pair counted once occurs in no other document
+    pairs = model.pairs.where((F.pmod("h", F.lit(slices)) == which) & (F.col("n") > take)).withColumnRenamed("h", "key")
+    counted = rows.join(pairs, "key", "left").withColumn("rest", rest).where((F.col("count") <= 0) | (F.col("rest") > 0))
 
     def rounded(log: Column) -> Column:
         return F.round(SCALE * log).cast("long")
