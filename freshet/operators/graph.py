@@ -157,18 +157,36 @@ def depths(edge_rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return longest_paths(edge_rows, ones).select("node", (F.col("total") - 1).alias("depth"))
 
 
-def path_to(best: DataFrame, node: str) -> list[tuple]:
-    """The chain of (node, total) leading to ``node``, root first.
-
-    Walks the ``via`` pointers of ``longest_paths`` one lookup per level; its
-    length is the depth of the graph, not its size.
+def paths_to(best: DataFrame, ends: DataFrame) -> DataFrame:
+    """The nodes on the heaviest paths to ``ends``: (end, node, total, step),
+    step 0 being the root.
+
+    ``best`` is the result of ``longest_paths``, ``ends`` has a column ``end``.
+    Jumps of 1, 2, 4, ... pointers are made from jumps half as long, one row per
+    node each; then the longest jumps are taken first, and a path doubles in
+    every round.  So the rounds follow the logarithm of the depth, all ends share
+    them, and a path exists as rows only.  An end that is not in ``best`` has no
+    path.
     """
-    chain, current = [], node
-    while current is not None:
-        row = best.where(F.col("node") == current).first()
-        chain.append((row["node"], row["total"]))
-        current = row["via"]
-    return chain[::-1]
+    best = cut_lineage(best.select("node", "total", "via"))
+    jumps = []
+    far = best.where(F.col("via").isNotNull()).select("node", F.col("via").alias("far"))
+    while True:
+        far = cut_lineage(far)
+        if far.isEmpty():
+            break
+        jumps.append(far)
+        onward = far.select(F.col("node").alias("far"), F.col("far").alias("_far"))
+        far = far.join(onward, "far").select("node", F.col("_far").alias("far"))
+    found = ends.select("end").distinct().join(best.select(F.col("node").alias("end")), "end", "left_semi")
+    found = found.select("end", F.col("end").alias("node"), F.lit(0).cast("bigint").alias("back"))
+    for k in reversed(range(len(jumps))):
+        found = cut_lineage(found)
+        moved = found.join(jumps[k], "node").select("end", F.col("far").alias("node"), (F.col("back") + (1 << k)).alias("back"))
+        found = found.unionByName(moved)
+    found = cut_lineage(found)
+    length = found.groupBy("end").agg(F.max("back").alias("_root"))
+    return found.join(length, "end").join(best, "node").select("end", "node", "total", (F.col("_root") - F.col("back")).alias("step"))
 
 
 def spread_least(edge_rows: DataFrame, labels: DataFrame, open_nodes: DataFrame) -> DataFrame:

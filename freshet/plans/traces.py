@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import instant, seconds_between, value_map
 from ..operators import graph as g
+from ..session import cut_lineage
 
 # Reasons for skipping a refresh, lowest priority first.
 SKIP_REASONS = [
@@ -108,12 +109,26 @@ def path_totals(spans: DataFrame) -> DataFrame:
 
 def critical_ends(spans: DataFrame) -> DataFrame:
     """Per cycle the span at which the critical path ends, with its length."""
-    totals = path_totals(spans).withColumnRenamed("node", "span_id").join(spans.select("span_id", "trace_id"), "span_id")
+    return _ends(spans, path_totals(spans))
+
+
+def _ends(spans: DataFrame, totals: DataFrame) -> DataFrame:
+    totals = totals.withColumnRenamed("node", "span_id").join(spans.select("span_id", "trace_id"), "span_id")
     # greatest total first, smallest span id among equals
     best = F.min_by(F.struct("span_id", "total"), F.struct(-F.col("total"), F.col("span_id")))
     return totals.groupBy("trace_id").agg(best.alias("b")).select("trace_id", "b.span_id", "b.total")
 
 
+def critical_paths(spans: DataFrame) -> DataFrame:
+    """The critical path of every cycle as rows: (trace_id, step, span_id,
+    total), from the root (step 0) to the end; ``total`` is the time up to and
+    including the span.  Among equally long ways the parent that sorts first is
+    on the path."""
+    totals = cut_lineage(path_totals(spans))
+    ends = cut_lineage(_ends(spans, totals).select("trace_id", F.col("span_id").alias("end")))
+    return g.paths_to(totals, ends).join(ends, "end").select("trace_id", "step", F.col("node").alias("span_id"), "total")
+
+
 def timeline(spans: DataFrame) -> DataFrame:
     """Bars of a timeline: label, style, start, end; an empty span gets one
     second so that it can be seen."""

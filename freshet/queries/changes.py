@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import bindings as b
+from ..operators import bitmaps as bm
 from ..operators import changes as ch
 from ..operators import incremental as inc
 from ..operators import merge as mg
@@ -246,6 +247,21 @@ def _(spark, sf):
     return inc.delta_distinct(ch.as_bag(old), ch.changes(old, new)).drop("_copies")
 
 
+@query("maintain_distinct_count", versions("""
+SELECT o_orderstatus, year(day) AS year, count(DISTINCT o_custkey) AS customers FROM after GROUP BY 1, 2
+UNION ALL SELECT o_orderstatus, NULL, count(DISTINCT o_custkey) FROM after GROUP BY 1""").replace("year(day) AS year", "CAST(year(day) AS INTEGER) AS year"))
+def _(spark, sf):
+    # years from the state, all years from the bitmaps of the years
+    keys, whole = ["o_orderstatus", "year"], ["o_orderstatus"]
+    old, new = (df.select("o_orderstatus", F.year("day").alias("year"), "o_custkey") for df in before_after(spark, sf))
+    change_set = ch.changes(old, new)
+    counts = bm.delta_row_counts(bm.row_counts(old, keys, "o_custkey"), change_set, keys, "o_custkey")
+    state = bm.delta_bitmaps(bm.bitmaps(old, keys, "o_custkey"), change_set, keys, "o_custkey", counts)
+    years = bm.distinct_counts(state, keys, "customers")
+    both = bm.distinct_counts(bm.rolled_up(state, whole), whole, "customers").withColumn("year", F.lit(None).cast("int"))
+    return years.unionByName(both)
+
+
 @query("maintain_window", versions("""
 SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY price DESC, o_orderkey) AS place FROM after"""))
 def _(spark, sf):

@@ -176,6 +176,17 @@ def _(spark, sf):
     return t.critical_ends(b.spans(spark, sf))
 
 
+@query("critical_path_rows", f"""{PATHS},
+via AS (SELECT child AS x, first(parent ORDER BY b.total DESC, parent) AS p FROM dep JOIN best b ON b.span_id = parent
+  WHERE b.total > 0 GROUP BY 1),
+ends AS (SELECT 'C@' || day AS trace_id, span_id FROM best JOIN span USING (span_id)
+  QUALIFY row_number() OVER (PARTITION BY day ORDER BY total DESC, span_id) = 1),
+path(trace_id, x, back) AS (SELECT trace_id, span_id, 0::BIGINT FROM ends UNION ALL SELECT trace_id, p, back + 1 FROM path JOIN via USING (x))
+SELECT trace_id, max(back) OVER (PARTITION BY trace_id) - back AS step, x AS span_id, total FROM path JOIN best ON best.span_id = x""")
+def _(spark, sf):
+    return t.critical_paths(b.spans(spark, sf))
+
+
 @query("timeline_rows", f"""
 WITH {SPAN} SELECT 'C@' || day AS trace_id, span_id, {unit('n')} || ' [' || state || CASE WHEN state = 'SKIPPED' THEN ' — ' || reason ELSE '' END || ']' AS label,
   CASE state WHEN 'SUCCEEDED' THEN 'done' WHEN 'SKIPPED' THEN 'active' ELSE 'crit' END AS style, s AS bar_start,

@@ -48,7 +48,9 @@ def test_longest_path_through_diamonds(spark):
     best = g.longest_paths(edges, weights)
     got = {r.node: (r.total, r.via) for r in best.collect()}
     assert got == {"a": (1, None), "b": (6, "a"), "c": (3, "a"), "d": (7, "b"), "e": (8, "d"), "x": (9, None)}
-    assert g.path_to(best, "e") == [("a", 1), ("b", 6), ("d", 7), ("e", 8)]
+    ends = spark.createDataFrame([("e",), ("x",), ("c",), ("nobody",), ("c",)], "end string")
+    paths = sorted((r.end, r.step, r.node, r.total) for r in g.paths_to(best, ends).collect())
+    assert paths == [("c", 0, "a", 1), ("c", 1, "c", 3), ("e", 0, "a", 1), ("e", 1, "b", 6), ("e", 2, "d", 7), ("e", 3, "e", 8), ("x", 0, "x", 9)]
     assert {r.node: r.depth for r in g.depths(edges, weights.select("node")).collect()}["e"] == 3
 
 
@@ -67,6 +69,18 @@ def test_deep_chains_are_no_cycles(spark):
     assert {r.node: r.depth for r in g.depths(edge_frame(spark, chain), nodes).collect()}["n00"] == 14
 
 
+def test_paths_double_on_a_deep_chain(spark, rows):
+    # 37 nodes and a hub that many nodes point at
+    best = spark.createDataFrame(
+        [(f"n{i:02}", i, f"n{i - 1:02}" if i else None) for i in range(37)] + [(f"leaf{i}", 99, "n05") for i in range(20)],
+        "node string, total long, via string")
+    ends = spark.createDataFrame([("n36",), ("leaf3",)], "end string")
+    assert rows(g.paths_to(best, ends), "end", "step", "node", "total") == sorted(
+        [("n36", i, f"n{i:02}", i) for i in range(37)] + [("leaf3", i, f"n{i:02}", i) for i in range(6)] + [("leaf3", 6, "leaf3", 99)],
+        key=lambda t: tuple((v is None, str(v)) for v in t))
+    assert g.paths_to(best, ends.limit(0)).isEmpty() and g.paths_to(best.limit(0), ends).isEmpty()
+
+
 # --- spans -----------------------------------------------------------------------
 
 @pytest.fixture
@@ -98,6 +112,7 @@ def test_highest_skip_reason_wins(spans, rows):
 def test_unresolved_links_and_critical_path(spans, rows):
     assert rows(t.unresolved(spans)) == [("e", "gone")]
     assert rows(t.critical_ends(spans)) == [("t", "d", 50)]
+    assert rows(t.critical_paths(spans)) == [("t", 0, "a", 30), ("t", 1, "r", 50), ("t", 2, "d", 50)]
 
 
 def test_timeline_gives_empty_spans_a_second(spans):
