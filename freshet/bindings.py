@@ -354,6 +354,48 @@ def role_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("child"), F.col("r_name").alias("parent"))
 
 
+def deep_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as roles: each inherits from the role of half its number."""
+    n = F.col("user_id")
+    return table(spark, sf_dir, "events").where("user_id >= 2").select(n).distinct().select(
+        _unit(n).alias("child"), _unit(_parent(n, 2)).alias("parent"))
+
+
+def deep_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers hold the role of their number."""
+    return table(spark, sf_dir, "customer").select(F.col("c_name").alias("user"), _unit(F.col("c_custkey")).alias("role"))
+
+
+def deep_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """High-value events grant their kind to a role; errors withdrew it."""
+    kind = F.col("event_type")
+    return table(spark, sf_dir, "events").where(F.col("value") > HIGH_VALUE).select(
+        _unit(F.col("user_id")).alias("role"), F.concat(kind, F.lit("_"), (F.col("user_id") % 7).cast("string")).alias("object"),
+        F.lit("SELECT").alias("privilege"), F.when(kind == "error", F.lit("2024-01-01").cast("date")).alias("deleted_on"))
+
+
+def projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that definitions read: a table has a column per kind of its
+    events, from the same column of its input, errors also from what its second
+    input calls a view; high values mark a filter."""
+    n, kind = F.col("user_id"), F.col("event_type")
+    near = F.when(n < ROOTS, F.concat(F.lit("BASE_"), n.cast("string"))).otherwise(_unit(_parent(n, 2)))
+    seen = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.max("value").alias("top"))
+    far = (n >= DIAMONDS) & (kind == "error")
+    rows = F.array_compact(F.array(
+        F.struct(kind.alias("column"), near.alias("input"), kind.alias("input_column"), F.lit("OUTPUT").alias("role")),
+        F.when(far, F.struct(kind.alias("column"), _unit(_parent(n, 4)).alias("input"), F.lit("view").alias("input_column"), F.lit("OUTPUT").alias("role"))),
+        F.when(F.col("top") > HIGH_VALUE, F.struct(
+            F.lit(None).cast("string").alias("column"), near.alias("input"), kind.alias("input_column"), F.lit("FILTER").alias("role")))))
+    return seen.select(_unit(n).alias("name"), F.explode(rows).alias("r")).select("name", "r.*")
+
+
+def dropped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of views and clicks of the base tables."""
+    return projections(spark, sf_dir).where("input LIKE 'BASE%' AND input_column IN ('view', 'click')").select(
+        F.col("input").alias("name"), F.col("input_column").alias("column")).distinct()
+
+
 def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag", "l_quantity")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import graph as g
+from ..operators import tree
 from ..operators.windows import ordered_windows
 from ..session import cut_lineage
 
@@ -107,6 +108,19 @@ def effective_grants(members: DataFrame, hierarchy: DataFrame, grants: DataFrame
     return effective_roles(members, hierarchy).join(valid, "role").select("user", "object", "privilege").distinct()
 
 
+def effective_grants_of_tree(members: DataFrame, hierarchy: DataFrame, grants: DataFrame) -> DataFrame:
+    """``effective_grants`` for a deep hierarchy in which a role inherits from
+    one role at most: the roles above a user's role are those whose interval
+    holds its number, and only roles that were granted something are looked at.
+    """
+    valid = grants.where(F.col("deleted_on").isNull()).select("role", "object", "privilege").distinct()
+    numbered = tree.intervals(hierarchy, members.select(F.col("role").alias("node")))
+    inherited = tree.ancestors(
+        numbered, members.select(F.col("role").alias("node")), valid.select(F.col("role").alias("above")))
+    given = inherited.join(valid.withColumnRenamed("role", "above"), "above").select(F.col("node").alias("role"), "object", "privilege").distinct()
+    return members.join(given, "role").select("user", "object", "privilege").distinct()
+
+
 def missing_grants(required: DataFrame, effective: DataFrame) -> DataFrame:
     """Privileges a user needs and does not have."""
     return required.select("user", "object", "privilege").distinct().join(
@@ -167,6 +181,51 @@ def definition_changes(versions: DataFrame) -> DataFrame:
         "name", "valid_from", changed_inputs.alias("inputs_changed"), changed_query.alias("query_changed"))
 
 
+#: Stands for the definition of an object among its columns.
+WHOLE = "*"
+
+
+def column_edges(projections: DataFrame) -> DataFrame:
+    """Edges (child, parent) between {name, column} from the columns that
+    definitions read.
+
+    ``projections``: (name, column, input, input_column, role).  Rows of role
+    OUTPUT feed one column.  All other roles (FILTER, JOIN, ...) feed the
+    definition as a whole, which stands between them and all its columns, so
+    there is one edge per row and one per column, not their product.  Rows
+    without one of their names are left out.
+    """
+    rows = projections.where("name IS NOT NULL AND input IS NOT NULL AND input_column IS NOT NULL")
+    output = F.col("role") == "OUTPUT"
+    rows = rows.where(F.coalesce(~output, F.lit(True)) | F.col("column").isNotNull())
+    name = F.col("name")
+    target = F.when(output, F.col("column")).otherwise(WHOLE)
+    read = rows.select(
+        F.struct(name, target.alias("column")).alias("child"),
+        F.struct(F.col("input").alias("name"), F.col("input_column").alias("column")).alias("parent"))
+    filtered = rows.where(F.coalesce(~output, F.lit(True))).select("name").distinct()
+    columns = rows.where(output).select("name", "column").distinct().join(filtered, "name", "left_semi")
+    inside = columns.select(
+        F.struct(name, F.col("column")).alias("child"), F.struct(name, F.lit(WHOLE).alias("column")).alias("parent"))
+    return read.unionByName(inside).distinct()
+
+
+def columns_affected(projections: DataFrame, dropped: DataFrame) -> DataFrame:
+    """What breaks when a column goes: (dropped_name, dropped_column, name,
+    column) over any number of definitions in between.
+
+    ``dropped``: (name, column).  A row without ``column`` means that the
+    definition itself, by a filter or join, rests on the dropped column; then
+    all its columns are listed too.
+    """
+    gone = F.struct("name", "column")
+    start = dropped.select(gone.alias("gone"), gone.alias("node"))
+    reached = g.closure(column_edges(projections), start, "downstream").where("depth > 0")
+    return reached.select(
+        F.col("gone.name").alias("dropped_name"), F.col("gone.column").alias("dropped_column"), F.col("node.name").alias("name"),
+        F.nullif(F.col("node.column"), F.lit(WHOLE)).alias("column"))
+
+
 def tasks_to_tables(tasks: DataFrame) -> DataFrame:
     """One maintained table per task: inner ones follow their consumer, leaves
     keep the task's schedule, roots read the base tables.  ``tasks``: (name,

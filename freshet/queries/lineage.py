@@ -218,6 +218,15 @@ def _(spark, sf):
     return li.missing_grants(b.required_grants(spark, sf), effective)
 
 
+@query("effective_grants_of_deep_roles", f"""
+WITH RECURSIVE up(r, a) AS (SELECT c_custkey, c_custkey FROM customer
+  UNION SELECT r, a // 2 FROM up JOIN (SELECT DISTINCT user_id FROM events WHERE user_id >= 2) ON user_id = a)
+SELECT DISTINCT c_name AS user, event_type || '_' || (user_id % 7) AS object, 'SELECT' AS privilege
+FROM customer JOIN up ON r = c_custkey JOIN events ON user_id = a WHERE value > 200 AND event_type <> 'error'""")
+def _(spark, sf):
+    return li.effective_grants_of_tree(b.deep_members(spark, sf), b.deep_hierarchy(spark, sf), b.deep_grants(spark, sf))
+
+
 # --- models and tasks ----------------------------------------------------------------
 
 CONSTRUCTS = f"""con AS (SELECT DISTINCT {unit('user_id')} AS name,
@@ -254,6 +263,20 @@ def _(spark, sf):
     return li.propagate_mode(b.models(spark, sf), b.reads(spark, sf))
 
 
+@query("columns_affected", f"""
+WITH RECURSIVE seen AS (SELECT user_id AS n, event_type AS c, max(value) AS top FROM events GROUP BY 1, 2),
+parents AS (SELECT n, c, top, CASE WHEN n < 16 THEN 'BASE_' || n ELSE {unit('(n // 2)')} END AS near FROM seen),
+edge AS (SELECT {unit('n')} AS name, c, near AS input, c AS ic FROM parents
+  UNION SELECT {unit('n')}, c, {unit('(n // 4)')}, 'view' FROM parents WHERE n >= 32 AND c = 'error'
+  UNION SELECT {unit('n')}, '*', near, c FROM parents WHERE top > 200
+  UNION SELECT {unit('p.n')}, p.c, {unit('p.n')}, '*' FROM parents p WHERE n IN (SELECT n FROM parents WHERE top > 200)),
+walk(gn, gc, name, c) AS (SELECT DISTINCT input, ic, input, ic FROM edge WHERE input LIKE 'BASE%' AND ic IN ('view', 'click')
+  UNION SELECT gn, gc, edge.name, edge.c FROM walk JOIN edge ON input = walk.name AND ic = walk.c)
+SELECT gn AS dropped_name, gc AS dropped_column, name, CASE WHEN c <> '*' THEN c END AS column FROM walk WHERE NOT (name = gn AND c = gc)""")
+def _(spark, sf):
+    return li.columns_affected(b.projections(spark, sf), b.dropped_columns(spark, sf))
+
+
 @query("definition_changes", f"""
 WITH ver AS (SELECT {unit('user_id')} AS name, date_trunc('week', ts) AS w, CAST(max(value) > 150 AS VARCHAR) AS i, CAST(count(*) % 3 AS VARCHAR) AS q FROM events GROUP BY 1, 2),
 x AS (SELECT *, lag(i) OVER u AS pi, lag(q) OVER u AS pq FROM ver WINDOW u AS (PARTITION BY name ORDER BY w))
