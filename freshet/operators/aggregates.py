@@ -76,6 +76,13 @@ def percentiles(
     whole = counted.groupBy(*keys).agg(F.sum("_n").alias("_whole"))
     placed = null_safe_join(ranked, whole, keys, "inner") if keys else ranked.withColumn("_whole", whole.scalar())
 
+    return interpolated(placed, keys, shares)
+
+
+def interpolated(placed: DataFrame, keys: Sequence[str], shares: Mapping[str, float]) -> DataFrame:
+    """Percentiles from counted values: ``_value``, its rows ``_n``, the rows
+    ``_upto`` and including it, and the rows ``_whole`` of its key.  Values at
+    no rank that is asked for may be missing."""
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto")), F.col("_value").cast("double")))
 

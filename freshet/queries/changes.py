@@ -11,6 +11,7 @@ from ..operators import bitmaps as bm
 from ..operators import changes as ch
 from ..operators import incremental as inc
 from ..operators import merge as mg
+from ..operators import segments as sg
 from ..plans.keyed_files import KeyedFiles
 from ..plans.refresh import Maintained, MaintainedTables
 from ..session import scratch_path
@@ -275,6 +276,27 @@ def _(spark, sf):
     return inc.delta_window(place(old), new, delta(spark, sf), ["o_custkey"], place)
 
 
+@query("maintain_running_total", versions("""
+SELECT o_orderstatus, o_orderkey, CAST(sum(price) OVER w AS DOUBLE) AS running, count(*) OVER w AS place
+FROM after WINDOW w AS (PARTITION BY o_orderstatus ORDER BY day, o_orderkey ROWS UNBOUNDED PRECEDING)"""))
+def _(spark, sf):
+    # half of all orders share a status; months are its segments
+    old, new = before_after(spark, sf)
+    running = sg.RunningTotals(
+        ["o_orderstatus"], ["day", "o_orderkey"], {"running": F.col("price"), "place": F.lit(1).cast("bigint")}, F.trunc("day", "month"))
+    state = running.refresh(running.build(old), new, delta(spark, sf))
+    return amounts(running.read(state).select("o_orderstatus", "o_orderkey", "running", "place"), "running")
+
+
+@query("maintain_percentiles", versions("""
+SELECT o_orderpriority, quantile_cont(floor(price)::BIGINT, 0.5) AS p50, quantile_cont(floor(price)::BIGINT, 0.95) AS p95 FROM after GROUP BY 1"""))
+def _(spark, sf):
+    old, new = (df.select("o_orderpriority", F.floor("price").alias("price")) for df in before_after(spark, sf))
+    counted = sg.ValueCounts(["o_orderpriority"], "price", F.floor(F.col("price") / 10_000))
+    state = counted.refresh(counted.build(old), ch.changes(old, new))
+    return counted.percentiles(state, {"p50": 0.5, "p95": 0.95})
+
+
 @query("top_board_exact", versions("""
 SELECT o_orderkey, CAST(price AS DOUBLE) AS price, row_number() OVER (ORDER BY price DESC, o_orderkey) AS rank FROM after
 QUALIFY rank <= 25""").replace("row_number()", "CAST(row_number()").replace("o_orderkey) AS rank", "o_orderkey) AS INTEGER) AS rank"))
