@@ -126,7 +126,8 @@ def longest_paths(edge_rows: DataFrame, weights: DataFrame) -> DataFrame:
     ``weights`` has (node, weight), not negative.  Round k holds, per node, the
     heaviest path of exactly k edges ending there, so diamonds do not multiply
     paths and the rounds follow the depth of the graph, however deep it is.
-    ``via`` is the parent on the best path.  Graphs deeper than a few levels are
+    ``via`` is the parent on the best path; a node whose parents add nothing is a
+    root of its own.  Graphs deeper than a few levels are
     looked through for a cycle once, which is reported.
     """
     node_type = dict(edge_rows.dtypes)["parent"]
