@@ -72,6 +72,14 @@ def test_jaccard_join_at_the_bound(spark):
     assert got == brute.jaccard_components(rows)
 
 
+@pytest.mark.parametrize("sample_docs", [0, 40])
+def test_jaccard_components_do_not_depend_on_the_sample(spark, sample_docs):
+    rows = near_copies()
+    placed, _ = jaccard_join.join(frame(spark, rows), sample_docs=sample_docs)
+    got = sorted((tuple(r) for r in jaccard_join.component_ids(placed).select("doc", "n", "component").collect()), key=str)
+    assert got == brute.jaccard_components(rows)
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.keep_one(frame(spark, [])).count() == 0
     assert jaccard_join.keep_one(frame(spark, ODD)).count() == len(ODD)
