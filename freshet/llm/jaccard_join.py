@@ -18,8 +18,11 @@ join therefore works with two kinds of pivots:
 
 What remains are pairs across components: members outside their region's largest
 component against the region, with triangle-inequality windows where both
-distances to one pivot are known, then bounds on size, position and number of
-shared regions, none of which can lose a pair.  The survivors are verified.
+distances to one pivot are known, then bounds on size, position, number of
+shared regions and on sketches of the sets, none of which can lose a pair.  A
+pair is met in the first region it shares: a class with few open regions carries
+their list, one with many those just before each, which leaves a few pairs to be
+met again after a gap.  The survivors are verified.
 
 Sets that are equal are one class from the start, so copies cost one row each.
 Regions of frequent shingles meet a table that is bounded by the sample; the
@@ -32,11 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from ..session import cut_lineage
+from ..session import cut_lineage, release_scratch, written
 from .shingles import WORDS_PER_SHINGLE, mix, text_blocks, text_shingles
 
 PERCENT = 75
@@ -46,6 +49,10 @@ ROUNDS = 2
 JUMPS = 2
 #: A class with more open regions than this does not carry their list.
 LISTED = 48
+#: So many of the open regions before one go with each region of such a class.
+BEFORE = 8
+#: Words of 64 bits in the least and the longest sketch of a set.
+COARSE, FINE = 4, 256
 #: Rows of two or three numbers that may be broadcast, at most 24 bytes each.
 BROADCAST_ROWS = 500_000
 
@@ -62,22 +69,32 @@ def digest(ordered: np.ndarray, seed: int) -> int:
     return int((mix(ordered + np.uint64(seed)) * mix(np.arange(1, len(ordered) + 1, dtype=np.uint64))).sum(dtype=np.uint64).view(np.int64))
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """The parity of a set's shingles on each of a power of two of bits, about
+    one a shingle.  Two sketches differ in no more bits than their sets do in
+    shingles; halves combined by XOR are the sketch of half as many bits."""
+    size = min(max(COARSE, 1 << max(0, (len(own) - 1).bit_length() - 6)), FINE)
+    odd = np.bincount((own & np.uint64(64 * size - 1)).astype(np.int64), minlength=64 * size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0] + [len(a) for a in arrays], dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays).view(np.int64)))
 
 
 def signatures(docs: DataFrame, frequent: np.ndarray, doc_id: str, text: str, n: int) -> DataFrame:
-    """(doc, content, class, check, n, cold, hot): class and check are two
+    """(doc, content, class, check, n, cold, hot, bits): class and check are two
     digests of the set; cold and hot are the ordered prefix, cut where the
-    frequent shingles begin.  Texts without words have n = 0 and no prefix."""
+    frequent shingles begin; bits is the sketch.  Texts without words have n = 0
+    and no prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def sign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
         for batch in rows:
             for start, end, texts in text_blocks(batch, 2):
-                keys, sizes, cold, hot = [], [], [], []
+                keys, sizes, cold, hot, bits = [], [], [], [], []
                 for own in text_shingles(texts, n):
                     own = np.unique(own)
                     frequent = np.zeros(len(own), dtype=bool)
@@ -88,16 +105,17 @@ def signatures(docs: DataFrame, frequent: np.ndarray, doc_id: str, text: str, n:
                     hot.append(own[frequent][:size - len(cold[-1])])
                     keys.append((digest(own, 1), digest(own, 2)))
                     sizes.append(len(own))
+                    bits.append(sketch(own))
                 first, second = zip(*keys)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(start, end - start), batch.column(1).slice(start, end - start),
-                    pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(sizes, pa.int64()), _lists(cold), _lists(hot)],
-                    ["doc", "content", "class", "check", "n", "cold", "hot"])
+                    pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(sizes, pa.int64()), _lists(cold), _lists(hot), _lists(bits)],
+                    ["doc", "content", "class", "check", "n", "cold", "hot", "bits"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(
         F.col(f"`{doc_id}`").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("content"), F.col(f"`{text}`").alias("text")
-    ).mapInArrow(sign, f"doc {kind}, content long, class long, check long, n long, cold array<long>, hot array<long>")
+    ).mapInArrow(sign, f"doc {kind}, content long, class long, check long, n long, cold array<long>, hot array<long>, bits array<long>")
 
 
 def frequent_shingles(docs: DataFrame, text: str, n: int, sample_docs: int, most: int) -> np.ndarray:
@@ -129,6 +147,25 @@ def _prefix(n: Column) -> Column:
     return n - F.ceil(PERCENT * n / 100) + 1
 
 
+def _differences(a: Column, b: Column) -> Column:
+    """In how many bits two sketches differ; the longer one is brought to the
+    other's length (sets of similar size differ by one doubling at most)."""
+    def cut(bits: Column, size: Column) -> Column:
+        halves = F.slice(bits, F.lit(1), size), F.slice(bits, size + 1, size)
+        return F.when(F.size(bits) > size, F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))).otherwise(bits)
+
+    size = F.least(F.size(a), F.size(b))
+    return F.aggregate(F.zip_with(cut(a, size), cut(b, size), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+
+
+def _coarse(bits: Column) -> Column:
+    """A sketch of ``COARSE`` words as a struct, made of a longer one."""
+    def word(i: int) -> Column:
+        return F.aggregate(F.filter(bits, lambda _, at: at % COARSE == i), F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y))
+
+    return F.struct(*[word(i).alias(f"c{i}") for i in range(COARSE)])
+
+
 def regions(signed: DataFrame) -> DataFrame:
     """Members (h, class, n, at, size) of the regions that hold at least two
     classes; ``at`` is the shingle's place in the class's order, ``size`` the
@@ -217,6 +254,49 @@ def new_pivots(left: DataFrame) -> DataFrame:
         F.max("first").alias("pivot"), F.first("top.label").alias("main"))
 
 
+def candidates(left: DataFrame, links: DataFrame, marks: DataFrame) -> DataFrame:
+    """(a, a_n, b, b_n): the pairs of different labels in the open regions
+    ``left`` that no bound excludes, each about once.  ``links`` gives distances
+    to pivots, ``marks`` the sketch of every class."""
+    overlap = F.col("overlap") / (F.col("a_n") + F.col("b_n") - F.col("overlap"))
+    distances = links.select(F.col("b").alias("class"), F.col("a").alias("centre"), (1 - overlap).alias("distance")).groupBy("class").agg(
+        F.max_by(F.struct("centre", "distance"), "centre").alias("known"))
+    # the open regions of a class, a part of its prefix: what two classes share of them is all they share of their prefixes
+    open_regions = left.groupBy("class").agg(F.count(F.lit(1)).alias("k"), F.collect_set("h").alias("open")).withColumn(
+        "open", F.when(F.col("k") <= LISTED, F.col("open")))
+    before = F.collect_list("h").over(Window.partitionBy("class").orderBy("h").rowsBetween(-BEFORE, -1))
+    side = left.join(open_regions, "class").join(distances, "class", "left").select("h", "class", "n", "at", "label", "main", "known", "k", "open")
+    window = F.coalesce(  # the triangle inequality, with room for rounding
+        (F.col("a.known.centre") != F.col("b.known.centre"))
+        | (F.abs(F.col("a.known.distance") - F.col("b.known.distance")) <= 1 - PERCENT / 100 + 1e-9), F.lit(True))
+    need = _needed(F.col("a.n"), F.col("b.n"))
+    room = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) + F.least(F.col("a.at"), F.col("b.at"))
+    common = F.array_intersect("a.open", "b.open")
+    least = F.least(need - F.col("a.n") + _prefix(F.col("a.n")), need - F.col("b.n") + _prefix(F.col("b.n")))
+    fits = ((F.col("a.h") == F.col("b.h")) & (F.col("a.label") != F.col("b.label"))
+            & ((F.col("b.label") == F.col("b.main")) | (F.col("a.class") < F.col("b.class")))
+            & _sizes_fit(F.col("a.n"), F.col("b.n")) & window & (room >= need))
+    heads = F.col("a.class") < F.col("b.class")
+    ends = [F.when(heads, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(x) for c, x in (("class", "a"), ("n", "a_n"))]
+    ends += [F.when(heads, F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")).alias(x) for c, x in (("class", "b"), ("n", "b_n"))]
+
+    def outside(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("label") != F.col("main")).alias("a")
+
+    # the bound on shared regions: from their lists where both are short, and the pair is met in one region only ...
+    listed = side.where("open IS NOT NULL").drop("k")
+    once = outside(listed).join(listed.alias("b"), fits & (F.size(common) >= least) & (F.array_min(common) == F.col("a.h"))).select(*ends)
+    # ... and from their numbers for long texts, whose lists would be compared in every region: the regions just before are
+    # compared instead, and the first region that a pair shares has none in common
+    plain = side.withColumn("before", before).withColumn("long", F.col("open").isNull()).drop("open").join(
+        marks.select("class", _coarse(F.col("bits")).alias("coarse")), "class")
+    apart = sum((F.bit_count(F.col(f"a.coarse.c{i}").bitwiseXOR(F.col(f"b.coarse.c{i}"))) for i in range(1, COARSE)),
+                F.bit_count(F.col("a.coarse.c0").bitwiseXOR(F.col("b.coarse.c0"))))
+    first = outside(plain).join(plain.alias("b"), fits & (F.col("a.long") | F.col("b.long")) & (F.least("a.k", "b.k") >= least)
+                                & (apart <= F.col("a.n") + F.col("b.n") - 2 * need) & ~F.arrays_overlap("a.before", "b.before")).select(*ends)
+    return once.unionByName(first)
+
+
 def _labels(links: DataFrame, nodes: DataFrame) -> DataFrame:
     return components(links.select(F.col("a").alias("child"), F.col("b").alias("parent")), nodes).select(
         F.col("node").alias("class"), F.col("component").alias("label"))
@@ -241,13 +321,14 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = W
         F.min(place).alias("home"), F.min("check").alias("lo"), F.max("check").alias("hi"))
     homes = cut_lineage(homes.select("class", F.when(
         F.col("lo") == F.col("hi"), F.col("home")).otherwise(F.raise_error(F.lit("two sets share a 64-bit digest"))).alias("home")))
-    found = cut_lineage(regions(signed.where("n > 0")))
+    found, found_at = written(regions(signed.where("n > 0")), "cut")
     # the original of near copies shares most with all of them: it is the heaviest of its regions
     weights = found.groupBy("class").agg(F.sum("size").alias("w"))
     members = cut_lineage(found.join(weights, "class").select("h", "class", "n", "at", "w"))
+    release_scratch(docs.sparkSession, [found_at])
     nodes = homes.select(F.col("class").alias("node"))
 
-    links = None
+    links, left_at = None, None
     left = members.withColumn("label", F.col("class")).join(
         members.groupBy("h").agg(F.max(F.struct("w", "class", "n")).alias("pivot")), "h")
     for _ in range(rounds):
@@ -262,37 +343,16 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = W
             F.when(heavier, F.col("class")).otherwise(F.col("pivot.class")).alias("b")), docs, homes, "doc_id", "text", n))
         links = fresh if links is None else links.unionByName(fresh)
         left = members.join(small(hooks(links)), "class", "left").withColumn("label", F.coalesce("label", "class"))
-        left = cut_lineage(left.join(new_pivots(left), "h"))  # regions of one label are done
+        last_at, (left, left_at) = left_at, written(left.join(new_pivots(left), "h"), "cut")  # regions of one label are done
+        if last_at:
+            release_scratch(docs.sparkSession, [last_at])
 
     tried = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    overlap = F.col("overlap") / (F.col("a_n") + F.col("b_n") - F.col("overlap"))
-    distances = links.select(F.col("b").alias("class"), F.col("a").alias("centre"), (1 - overlap).alias("distance")).groupBy("class").agg(
-        F.max_by(F.struct("centre", "distance"), "centre").alias("known"))
-    # the open regions of a class, a part of its prefix: what two classes share of them is all they share of their prefixes
-    open_regions = left.groupBy("class").agg(F.collect_set("h").alias("open")).where(F.size("open") <= LISTED)
-    side = left.join(open_regions, "class", "left").join(distances, "class", "left").select("h", "class", "n", "at", "label", "main", "known", "open")
-    window = F.coalesce(  # the triangle inequality, with room for rounding
-        (F.col("a.known.centre") != F.col("b.known.centre"))
-        | (F.abs(F.col("a.known.distance") - F.col("b.known.distance")) <= 1 - PERCENT / 100 + 1e-9), F.lit(True))
-    need = _needed(F.col("a.n"), F.col("b.n"))
-    room = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) + F.least(F.col("a.at"), F.col("b.at"))
-    common = F.array_intersect("a.open", "b.open")
-    least = F.least(need - F.col("a.n") + _prefix(F.col("a.n")), need - F.col("b.n") + _prefix(F.col("b.n")))
-    fits = ((F.col("a.h") == F.col("b.h")) & (F.col("a.label") != F.col("b.label"))
-            & ((F.col("b.label") == F.col("b.main")) | (F.col("a.class") < F.col("b.class")))
-            & _sizes_fit(F.col("a.n"), F.col("b.n")) & window & (room >= need))
-    ends = [F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")]
-    # the bound on shared regions: from their lists where both are short, and the pair is met in one region only ...
-    def outside(rows: DataFrame) -> DataFrame:
-        return rows.where(F.col("label") != F.col("main")).alias("a")
-
-    listed = side.where("open IS NOT NULL")
-    once = outside(listed).join(listed.alias("b"), fits & (F.size(common) >= least) & (F.array_min(common) == F.col("a.h"))).select(*ends)
-    # ... and counted over the regions for long texts, whose lists would be compared in every region
-    plain = side.withColumn("long", F.col("open").isNull()).drop("open")
-    counted = outside(plain).join(plain.alias("b"), fits & (F.col("a.long") | F.col("b.long"))).groupBy(*ends).agg(
-        F.count(F.lit(1)).alias("k"), F.min(least).alias("least")).where("k >= least").select("a", "b")
-    pairs = once.unionByName(counted).join(tried, ["a", "b"], "left_anti")
+    marks = cut_lineage(signed.where("n > 0").groupBy("class").agg(F.first("bits").alias("bits")))
+    met = candidates(left, links, marks).dropDuplicates(["a", "b"]).join(tried, ["a", "b"], "left_anti")
+    pairs = met.join(marks.select(F.col("class").alias("a"), F.col("bits").alias("bits_a")), "a").join(
+        marks.select(F.col("class").alias("b"), F.col("bits").alias("bits_b")), "b").where(
+        _differences(F.col("bits_a"), F.col("bits_b")) <= F.col("a_n") + F.col("b_n") - 2 * _needed(F.col("a_n"), F.col("b_n"))).select("a", "b")
     links = cut_lineage(links.unionByName(verified(cut_lineage(pairs), docs, homes, "doc_id", "text", n))).where(_linked())
     labels = _labels(links, nodes)
     placed = signed.select("doc", "content", "class", "n").join(labels, "class", "left").withColumn(

@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from freshet.llm import (backoff, compression_quality, decontamination, jaccard_join, language_id, line_dedup, pii,
@@ -80,6 +81,48 @@ def test_jaccard_components_do_not_depend_on_the_sample(spark, sample_docs):
     assert got == brute.jaccard_components(rows)
 
 
+def test_jaccard_pairs_of_long_texts_are_met_about_once(spark):
+    """Two sets that share 200 open regions are one row and not 200."""
+    shared = np.random.default_rng(3).integers(0, 1 << 63, 800, dtype=np.uint64)
+    marks = [(c, jaccard_join.sketch(np.append(shared, np.uint64(c))).view(np.int64).tolist()) for c in range(8)]
+    marks[7] = (7, jaccard_join.sketch(np.random.default_rng(4).integers(0, 1 << 63, 801, dtype=np.uint64)).view(np.int64).tolist())
+    left = [(h, c, 801, h, c, 0) for h in range(200) for c in range(8) if (h + c) % 9]  # a region without a label of its own for all
+    rows = jaccard_join.candidates(
+        spark.createDataFrame(left, "h long, class long, n long, at long, label long, main long"),
+        spark.createDataFrame([], "a long, b long, overlap long, a_n long, b_n long"), spark.createDataFrame(marks, "class long, bits array<long>"))
+    got = [(r["a"], r["b"]) for r in rows.collect()]
+    assert {(a, b) for a in range(7) for b in range(a + 1, 7)} <= set(got) and len(got) <= 2 * len(set(got))
+
+
+def test_sketches_never_differ_in_more_than_the_sets_do(spark):
+    rnd = np.random.default_rng(6)
+    rows = []
+    for size in (1, 5, 250, 257, 600, 1025, 20_000):
+        own = np.unique(rnd.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        for kept in (1, 0.9, 0.76, 0.5):
+            other = np.unique(np.concatenate([own[:max(1, int(kept * size))], rnd.integers(0, 1 << 63, int((1 - kept) * size / 2), dtype=np.uint64)]))
+            rows.append((jaccard_join.sketch(own).view(np.int64).tolist(), jaccard_join.sketch(other).view(np.int64).tolist(), len(np.setxor1d(own, other))))
+    frame_ = spark.createDataFrame(rows, "a array<long>, b array<long>, differ long")
+    got = frame_.select("differ", jaccard_join._differences(F.col("a"), F.col("b")).alias("all"), jaccard_join._coarse(F.col("a")).alias("x"),
+                        jaccard_join._coarse(F.col("b")).alias("y")).collect()
+    for r in got:
+        assert r["all"] <= r["differ"] and sum(((x ^ y) % 2**64).bit_count() for x, y in zip(r["x"], r["y"])) <= r["differ"]
+    assert all(r["all"] > 0 for r in got if r["differ"] > 5_000)
+
+
+def test_jaccard_components_of_long_texts(spark, monkeypatch):
+    """Regions stay open, as no pivot is tried, and lists are short."""
+    monkeypatch.setattr(jaccard_join, "LISTED", 4)
+    rows, rnd = near_copies(), random.Random(8)
+    for g in range(4):
+        for c in range(6):  # texts between linked and unrelated
+            rows.append((5000 + 10 * g + c, " ".join(prose(60 + g, 700).split()[:700 - 40 * c] + prose(rnd.randrange(999), 60 * (c % 3)).split())))
+    for rounds in (1, 2):
+        placed, _ = jaccard_join.join(frame(spark, rows), rounds=rounds, sample_docs=0)
+        got = sorted((tuple(r) for r in jaccard_join.component_ids(placed).select("doc", "n", "component").collect()), key=str)
+        assert got == brute.jaccard_components(rows)
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.keep_one(frame(spark, [])).count() == 0
     assert jaccard_join.keep_one(frame(spark, ODD)).count() == len(ODD)
