@@ -363,6 +363,37 @@ def test_backoff_scores_documents_outside_the_corpus(spark, monkeypatch, frequen
                    11: (log(0.4 / 8) + log(0.4 * 3 / 8) + log(3 / 3)) / 1e6, 12: 0}
 
 
+@pytest.mark.parametrize("frequent, cell, slices", [(1 << 15, 250_000, 2), (10, 40, 3), (0, 100, 1)])
+def test_backoff_scores_a_corpus_in_cells(spark, monkeypatch, frequent, cell, slices):
+    monkeypatch.setattr(backoff, "FREQUENT", frequent)
+    monkeypatch.setattr(backoff, "CELL", cell)
+    rows = ODD + [(i, prose(i, 5 + 7 * i, 60)) for i in range(30)] + [(7, prose(7, 54, 60)), (40, "")]
+    docs = frame(spark, rows).withColumn("n_words", F.lit("another")).withColumn("row", F.lit(1)).repartition(3)
+    got = backoff.score_corpus(docs, sample_docs=20, slices=slices).collect()
+    assert sorted(((r[0], r[1], r[2]) for r in got), key=str) == brute.backoff_scores(rows, 1 << 30)
+    assert all((r["score"] is None) == (r["n_words"] == 0) for r in got)
+    assert backoff.score_corpus(frame(spark, [])).count() == 0
+
+
+def test_a_cell_holds_every_occurrence_of_its_pairs():
+    """Blocks of one text each: no pair or rare word lies in two cells, and all slices together hold each entry once."""
+    texts = [prose(i, 80, 60) for i in range(12)]
+    hashes = np.unique(shingles.word_hashes(texts)[0])
+    known = backoff.Frequent(hashes[::3], np.full(len(hashes[::3]), 99), 960, False)
+    homes, entries = {}, 0
+    for i, text in enumerate(texts):
+        for since in (0, 5):
+            for row in backoff.deal(known, [text], np.array([i]), 10, since, since + 5).to_pylist():
+                assert since <= row["cell"] < since + 5
+                for key, first, before, after in zip(row["key"], row["first"], row["before"], row["after"]):
+                    if after >= 0:
+                        assert homes.setdefault((key, before == 0), row["cell"]) == row["cell"]
+                        assert before > 0 or homes.setdefault((first, True), row["cell"]) == row["cell"]
+                entries += len(row["key"])
+    whole = [backoff.deal(known, [t], np.array([i]), 1, 0, 1).to_pylist()[0] for i, t in enumerate(texts)]
+    assert entries == sum(len(w["key"]) for w in whole)
+
+
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
