@@ -385,8 +385,10 @@ def test_a_cell_holds_every_occurrence_of_its_pairs():
         for since in (0, 5):
             for row in backoff.deal(known, [text], np.array([i]), 10, since, since + 5).to_pylist():
                 assert since <= row["cell"] < since + 5
-                for key, first, before, after in zip(row["key"], row["first"], row["before"], row["after"]):
-                    if after >= 0:
+                firsts = iter(row["first"])
+                for key, before, after in zip(row["key"], row["before"], row["after"]):
+                    first = next(firsts) if before < 0 else key
+                    if before or after >= 0:
                         assert homes.setdefault((key, before == 0), row["cell"]) == row["cell"]
                         assert before > 0 or homes.setdefault((first, True), row["cell"]) == row["cell"]
                 entries += len(row["key"])
