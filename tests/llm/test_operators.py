@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from freshet.llm import (backoff, compression_quality, decontamination, jaccard_join, language_id, line_dedup, pii,
@@ -396,6 +397,43 @@ def test_a_cell_holds_every_occurrence_of_its_pairs():
     assert entries == sum(len(w["key"]) for w in whole)
 
 
+@pytest.mark.parametrize("values", [
+    np.zeros(0, np.int64), np.array([5, 3, 5, 0, 3]), np.array([1 << 62, 3, 1 << 62]), np.array([2**64 - 1, 0, 2**64 - 1, 7], np.uint64)])
+def test_distinct_values_of_a_block(values):
+    """Also where number and place together do not fit into 64 bits."""
+    first, code = backoff._first_places(values)
+    assert sorted(first.tolist()) == sorted(np.unique(values, return_index=True)[1].tolist())
+    assert code.dtype == np.int64 and (values[first][code] == values).all()
+    assert backoff._order(values).tolist() == np.argsort(values, kind="stable").tolist()
+
+
+def test_a_cell_travels_as_bytes_and_names_a_document_once():
+    """A document's number and size stand once per cell and block, counts beyond 31 bits survive, blocks without any between them."""
+    a, b = shingles.word_hashes(["a b"])[0]
+    order = np.argsort([a, b])
+    known = backoff.Frequent(np.array([a, b])[order], np.array([5 << 31, 3 << 31])[order], 1 << 40, False)
+    texts = [["a b x y z", None], ["q r s"], ["a b x y", "a b x"]]
+    rows = [np.array([10, 11]), np.array([12]), np.array([13, 14])]
+    dealt = [backoff.deal(known, t, r, 1, 0, 1) for t, r in zip(texts, rows)]
+    lists = [d.to_pylist()[0] for d in dealt]
+    assert [d["row"] for d in lists] == [r.tolist() for r in rows] and [sum(d["run"]) for d in lists] == [len(d["key"]) for d in lists]
+    assert lists[1]["over"] == [] and max(lists[0]["over"]) == 4
+    packed = [backoff.packed(d) for d in dealt]
+    assert all(pa.types.is_binary(c.type) for p in packed for c in p.columns[1:])
+    table = pa.Table.from_batches(packed)
+    found = backoff.settle(table, 1 << 40).to_pylist()
+    large = pa.schema([pa.field(f.name, pa.large_binary() if pa.types.is_binary(f.type) else f.type) for f in table.schema])
+    for same in (table.combine_chunks(), table.cast(large), pa.concat_tables([table.combine_chunks().slice(i, 1) for i in range(3)])):
+        assert backoff.settle(same, 1 << 40).to_pylist() == found
+    gain = {r["row"]: r["gain"] for r in found if r["own"]}
+    million = lambda x: round(1e6 * math.log(x))
+    total, pair = (1 << 40) - 3, (3 - 1) / ((5 << 31) - 1)
+    # 14: a, b after a, and the rare x after b, whose score alone is taken back by what is asked
+    assert gain[14] == million(((5 << 31) - 1) / total) + million(pair) + million(2 / ((3 << 31) - 1)) + million(0.4 * 2 / total)
+    assert [(r["own_n"], r["again"]) for r in found if r["row"] == 14 and r["h"] is not None] == [(1, 1)]
+    assert gain[11] == 0
+
+
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
